@@ -11,6 +11,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.urlcascade import Rule, verdicts
+
+    return verdicts(table(spark, sf_dir, "pages"), [Rule(*r) for r in URL_RULES])
+
+
+#: (host, path, verdict)
+URL_RULES = [
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "allow"),
+    ("example.net", "/de/8", "block"),
+    ("org", "/es/", "block"),
+]
+
+
+def _op1_sql() -> str:
+    fits = " UNION ALL ".join(
+        f"SELECT page_id, {len(h + p)} AS size, '{h + p}' AS rule, '{v}' AS verdict FROM parts WHERE (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, v in URL_RULES
+    )
+    return f"""
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fits AS ({fits}),
+best AS (SELECT page_id, arg_max(rule, size) AS rule, arg_max(verdict, size) AS verdict FROM fits GROUP BY 1)
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict FROM parts p LEFT JOIN best b USING (page_id)
+"""
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from thalweg.llm.neardup import near_duplicates
 
@@ -28,9 +59,9 @@ sets AS MATERIALIZED (
     ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
 sh AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 pairs AS MATERIALIZED (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both, any_value(a.n) AS nx, any_value(b.n) AS ny
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared_n, any_value(a.n) AS nx, any_value(b.n) AS ny
   FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY 1, 2),
-links AS MATERIALIZED (SELECT x, y FROM pairs WHERE 100 * both >= 85 * (nx + ny - both)),
+links AS MATERIALIZED (SELECT x, y FROM pairs WHERE 100 * shared_n >= 85 * (nx + ny - shared_n)),
 both_ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(doc_id, other) AS (
   SELECT x, y FROM both_ways UNION SELECT r.doc_id, b.y FROM reach r JOIN both_ways b ON r.other = b.x)
@@ -40,9 +71,11 @@ FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY 1) r
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_cascade": op1_url_cascade,
     "op4_near_duplicates": op4_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_url_cascade": _op1_sql(),
     "op4_near_duplicates": OP4_SQL,
 }
