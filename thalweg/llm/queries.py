@@ -42,6 +42,12 @@ SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdic
 """
 
 
+def op2_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.digest import fingerprint_neighbours
+
+    return fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from thalweg.llm.neardup import near_duplicates
 
@@ -72,6 +78,7 @@ FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY 1) r
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
+    "op2_improbable_digest": op2_improbable_digest,
     "op4_near_duplicates": op4_near_duplicates,
 }
 
