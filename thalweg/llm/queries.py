@@ -48,6 +48,24 @@ def op2_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.warc import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first_id,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d
+"""
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from thalweg.llm.neardup import near_duplicates
 
@@ -79,10 +97,12 @@ FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY 1) r
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
     "op2_improbable_digest": op2_improbable_digest,
+    "op3_warc_members": op3_warc_members,
     "op4_near_duplicates": op4_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_cascade": _op1_sql(),
+    "op3_warc_members": OP3_SQL,
     "op4_near_duplicates": OP4_SQL,
 }
