@@ -94,11 +94,18 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesc
 FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY 1) r ON s.doc_id = r.doc_id
 """
 
+def op6_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.telephony import text_media_features
+
+    return text_media_features(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
     "op2_improbable_digest": op2_improbable_digest,
     "op3_warc_members": op3_warc_members,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_telephony": op6_telephony,
 }
 
 ORACLE_SQL: dict[str, str] = {
