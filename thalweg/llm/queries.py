@@ -100,12 +100,31 @@ def op6_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media_features(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str) -> str:
+    """A public vocabulary file; its folder can be set by THALWEG_TOKENIZERS."""
+    import os
+
+    folder = os.environ.get("THALWEG_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
     "op2_improbable_digest": op2_improbable_digest,
     "op3_warc_members": op3_warc_members,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_telephony": op6_telephony,
+    "op9_mixture_packing": op9_mixture_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
