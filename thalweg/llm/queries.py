@@ -118,13 +118,27 @@ def op9_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op8_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
     "op2_improbable_digest": op2_improbable_digest,
     "op3_warc_members": op3_warc_members,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_telephony": op6_telephony,
+    "op8_co_training": op8_co_training,
     "op9_mixture_packing": op9_mixture_packing,
+    "op10_toxic_severity": op10_toxic_severity,
 }
 
 ORACLE_SQL: dict[str, str] = {
