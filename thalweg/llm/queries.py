@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from thalweg.llm.license import oracle_sql as license_sql
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -130,11 +132,18 @@ def op10_toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.license import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
     "op2_improbable_digest": op2_improbable_digest,
     "op3_warc_members": op3_warc_members,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_license_scan": op5_license_scan,
     "op6_telephony": op6_telephony,
     "op8_co_training": op8_co_training,
     "op9_mixture_packing": op9_mixture_packing,
@@ -145,4 +154,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_url_cascade": _op1_sql(),
     "op3_warc_members": OP3_SQL,
     "op4_near_duplicates": OP4_SQL,
+    "op5_license_scan": license_sql(),
 }
