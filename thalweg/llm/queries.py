@@ -138,6 +138,12 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thalweg.llm.pieces import encode_texts
+
+    return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
     "op2_improbable_digest": op2_improbable_digest,
@@ -145,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_license_scan": op5_license_scan,
     "op6_telephony": op6_telephony,
+    "op7_piece_scan": op7_piece_scan,
     "op8_co_training": op8_co_training,
     "op9_mixture_packing": op9_mixture_packing,
     "op10_toxic_severity": op10_toxic_severity,
