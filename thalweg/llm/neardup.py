@@ -6,9 +6,10 @@
 2. Documents with equal sets fold into the one with the smallest id (a partial aggregation, so that a group
    of copies of any size costs one row a task).
 3. Every document is linked tentatively with the smallest of its bands' smallest members; the links that the sketch
-   and then the full sets confirm give first components. In each bucket, members of *different* components are
-   then compared by sketch, in blocks, and what passes is confirmed on full sets. Pairs within a component need
-   no comparison, so a large group of near copies never yields all its pairs.
+   and then the full sets confirm give first components. Documents that share a bucket get a finer sketch of more
+   samples. In each bucket, members of *different* components are then compared by it, in blocks, and what passes
+   is confirmed on full sets. Pairs within a component need no comparison, and of buckets that a pair shares only the
+   first reports it, so a large group of near copies never yields all its pairs.
 
 The number of rows in a band is the largest for which a pair at the threshold shares a bucket with a chance
 of at least ``1 - miss``.
@@ -31,15 +32,17 @@ from thalweg.session import stage_table
 SAMPLES = 256
 SKETCH_BITS = 1024
 MISS = 1e-5
-#: The sketch may underestimate by this much before a true link is lost: over four standard deviations.
-MARGIN = 0.11
+#: The finer sketch, for documents that share a bucket.
+FINE_SAMPLES, FINE_BITS = 2048, 8192
+#: The sketches may underestimate by this much before a true link is lost: over four standard deviations.
+MARGIN, FINE_MARGIN = 0.11, 0.037
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 512
 BATCH_BYTES = 1 << 19
 
 _RNG = np.random.default_rng(7)
-_MUL = _RNG.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_XOR = _RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32)
+_MUL = _RNG.integers(0, 2**31, FINE_SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _RNG.integers(0, 2**32, FINE_SAMPLES, dtype=np.uint32)
 
 
 def band_rows(threshold: float, samples: int = SAMPLES, miss: float = MISS) -> int:
@@ -47,28 +50,28 @@ def band_rows(threshold: float, samples: int = SAMPLES, miss: float = MISS) -> i
     return max(r for r in range(1, 17) if (1 - threshold**r) ** (samples // r) <= miss)
 
 
-def minhash(sets: list[np.ndarray]) -> np.ndarray:
+def minhash(sets: list[np.ndarray], count: int = SAMPLES) -> np.ndarray:
     """Samples by document: the smallest value of each hash function over a set; sets must not be empty."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     x = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum(sizes) - sizes
-    out = np.empty((SAMPLES, len(sets)), np.uint32)
+    out = np.empty((count, len(sets)), np.uint32)
     tmp = np.empty_like(x)
-    for k in range(SAMPLES):
+    for k in range(count):
         np.bitwise_xor(x, _XOR[k], out=tmp)
         np.multiply(tmp, _MUL[k], out=tmp)
         np.minimum.reduceat(tmp, starts, out=out[k])
     return out
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """A row of SKETCH_BITS / 8 bytes for each document: bit parities of the hashed (function, sample) pairs."""
+def odd_sketches(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """A row of ``bits`` / 8 bytes for each document: bit parities of the hashed (function, sample) pairs."""
     k, n = samples.shape
     tagged = samples.astype(np.uint64) | (np.arange(k, dtype=np.uint64)[:, None] << np.uint64(32))
-    bit = (mix64(tagged) >> np.uint64(64 - int(math.log2(SKETCH_BITS)))).astype(np.int64)
-    bit += np.arange(n, dtype=np.int64)[None, :] * SKETCH_BITS
-    ones = (np.bincount(bit.ravel(), minlength=n * SKETCH_BITS) & 1).astype(np.uint8)
-    return np.packbits(ones.reshape(n, SKETCH_BITS), axis=1)
+    bit = (mix64(tagged) >> np.uint64(64 - int(math.log2(bits)))).astype(np.int64)
+    bit += np.arange(n, dtype=np.int64)[None, :] * bits
+    ones = (np.bincount(bit.ravel(), minlength=n * bits) & 1).astype(np.uint8)
+    return np.packbits(ones.reshape(n, bits), axis=1)
 
 
 def most_ones(similarity: float, samples: int = SAMPLES, bits: int = SKETCH_BITS) -> int:
@@ -151,10 +154,17 @@ def _sets_of(shingle: int, bits: int, words: bytes):
             batch = batch.filter(pa.array(listed[place]))
             texts = _texts(batch.column(1))
             for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), BATCH_BYTES):
-                sets = [s.view(np.int64) for s in shingle_sets(texts[i:j], shingle)]
+                sets = shingle_sets(texts[i:j], shingle)
+                ids = batch.column(0).slice(i, j - i)
+                if not all(map(len, sets)):  # a document without words shares no bucket
+                    full = [k for k, s in enumerate(sets) if len(s)]
+                    sets, ids = [sets[k] for k in full], ids.take(pa.array(full, pa.int64()))
+                if not sets:
+                    continue
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                values = pa.array(np.concatenate(sets))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(offsets, values)], names=["id", "words"])
+                values = pa.array(np.concatenate(sets).view(np.int64))
+                fine = odd_sketches(minhash(sets, FINE_SAMPLES), FINE_BITS)
+                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(offsets, values), pa.array([r.tobytes() for r in fine])], names=["id", "words", "fine"])
 
     return run
 
@@ -164,7 +174,7 @@ FILTER_BITS = 1 << 26
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """(id, words) of the documents listed in ``ids`` (and a few others), for exact checks."""
+    """(id, words, fine) of the documents listed in ``ids`` (and a few others): full sets for exact checks, and finer sketches."""
     count = ids.count()
     bits = 1 << min(max(10, math.ceil(math.log2(16 * count + 1))), int(math.log2(FILTER_BITS)))
     place = F.pmod(F.xxhash64(F.col("id")), F.lit(bits)).cast("int")
@@ -175,29 +185,31 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     source = docs.select(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(bits)).cast("int").alias("p")
     ).filter("id is not null")
-    return source.mapInArrow(_sets_of(shingle, bits, table.tobytes()), "id long, words array<long>")
+    return source.mapInArrow(_sets_of(shingle, bits, table.tobytes()), "id long, words array<long>, fine binary")
 
 
 def _compare(threshold: float):
     """Rows of a block pair, sorted by its key, give the pairs of different components whose sketches are close."""
-    limit = most_ones(max(0.0, threshold - MARGIN))
+    limit = most_ones(max(0.0, threshold - FINE_MARGIN), FINE_SAMPLES, FINE_BITS)
 
-    def pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, size: np.ndarray, sketch: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(bh: int, side: np.ndarray, ids: np.ndarray, comp: np.ndarray, size: np.ndarray, sketch: np.ndarray, bands: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left = np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
         if not len(left) or not len(right):
             return
         words = np.ascontiguousarray(sketch).view(np.uint64)
-        for at in range(0, len(left), 64):
-            a = left[at : at + 64]
+        for at in range(0, len(left), 16):
+            a = left[at : at + 16]
             near = (size[a][:, None] >= threshold * size[right][None, :]) & (size[right][None, :] >= threshold * size[a][:, None]) & (comp[a][:, None] != comp[right][None, :])
             if same:
                 near &= ids[a][:, None] < ids[right][None, :]
             x, y = np.nonzero(near)
             if len(x):
                 ones = np.bitwise_count(words[a[x]] ^ words[right[y]]).sum(1)
-                keep = ones <= limit
-                yield ids[a[x[keep]]], ids[right[y[keep]]]
+                x, y = a[x[ones <= limit]], right[y[ones <= limit]]
+                first = (bands[x] == bands[y]).argmax(1)
+                here = bands[x, first] == bh
+                yield ids[x[here]], ids[y[here]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -210,11 +222,12 @@ def _compare(threshold: float):
             cut = np.flatnonzero((np.diff(bh) != 0) | (np.diff(bi) != 0) | (np.diff(bj) != 0)) + 1
             starts = np.concatenate([[0], cut, [len(bh)]])
             ids, comp, size, side = (table.column(k).to_numpy() for k in ("id", "comp", "n", "side"))
-            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
+            sketch = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(len(ids), -1)
+            bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
             left, right = [], []
             for s, e in zip(starts[:-1], starts[1:], strict=True):
                 if e - s > 1:
-                    for x, y in pairs(side[s:e], ids[s:e], comp[s:e], size[s:e], sketch[s:e], bi[s] == bj[s]):
+                    for x, y in pairs(bh[s], side[s:e], ids[s:e], comp[s:e], size[s:e], sketch[s:e], bands[s:e], bi[s] == bj[s]):
                         left.append(np.minimum(x, y))
                         right.append(np.maximum(x, y))
             if left:
@@ -285,8 +298,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     rows = rows.select(
         "bh", "id", "comp", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side")
     )
-    rows = rows.join(sketch, "id").repartition("bh", "bi", "bj").sortWithinPartitions("bh", "bi", "bj")
-    more = rows.select("bh", "bi", "bj", "id", "comp", "n", "side", "sketch").mapInArrow(_compare(threshold), "a long, b long").distinct()
+    fine = sets.select("id", F.size("words").cast("long").alias("n"), "fine").join(heads.select("id", "bands"), "id")
+    rows = rows.join(fine, "id").repartition("bh", "bi", "bj").sortWithinPartitions("bh", "bi", "bj")
+    more = rows.select("bh", "bi", "bj", "id", "comp", "n", "side", "fine", "bands").mapInArrow(_compare(threshold), "a long, b long").distinct()
     more = stage_table(more, "candidates")
     links = links.union(stage_table(confirm(more, sets, percent), "more-links"))
     comp = connected_components(links, "a", "b")
