@@ -10,6 +10,7 @@ is cut into sequences whose sizes are powers of two, so no sequence needs paddin
 from __future__ import annotations
 
 import math
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thalweg.llm.bytesops import BYTE_VALUE, PLACE, mix64, slices
 from thalweg.session import stage_table
 
 WINDOW = 2048
@@ -28,19 +30,33 @@ LEAST_PIECE = 256
 END_ID = 1
 #: Partitions whose rests meet in one task: at most that many windows.
 RESTS = 64
-#: Words a worker remembers, some 200 bytes each.
-REMEMBERED = 400_000
-_SAFE = "\u0250"
+#: Words a worker remembers, some 150 bytes each.
+REMEMBERED = 500_000
+_BATCH_CHARS = 1 << 22
+
+
+# Byte classes of simple texts: white space, letters, digits, other marks.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = 0
+_KIND[48:58] = 2
+for _range in ((65, 91), (97, 123), (128, 256)):
+    _KIND[_range[0] : _range[1]] = 1
 
 
 class WordTokenizer:
     """Token ids of whole texts, the same as the tokenizer gives, with a memory for words.
 
-    The tokenizer's pattern never matches across white space, so a text's ids are those of its words in a row. A word of letters
-    with ASCII marks behind it falls into two matches; other words go to the tokenizer as they are.
+    The tokenizer cuts a text into runs of letters, single digits and runs of other marks, and tokenizes each by itself. In
+    texts of ASCII and Latin letters without contractions these runs are found and hashed by numpy, and only a run that
+    the memory lacks goes to the tokenizer. Other texts are cut at white space, which the tokenizer's pattern never
+    crosses, and their words go to the tokenizer as they are.
     """
 
     _known: dict[str, WordTokenizer] = {}
+    #: What makes a text not simple: letters beyond U+024F, letters whose lower case is long, marks beyond ASCII, control characters that
+    #: only one side takes for white space, contractions, names of special tokens.
+    _unlike = re.compile("[\x1c-\x1f\x80-\xbf\xd7\xf7\u0130\u0250-\U0010ffff]|'(?:[stmdSTMD]|[rRvV][eE]|[lL][lL])|<\\|")
+    _separators = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,7 +66,7 @@ class WordTokenizer:
         self.dtype = np.uint16 if max(vocab.values()) < 1 << 16 else np.uint32
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
+        self._forget()
 
     @classmethod
     def at(cls, path: str) -> WordTokenizer:
@@ -58,72 +74,95 @@ class WordTokenizer:
             cls._known[path] = cls(path)
         return cls._known[path]
 
-    def _pack(self, ids) -> bytes:
-        return np.asarray(ids, self.dtype).tobytes()
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [self._pack(e.ids) for e in self.engine.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _letters(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words of letters, tokenized as one text and cut at the ends of words."""
-        if not words:
-            return {}
-        ids = np.asarray(self.engine.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.tokens = np.empty(0, self.dtype)
+        self.start = self.size = np.empty(0, np.int64)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, self.dtype) for e in self.engine.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _store(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Remember token lists that stand in a row; return their numbers."""
+        self.start = np.concatenate([self.start, len(self.tokens) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.tokens = np.concatenate([self.tokens, ids])
+        return np.arange(len(self.size) - len(size), len(self.size))
+
+    def _learn(self, runs: list[str]) -> np.ndarray:
+        """Numbers of runs: tokenized as one text and cut where words end."""
+        ids = self._whole([" ".join(runs)])[0]
         cut = np.flatnonzero(self.ends[ids]) + 1
-        if len(cut) != len(words) or cut[-1] != len(ids):
-            return dict(zip(words, self._whole(words), strict=True))
-        raw, width = ids.tobytes(), ids.itemsize
-        at = [0, *(cut * width).tolist()]
-        return {w: raw[a:b] for w, a, b in zip(words, at, at[1:], strict=False)}
-
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.words) + len(missing) > REMEMBERED:
-            self.words.clear()
-        parts, rest = {}, []
-        for w in missing:
-            core = w.rstrip("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-            # beyond these letters lower case may hold marks of its own
-            low = core.lower() if core and max(core) < _SAFE and "İ" not in core else ""
-            if low.isalpha():
-                parts[w] = low, w[len(core) :]
-            else:
-                rest.append(w)
-        cores = sorted({c for c, _ in parts.values()})
-        marks = sorted({m for _, m in parts.values() if m})
-        known = self._letters(cores)
-        tail = dict(zip(marks, self._whole(marks), strict=True)) if marks else {}
-        tail[""] = b""
-        self.words.update({w: known[c] + tail[m] for w, (c, m) in parts.items()})
-        if rest:
-            self.words.update(zip(rest, self._whole(rest), strict=True))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
-        self.words_needed(split)
-        get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), self.dtype) for words in split]
-
-    def words_needed(self, split: list[list[str]]) -> None:
-        need: set[str] = set()
-        for words in split:
-            need.update(words)
-        if len(need) > REMEMBERED:
-            self.words.clear()
-            self._learn(need)
-            return
-        missing = need.difference(self.words)
-        if missing:
-            if len(self.words) + len(missing) > REMEMBERED:
-                self.words.clear()
-                missing = need
-            self._learn(missing)
+        if len(cut) != len(runs) or cut[-1] != len(ids):
+            lists = self._whole(runs)
+            return self._store(np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists)))
+        return self._store(ids, np.diff(cut, prepend=0))
+
+    def _simple(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all runs of simple texts, and each text's count of runs."""
+        data = [t.lower().encode() for t in texts]
+        raw = np.frombuffer(b" ".join(data) + b" ", np.uint8)
+        kind = _KIND[raw]
+        edge = np.flatnonzero((np.diff(kind.view(np.int8), prepend=np.int8(-1)) != 0) | (kind == 2))
+        stop = np.append(edge[1:], len(raw))
+        run = kind[edge] != 0
+        begin, end = edge[run], stop[run]
+        counts = np.diff(np.searchsorted(begin, np.cumsum([len(d) + 1 for d in data])), prepend=0)
+        if not len(begin):
+            return np.empty(0, np.int64), counts
+        lens = end - begin
+        offset = np.cumsum(lens) - lens
+        place = np.arange(int(lens.sum()))
+        place -= np.repeat(offset, lens)
+        h = mix64(np.add.reduceat(BYTE_VALUE[raw[kind != 0]] * PLACE[place & (len(PLACE) - 1)], offset) + lens.astype(np.uint64))
+        distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == distinct if len(self.hashes) else np.zeros(len(distinct), bool)
+        number = np.empty(len(distinct), np.int64)
+        if len(self.hashes):
+            number[known] = self.numbers[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            view = raw.tobytes()
+            number[new] = self._learn([view[a:b].decode() for a, b in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            hashes = np.concatenate([self.hashes, distinct[new]])
+            order = np.argsort(hashes, kind="stable")
+            self.hashes, self.numbers = hashes[order], np.concatenate([self.numbers, number[new]])[order]
+        return number[inverse], counts
+
+    def _other(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for other texts and their words; a text with odd separators is a word."""
+        words = [[t] if self._separators.search(t) else t.split() for t in texts]
+        new = sorted({w for own in words for w in own if w not in self.words})
+        if new:
+            lists = self._whole(new)
+            self.words.update(zip(new, self._store(np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))).tolist(), strict=True))
+        return np.array([self.words[w] for own in words for w in own], np.int64), np.array([len(own) for own in words], np.int64)
+
+    def _some(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.size) > REMEMBERED:
+            self._forget()
+        odd = np.fromiter((self._unlike.search(t) is not None for t in texts), bool, len(texts))
+        out: list = [None] * len(texts)
+        for group, numbers in ((np.flatnonzero(~odd).tolist(), self._simple), (np.flatnonzero(odd).tolist(), self._other)):
+            if not group:
+                continue
+            at, counts = numbers([texts[k] for k in group])
+            size = self.size[at]
+            place = np.arange(int(size.sum()))
+            place += np.repeat(self.start[at] - (np.cumsum(size) - size), size)
+            ids = self.tokens[place]
+            stop = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)].tolist()
+            for k, a, b in zip(group, [0, *stop], stop, strict=False):
+                out[k] = ids[a:b]
+        return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; texts with separators that the two notions of white space treat differently go to the tokenizer whole."""
-        odd = [k for k, t in enumerate(texts) if any(c in t for c in "\x1c\x1d\x1e\x1f")]
-        out = self.encode([t if k not in set(odd) else "" for k, t in enumerate(texts)]) if odd else self.encode(texts)
-        for k in odd:
-            out[k] = np.frombuffer(self._whole([texts[k]])[0], self.dtype)
+        """Ids of each text."""
+        out: list[np.ndarray] = []
+        for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), _BATCH_CHARS):
+            out += self._some(texts[i:j])
         return out
 
 
