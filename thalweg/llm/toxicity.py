@@ -15,14 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import slices
+from thalweg.llm.bytesops import mix64, slices
 from thalweg.llm.features import labelled_sample, texts_of, word_features
 
 BITS = 20
 #: The most labelled documents of each class that the model is fitted on.
 PER_CLASS = 5000
-#: Features are kept from this many standard errors of difference and this many documents on.
-LEAST_Z, LEAST_DOCS, MOST_FEATURES = 5.0, 4, 1 << 14
+#: Features are kept from this many standard errors of difference on, if one class has them so many times as often, in this
+#: many of its documents and this share of them; a few copies of a document don't make a feature.
+LEAST_Z, LEAST_LIFT, LEAST_DOCS, LEAST_SHARE, MOST_FEATURES = 5.0, 5.0, 4, 0.006, 1 << 14
 GRADES = 4
 ROUNDS, RATE, RIDGE = 300, 0.1, 1e-3
 #: Severity from which a document counts as toxic.
@@ -56,13 +57,15 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def select_features(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Features whose share of documents differs between the classes by ``LEAST_Z`` standard errors."""
+    """Features that clearly more documents of one class have, by ``LEAST_Z`` and the bounds beside it."""
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     size = 1 << BITS
     a, b = np.bincount(cols[toxic[rows]], minlength=size), np.bincount(cols[~toxic[rows]], minlength=size)
     p = (a + b + 1) / (n1 + n0 + 2)
     z = (a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    found = np.flatnonzero((np.abs(z) >= LEAST_Z) & (a + b >= LEAST_DOCS))
+    more, fewer = np.maximum(a / n1, b / n0), np.minimum(a / n1, b / n0)
+    docs = np.where(a / n1 > b / n0, a, b)
+    found = np.flatnonzero((np.abs(z) >= LEAST_Z) & (more >= LEAST_LIFT * fewer) & (more >= LEAST_SHARE) & (docs >= LEAST_DOCS))
     return np.sort(found[np.argsort(-np.abs(z[found]), kind="stable")[:MOST_FEATURES]])
 
 
@@ -111,6 +114,23 @@ def severity_grades(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, featu
     return grade
 
 
+def unlike_rows(rows: np.ndarray, cols: np.ndarray, n: int, keys: int = 6, size: int = 3) -> np.ndarray:
+    """Mark documents that share no key of ``size`` least hashed features with an earlier one, so that near copies are learnt from once."""
+    first = np.searchsorted(rows, np.arange(n))
+    there = np.append(first[1:], len(rows)) > first
+    least = np.full((keys * size, n), np.iinfo(np.uint64).max, np.uint64)
+    for k in range(keys * size):
+        h = mix64(cols.astype(np.uint64) + np.uint64((k + 1) << 40))
+        least[k, there] = np.minimum.reduceat(h, first[there])
+    keep, seen = np.ones(n, bool), set()
+    for d in range(n):
+        own = {(k, *least[k * size : (k + 1) * size, d].tolist()) for k in range(keys)}
+        keep[d] = not there[d] or seen.isdisjoint(own)
+        if keep[d]:
+            seen |= own
+    return keep
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
@@ -128,6 +148,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     cols = lists.flatten().to_numpy().astype(np.int64)
     rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) if len(lists) else np.empty(0, np.int64)
     value = table.column("label").to_numpy().astype(np.int64)
+    unlike = unlike_rows(rows, cols, len(value))
+    inside = unlike[rows]
+    rows, cols, value = (np.cumsum(unlike) - 1)[rows[inside]], cols[inside], value[unlike]
     toxic = value > 0
     features = select_features(rows, cols, toxic)
     if len(totals) > 2:
