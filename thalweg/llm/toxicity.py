@@ -26,8 +26,8 @@ PER_CLASS = 5000
 LEAST_Z, LEAST_LIFT, LEAST_DOCS, LEAST_SHARE, MOST_FEATURES = 5.0, 5.0, 4, 0.006, 1 << 14
 GRADES = 4
 ROUNDS, RATE, RIDGE = 300, 0.1, 1e-3
-#: Severity from which a document counts as toxic.
-TOXIC_FROM = 0.5
+#: Severity from which a document counts as toxic: one clear mark in a document is less than one expected grade.
+TOXIC_FROM = 0.3
 _BATCH = 1 << 20
 
 
@@ -114,8 +114,13 @@ def severity_grades(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, featu
     return grade
 
 
-def unlike_rows(rows: np.ndarray, cols: np.ndarray, n: int, keys: int = 6, size: int = 3) -> np.ndarray:
-    """Mark documents that share no key of ``size`` least hashed features with an earlier one, so that near copies are learnt from once."""
+def unlike_rows(rows: np.ndarray, cols: np.ndarray, n: int, keys: int = 12, size: int = 6, common: float = 0.05) -> np.ndarray:
+    """Mark documents that share no key of ``size`` least hashed features with an earlier one, so that near copies are learnt from once.
+
+    Features of more than a share ``common`` of the documents say nothing about copies and don't count.
+    """
+    rare = np.bincount(cols, minlength=1 << BITS)[cols] <= max(10, common * n)
+    rows, cols = rows[rare], cols[rare]
     first = np.searchsorted(rows, np.arange(n))
     there = np.append(first[1:], len(rows)) > first
     least = np.full((keys * size, n), np.iinfo(np.uint64).max, np.uint64)
