@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from thalweg import adapter as A
 from thalweg.adapter import oracle
+from thalweg.operators import construct as C
 from thalweg.operators import network as N
 from thalweg.operators import pourpoints as P
 from thalweg.operators import raster as R
@@ -888,6 +889,86 @@ def _(s, d):
     return Q.name_table([(A.names(s, d), [("name_id", "name_en"), ("name_id", "name_fr")])])
 
 
+# ---- construction
+
+
+@query("cd_blocks", oracle(", cells AS (SELECT x AS bx, y AS \"by\" FROM lined, range(-5, 5) a(x), range(-3, 3) b(y) WHERE x BETWEEN floor(least(x1, x2) / 60) AND floor(greatest(x1, x2) / 60) AND y BETWEEN floor(least(y1, y2) / 60) AND floor(greatest(y1, y2) / 60)) SELECT bx, \"by\", count(*) AS n, (bx - 0.5) * 60::DOUBLE AS minx, (\"by\" - 0.5) * 60::DOUBLE AS miny, (bx + 1.5) * 60::DOUBLE AS maxx, (\"by\" + 1.5) * 60::DOUBLE AS maxy FROM cells GROUP BY 1, 2"))
+def _(s, d):
+    return C.blocks(A.with_points(A.flowpaths(s, d)), 60.0)
+
+
+@query("cd_hydro_edges", oracle(", s AS (SELECT unnest([{'x1': minx, 'y1': miny, 'x2': maxx, 'y2': miny}, {'x1': minx, 'y1': maxy, 'x2': maxx, 'y2': maxy}, {'x1': minx, 'y1': miny, 'x2': minx, 'y2': maxy}, {'x1': maxx, 'y1': miny, 'x2': maxx, 'y2': maxy}]) AS s FROM catchments WHERE ec_type = 4) SELECT s.x1, s.y1, s.x2, s.y2, CASE WHEN count(*) > 1 THEN 'BOTH' ELSE 'ONE' END AS side FROM s GROUP BY ALL"))
+def _(s, d):
+    return C.shore_segments(A.catchments(s, d).filter("ec_type = 4"))
+
+
+@query("agg_tin_area", oracle(", q AS (SELECT a.z AS a, b.z AS b, d.z AS d, e.z AS e FROM grid a JOIN grid b ON b.r = a.r AND b.c = a.c + 1 JOIN grid d ON d.r = a.r + 1 AND d.c = a.c JOIN grid e ON e.r = a.r + 1 AND e.c = a.c + 1 WHERE a.z + b.z + d.z + e.z IS NOT NULL) SELECT sum(10000::DOUBLE) AS flat, round(sum(50 * sqrt(pow(b - a, 2) + pow(d - a, 2) + 10000) + 50 * sqrt(pow(d - e, 2) + pow(b - e, 2) + 10000)), 3) AS surface FROM q"))
+def _(s, d):
+    return C.surface_area(A.grid(s, d), 100.0)
+
+
+@query("sp_segment_crosses", oracle(", a AS (SELECT * FROM lined WHERE id BETWEEN 16 AND 400 AND rank = 1), t AS (SELECT a.id, b.id AS other, sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) * sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) AS u, sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) * sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) AS v FROM a JOIN a b ON true) SELECT id, other FROM t WHERE u < 0 AND v < 0"))
+def _(s, d):
+    p = A.with_points(A.flowpaths(s, d)).filter("id BETWEEN 16 AND 400 AND rank = 1")
+    return C.crossings(p, p, 40.0)
+
+
+_NEAR = ", l AS (SELECT id AS line, x1, y1, x2, y2 FROM lined WHERE rank = 1 AND id < 200 AND (x1 <> x2 OR y1 <> y2)), pt AS (SELECT id, x / 3 AS x, y / 3 AS y FROM points), dd AS (SELECT pt.id, l.line, sqrt(pow(x - (x1 + " + _SEG + " * (x2 - x1)), 2) + pow(y - (y1 + " + _SEG + " * (y2 - y1)), 2)) AS d FROM pt, l)"
+
+
+def _near_inputs(s, d) -> tuple[DataFrame, DataFrame]:
+    lines = A.with_points(A.flowpaths(s, d)).filter("rank = 1 AND id < 200 AND (x1 <> x2 OR y1 <> y2)")
+    return A.points(s, d).select("id", (F.col("x") / 3).alias("x"), (F.col("y") / 3).alias("y")), lines
+
+
+@query("sp_proximity_filter", oracle(_NEAR + " SELECT id, x, y FROM pt WHERE id NOT IN (SELECT id FROM dd WHERE d < 2)"))
+def _(s, d):
+    return C.far_points(*_near_inputs(s, d), 2.0)
+
+
+@query("g_flow_from_point", oracle(_NEAR + " SELECT id, arg_min(line, (round(d, 6), line)) AS line, min(round(d, 6)) AS distance FROM dd WHERE round(d, 6) <= 10 GROUP BY 1"))
+def _(s, d):
+    return C.nearest_line(*_near_inputs(s, d), 10.0)
+
+
+@query("win_angle_order", oracle(", o AS (SELECT from_nexus_id AS node, atan2(y2 - y1, x2 - x1) AS o FROM lined WHERE rank = 1), i AS (SELECT to_nexus_id AS node, id, atan2(y1 - y2, x1 - x2) AS i FROM lined) SELECT node, id, row_number() OVER (PARTITION BY node ORDER BY round(CASE WHEN o - i < 0 THEN o - i + 2 * pi() ELSE o - i END, 9), id)::INT AS place FROM i JOIN o USING (node)"))
+def _(s, d):
+    return C.inflow_order(A.with_points(A.flowpaths(s, d)))
+
+
+@query("g_tree_direction", oracle("SELECT id, from_nexus_id, to_nexus_id FROM flowpaths WHERE rank = 1"))
+def _(s, d):
+    p = A.flowpaths(s, d).filter("rank = 1")
+    turned = p.select("id", F.when(F.col("id") % 2 == 0, F.col("to_nexus_id")).otherwise(F.col("from_nexus_id")).alias("from_nexus_id"), F.when(F.col("id") % 2 == 0, F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("to_nexus_id"))
+    return C.directed_to(turned, s.range(8, 16))
+
+
+@query("g_collapse_short", oracle("""SELECT f.id, f.from_nexus_id, CASE WHEN g.id IS NOT NULL THEN g.to_nexus_id ELSE f.to_nexus_id END AS to_nexus_id, f.length FROM flowpaths f LEFT JOIN flowpaths g ON g.id = f.to_nexus_id AND g.rank = 1 AND g.id BETWEEN 64 AND 127 WHERE f.rank = 1 AND NOT f.id BETWEEN 64 AND 127"""))
+def _(s, d):
+    p = A.flowpaths(s, d).filter("rank = 1")
+    marked = p.withColumn("length", F.when(F.col("id").between(64, 127), -1).otherwise(F.col("length")))
+    return C.collapsed(marked, 0)
+
+
+@query("g_multi_sink_join", oracle("SELECT CAST(5000000000 + n AS BIGINT) AS id, n AS from_nexus_id, -8 - 1 AS to_nexus_id FROM (SELECT DISTINCT to_nexus_id AS n FROM flowpaths WHERE to_nexus_id BETWEEN 8 AND 11)"))
+def _(s, d):
+    p = A.flowpaths(s, d).filter("rank = 1").select("from_nexus_id", "to_nexus_id")
+    tied = p.union(s.createDataFrame([(8, 9), (9, 10), (10, 11)], "a long, b long"))
+    return C.joined_sinks(tied, s.range(8, 16), 5_000_000_000)
+
+
+@query("sp_delaunay", None)
+def _(s, d):
+    return C.triangulated(A.points(s, d).withColumn("block", F.floor(F.col("x") / 100)), "block")
+
+
+@query("sp_simplify", oracle("SELECT id, [minx, maxx, maxx, minx, minx] AS xs, [miny, miny, maxy, maxy, miny] AS ys FROM catchments"))
+def _(s, d):
+    mid = lambda a, b: (F.col(a) + F.col(b)) / 2
+    c = A.catchments(s, d).select("id", F.array("minx", mid("minx", "maxx"), "maxx", "maxx", "minx", "minx").alias("xs"), F.array("miny", "miny", "miny", "maxy", "maxy", "miny").alias("ys"))
+    return C.simplified(c, 0.5)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way down from the farthest headwater, with type, rank and river names."""
     paths = A.flowpaths(spark, sf_dir)
