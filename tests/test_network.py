@@ -34,6 +34,14 @@ def test_orders_of_the_known_network(spark, name, own):
         assert len({got[i].mainstem for i in stem}) == 1
 
 
+@pytest.mark.parametrize("name", [None, "name"])
+def test_large_components_are_folded_alike(spark, name):
+    rows = [(k, k, k // 2, (k * 7919) % 50, k % 3 if k % 4 else None, 1, 1) for k in range(2, 26)] + [(500, 900, 901, 3, None, 1, 1)]
+    p = spark.createDataFrame(rows, PATHS)
+    small = sorted(map(tuple, N.stream_orders(p, name, isolated_hack=1001, boundary=[1]).collect()))
+    assert small == sorted(map(tuple, N.stream_orders(p, name, isolated_hack=1001, boundary=[1], most=5).collect()))
+
+
 def test_orders_of_odd_networks(spark):
     extra = [(100, 200, 201, 7, None, 1, 1), (101, 300, 18, 1, None, 2, 1), (102, 301, 18, 1, None, 1, 2), (103, 400, 401, 1, None, 1, 1), (104, 401, 400, 1, None, 1, 1)]
     got = {r.id: r for r in N.stream_orders(paths(spark, extra)).collect()}

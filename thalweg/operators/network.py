@@ -15,7 +15,7 @@ from thalweg.operators.components import connected_components
 from thalweg.session import stage_table
 
 MAX_ROUNDS = 10_000
-#: Edges of one component that a single task folds; larger ones are folded level by level.
+#: Edges of one component that a single task folds; larger ones are folded level by level over the cluster.
 COMPONENT_EDGES = 5_000_000
 PRIMARY = "rank = 1 AND ef_type <> 2"
 
@@ -129,12 +129,65 @@ def fold_component(edges: pd.DataFrame, named: bool = False, isolated_hack: int
 ORDER_SCHEMA = "id long, strahler long, shreve long, max_uplength long, mainstem long, hack long, horton long, mainstem_seq long"
 
 
-def stream_orders(paths: DataFrame, name: str | None = None, isolated_hack: int | None = None, boundary: list | None = None) -> DataFrame:
+def fold_levels(edges: DataFrame, named: bool = False, isolated_hack: int | None = None, boundary: set | None = None) -> DataFrame:
+    """``fold_component`` for networks of any size: a job for each step of distance from the outlets, first down, then up.
+
+    ``edges``: id, from, to, length, name. A node of several out-edges is an error here; nodes on a cycle have no row.
+    """
+    if not edges.groupBy("from").count().filter("count > 1").isEmpty():
+        raise ValueError("a node has several primary out-edges")
+    flat = edges.select("id", F.col("from").alias("from_nexus_id"), F.col("to").alias("to_nexus_id"), F.lit(1).alias("rank"), F.lit(1).alias("ef_type"))
+    hops = hops_to_outlet(flat)
+    level = stage_table(edges.join(hops.select(F.col("id").alias("from"), "hop"), "from"), "levels")
+    nodes = stage_table(hops.select(F.col("id").alias("node"), "hop").join(level.select(F.col("from").alias("node"), F.col("name").alias("own")), "node", "left"), "levels")
+    depth = nodes.agg(F.max("hop")).first()[0]
+    if depth is None:
+        return edges.sparkSession.createDataFrame([], ORDER_SCHEMA)
+    values: dict[int, DataFrame] = {}
+    below = None
+    for hop in range(depth, -1, -1):
+        here = nodes.filter(F.col("hop") == hop).select("node", "own")
+        if below is None:
+            folded = here.select("node", F.lit(1).alias("strahler"), F.lit(1).cast("long").alias("shreve"), F.lit(0).cast("long").alias("far"), F.col("node").alias("stem"))
+        else:
+            into = level.filter(F.col("hop") == hop + 1).join(below, F.col("from") == F.col("node")).drop("node").withColumnRenamed("to", "node").withColumn("reach", F.col("far") + F.col("length"))
+            same = [F.coalesce(F.col("name") == F.col("own"), F.lit(False)), F.col("name").isNotNull()] if named else []
+            into = into.join(here, "node")
+            each = into.groupBy("node", "strahler").agg(
+                F.count("*").alias("times"), F.sum("shreve").alias("shreve"), F.max("reach").alias("far"), F.max(F.struct(*[c.alias(f"k{i}") for i, c in enumerate([*same, F.col("reach"), -F.col("id")])], "stem")).alias("best")
+            )
+            agg = each.groupBy("node").agg(F.max(F.struct("strahler", "times")).alias("top"), F.sum("shreve").alias("shreve"), F.max("far").alias("far"), F.max("best").alias("best"))
+            folded = here.join(agg, "node", "left").select(
+                "node", F.coalesce(F.col("top.strahler") + (F.col("top.times") >= 2).cast("int"), F.lit(1)).alias("strahler"), F.coalesce("shreve", F.lit(1)).alias("shreve"), F.coalesce("far", F.lit(0)).alias("far"), F.coalesce("best.stem", "node").alias("stem")
+            )
+        values[hop] = below = stage_table(folded, "fold")
+    first = F.lit(1)
+    if isolated_hack is not None:
+        first = F.when(F.col("node").isin(*boundary), 1).otherwise(isolated_hack) if boundary else F.lit(isolated_hack)
+    above = stage_table(values[0].select("node", "stem", first.alias("hack"), F.col("strahler").alias("horton"), F.lit(0).alias("seq")), "fold")
+    out = None
+    for hop in range(1, depth + 1):
+        up = above.select(F.col("node").alias("to"), F.col("stem").alias("up_stem"), F.col("hack").alias("up_hack"), F.col("horton").alias("up_horton"), F.col("seq").alias("up_seq"))
+        here = level.filter(F.col("hop") == hop).select("id", F.col("from").alias("node"), "to").join(values[hop], "node").join(up, "to")
+        same = F.col("stem") == F.col("up_stem")
+        rows = here.select(
+            "id", "node", "strahler", "shreve", "far", "stem", F.when(same, F.col("up_hack")).otherwise(F.col("up_hack") + 1).alias("hack"), F.when(same, F.col("up_horton")).otherwise(F.col("strahler")).alias("horton"),
+            F.when(same, F.col("up_seq") + 1).otherwise(1).alias("seq"),
+        )
+        above = stage_table(rows, "fold")
+        out = above if out is None else out.union(above)
+    if out is None:
+        return edges.sparkSession.createDataFrame([], ORDER_SCHEMA)
+    long = lambda c, n: F.col(c).cast("long").alias(n)
+    return out.select("id", long("strahler", "strahler"), long("shreve", "shreve"), long("far", "max_uplength"), long("stem", "mainstem"), long("hack", "hack"), long("horton", "horton"), long("seq", "mainstem_seq"))
+
+
+def stream_orders(paths: DataFrame, name: str | None = None, isolated_hack: int | None = None, boundary: list | None = None, most: int = COMPONENT_EDGES) -> DataFrame:
     """Orders of every flowpath, those of its upper end; null for secondary and bank flowpaths and on cycles.
 
     ``name`` is a column whose values keep a mainstem together; without it the longest way up does. A mainstem's id is its
-    headwater node. ``component`` is the smallest node that any flowpaths connect. A component goes to one task, as its
-    primary edges alone; one of more than ``COMPONENT_EDGES`` is an error that says so.
+    headwater node. ``component`` is the smallest node that any flowpaths connect. A component of at most ``most`` primary
+    edges goes to one task; larger ones are folded step by step over the whole cluster.
     """
     comp = connected_components(paths, "from_nexus_id", "to_nexus_id")
     known = stage_table(
@@ -143,15 +196,17 @@ def stream_orders(paths: DataFrame, name: str | None = None, isolated_hack: int
         ),
         "order-edges",
     )
-    largest = known.filter(PRIMARY).groupBy("component").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > COMPONENT_EDGES:
-        raise ValueError(f"a component has {largest} primary edges; one task folds at most {COMPONENT_EDGES}")
+    sizes = known.filter(PRIMARY).groupBy("component").agg(F.count("*").alias("n"))
+    large = stage_table(sizes.filter(F.col("n") > most).select("component"), "large")
     marks = set(boundary or ())
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
         return fold_component(frame, name is not None, isolated_hack, marks)
 
-    folded = known.filter(PRIMARY).groupBy("component").applyInPandas(fold, ORDER_SCHEMA)
+    folded = known.filter(PRIMARY).join(large, "component", "left_anti").groupBy("component").applyInPandas(fold, ORDER_SCHEMA)
+    if not large.isEmpty():
+        rows = stage_table(known.filter(PRIMARY).join(large, "component", "left_semi").select("id", "from", "to", "length", "name"), "large-edges")
+        folded = folded.union(fold_levels(rows, name is not None, isolated_hack, marks))
     return known.select("id", "component").join(folded, "id", "left")
 
 

@@ -816,7 +816,7 @@ def _(s, d):
     return A.catchments(s, d).select("id", G.line_length(_ring()).alias("length"), G.ring_area(_ring()).alias("area"))
 
 
-@query("sp_reproject", oracle(f"SELECT id, round(x1 * {_EDGE}::DOUBLE / 180, 2) AS x, round(ln(tan(radians(y1) / 2 + pi() / 4)) * {_EDGE}::DOUBLE / pi(), 2) + 0.0::DOUBLE AS y, x1 AS lon, y1 AS lat FROM lined"))
+@query("sp_reproject", oracle(f"SELECT id, round(x1 * {_EDGE}::DOUBLE / 180, 2) AS x, round(ln(tan(radians(y1) / 2 + pi() / 4)) * {_EDGE}::DOUBLE / pi(), 2) + 0.0::DOUBLE AS y, round(x1, 6) AS lon, round(y1, 6) AS lat FROM lined"))
 def _(s, d):
     x, y = G.to_mercator(F.col("x1"), F.col("y1"))
     lon, lat = G.from_mercator(x, y)
