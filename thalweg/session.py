@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +22,28 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_RUN = uuid.uuid4().hex
+_made: dict[str, SparkSession] = {}
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/thalweg/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; it goes when the driver's Python ends in good order."""
+    run = f"{shared_root(spark)}/thalweg/{_RUN}"
+    if run not in _made:
+        _made[run] = spark
+    return f"{run}/{name}-{uuid.uuid4().hex}"
+
+
+@atexit.register
+def _clean() -> None:
+    for path, spark in _made.items():
+        try:
+            if path.startswith("file:"):
+                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+            else:
+                drop_path(spark, path)
+        except Exception:  # noqa: BLE001  the session may be gone; what is left is only scratch
+            pass
 
 
 def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
