@@ -19,6 +19,11 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = f"file://{LOCAL_FALLBACK}"
         spark.sparkContext.setCheckpointDir(root)
+    if "://" not in root:  # a bare path belongs to the default file system
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        root = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        if root.startswith("file:/") and not root.startswith("file://"):
+            root = "file://" + root.removeprefix("file:")
     return root.rstrip("/")
 
 
@@ -38,8 +43,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def _clean() -> None:
     for path, spark in _made.items():
         try:
-            if path.startswith("file:"):
-                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+            if path.startswith("file://"):
+                shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
             else:
                 drop_path(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone; what is left is only scratch
