@@ -59,6 +59,8 @@ def test_traversals(spark):
     assert {r.id for r in N.trace(p, start, upstream=True).collect()} == {1, 2, 3, 4, 5, 6, 7}
     assert [r.id for r in N.trace(p, start, upstream=True, most=3).collect()] == [7, 3, 6]
     loop = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long")
+    assert {(r.id, r.hop) for r in N.reachable(loop, spark.createDataFrame([(1,), (7,)], "id long"), at_once=0).collect()} == {(1, 0), (2, 1), (3, 2), (7, 0)}
+    assert {(r.id, r.hop) for r in N.reachable(loop, spark.createDataFrame([(1,), (7,)], "id long"), within=1).collect()} == {(1, 0), (2, 1), (7, 0)}
     assert {(r.id, r.hop) for r in N.reachable(loop, spark.createDataFrame([(1,)], "id long")).collect()} == {(1, 0), (2, 1), (3, 2)}
 
 
@@ -110,6 +112,7 @@ def test_pourpoints_of_the_known_network(spark):
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 5), (9, 8), (None, 1), (7, None), *[(k, k + 1) for k in range(100, 160)]], "src long, dst long")
     got = {r.id: r.component for r in connected_components(e).collect()}
+    assert got == {r.id: r.component for r in connected_components(e, at_once=0).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 5: 5, 8: 8, 9: 8} | {k: 100 for k in range(100, 161)}
     assert connected_components(e.limit(0)).count() == 0
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +15,41 @@ from thalweg.session import stage_table
 MAX_ROUNDS = 60
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+#: Up to so many edges, 16 bytes each, a graph is done by one task; rounds over the cluster only pay beyond.
+AT_ONCE = 250_000
+
+
+def label(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and the smallest node each is connected with, by smallest neighbours and pointer jumping."""
+    nodes, flat = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = flat[: len(u)], flat[len(u) :]
+    root = np.arange(len(nodes))
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return nodes, nodes[root]
+
+
+def _label_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held = list(frames)
+    if held:
+        whole = pd.concat(held)
+        nodes, low = label(whole["u"].to_numpy(), whole["v"].to_numpy())
+        yield pd.DataFrame({"id": nodes, "component": low})
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", at_once: int = AT_ONCE) -> DataFrame:
     """Return ``(id, component)`` for every endpoint; ``component`` is the smallest id reachable.
 
     Self-loops count as a node of their own, repeated edges count once, edges with a null end are
     ignored, and no edges give no rows. Neighbour lists are never gathered: each step is a minimum
-    per node (combined before the shuffle) and a join that adaptive execution may split.
+    per node (combined before the shuffle) and a join that adaptive execution may split. A graph of at most ``at_once``
+    edges with whole-number ids goes to a single task instead.
     """
     pairs = (
         edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
@@ -25,6 +58,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         .distinct()
     )
     pairs = stage_table(pairs, "cc-edges")
+    if at_once and dict(pairs.dtypes)["u"] in ("bigint", "int") and pairs.limit(at_once + 1).count() <= at_once:
+        kind = dict(pairs.dtypes)["u"]
+        return pairs.repartition(1).mapInPandas(_label_all, f"id {kind}, component {kind}")
     nodes = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
     loops = pairs.filter("u <> v")
     before = None

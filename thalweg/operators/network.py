@@ -6,12 +6,14 @@ shared folder each round, and end on an explicit test; a cap on rounds raises.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.operators.components import connected_components
+from thalweg.operators.components import AT_ONCE, connected_components
 from thalweg.session import stage_table
 
 MAX_ROUNDS = 10_000
@@ -25,9 +27,42 @@ def primary(paths: DataFrame) -> DataFrame:
     return paths.filter(PRIMARY)
 
 
-def reachable(links: DataFrame, starts: DataFrame, within: int | None = None) -> DataFrame:
-    """(id, hop) of every node that ``links`` (src, dst) lead to from ``starts`` (id), starts at hop 0; cycles are safe."""
+def _walk(frames: Iterator[pd.DataFrame], within: int | None) -> Iterator[pd.DataFrame]:
+    """Breadth-first search over rows (a, b, first): links, and starts as b of first rows, all in one task."""
+    held = list(frames)
+    if not held:
+        return
+    whole = pd.concat(held)
+    is_start = whole["first"].to_numpy(bool)
+    src, dst = whole["a"].to_numpy()[~is_start], whole["b"].to_numpy()[~is_start]
+    order = np.argsort(src, kind="stable")
+    src, dst = src[order], dst[order]
+    frontier = seen = np.unique(whole["b"].to_numpy()[is_start])
+    hop = 0
+    while len(frontier):
+        yield pd.DataFrame({"id": frontier, "hop": np.full(len(frontier), hop, np.int32)})
+        if hop == within:
+            return
+        lo, hi = np.searchsorted(src, frontier, "left"), np.searchsorted(src, frontier, "right")
+        size = hi - lo
+        at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        frontier = np.setdiff1d(dst[at], seen)
+        seen = np.union1d(seen, frontier)
+        hop += 1
+
+
+def reachable(links: DataFrame, starts: DataFrame, within: int | None = None, at_once: int = AT_ONCE) -> DataFrame:
+    """(id, hop) of every node that ``links`` (src, dst) lead to from ``starts`` (id), starts at hop 0; cycles are safe.
+
+    Up to ``at_once`` links and starts are walked by one task, more in rounds over the cluster.
+    """
     links = stage_table(links.select("src", "dst").distinct(), "links")
+    if at_once and links.limit(at_once + 1).count() <= at_once:
+        links, starts = links.dropna(), starts.select("id").dropna().distinct()
+        if starts.limit(at_once + 1).count() <= at_once:
+            rows = links.select(F.col("src").cast("long").alias("a"), F.col("dst").cast("long").alias("b"), F.lit(False).alias("first"))
+            rows = rows.union(starts.select(F.lit(0).cast("long"), F.col("id").cast("long"), F.lit(True)))
+            return rows.repartition(1).mapInPandas(lambda frames: _walk(frames, within), "id long, hop int")
     seen = frontier = stage_table(starts.select("id").distinct().withColumn("hop", F.lit(0)), "reach")
     for hop in range(1, (within if within is not None else MAX_ROUNDS) + 1):
         found = frontier.join(links, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct().join(seen, "id", "left_anti")
