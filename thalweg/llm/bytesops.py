@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.sql import SparkSession
 
 _RNG = np.random.default_rng(20240229)
 #: A random value for each byte and odd multipliers for each place in a word.
@@ -23,6 +24,17 @@ for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     NOT_ALNUM[_a:_b] = False
 
 
+#: Rows of an Arrow batch of texts, where the session keeps Spark's default; rows are some kilobytes each, and batches stand in memory several times.
+BATCH_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold few rows, unless the session has a setting of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser, so that every bit of the input reaches every bit of the output."""
     x = x ^ (x >> np.uint64(30))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import mix64, slices
+from thalweg.llm.bytesops import mix64, slices, text_batches
 
 WINDOW = 64
 SCALE = 1000
@@ -309,6 +309,7 @@ def fingerprint_neighbours(docs: DataFrame, ranks: np.ndarray | None = None) ->
     range is done by itself: one shuffle of the texts, no row meets more than its neighbour.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if ranks is None:
         ranks = corpus_ranks(base)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import mix64, shingle_sets, slices
+from thalweg.llm.bytesops import mix64, shingle_sets, slices, text_batches
 from thalweg.operators.components import connected_components
 from thalweg.session import stage_table
 
@@ -269,7 +269,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     Rows that repeat a doc_id are one node of the graph and come back once each. A row without a doc_id takes the
     component of its copies that have one, else null, and is not kept. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    text_batches(docs.sparkSession)
     threshold = percent / 100
     sig = stage_table(signatures(docs, shingle, threshold), "minhash")
     rep = sig.filter("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
@@ -287,7 +287,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     members = shared.select("id").distinct()
     sets = stage_table(full_sets(docs, members, shingle).join(members, "id", "left_semi"), "sets")
     links = stage_table(confirm(close, sets, percent), "links")
-    comp = connected_components(links, "a", "b")
+    comp = connected_components(links, "a", "b", at_once=0)
 
     placed = shared.join(comp, "id", "left").select("bh", "id", "members", F.coalesce("component", "id").alias("comp"))
     placed = stage_table(placed, "placed")
@@ -303,7 +303,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     more = rows.select("bh", "bi", "bj", "id", "comp", "n", "side", "fine", "bands").mapInArrow(_compare(threshold), "a long, b long").distinct()
     more = stage_table(more, "candidates")
     links = links.union(stage_table(confirm(more, sets, percent), "more-links"))
-    comp = connected_components(links, "a", "b")
+    comp = connected_components(links, "a", "b", at_once=0)
 
     done = folded.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     bare = sig.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

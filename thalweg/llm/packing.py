@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import BYTE_VALUE, PLACE, mix64, slices
+from thalweg.llm.bytesops import BYTE_VALUE, PLACE, mix64, slices, text_batches
 from thalweg.session import stage_table
 
 WINDOW = 2048
@@ -282,6 +282,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, t
     A null text counts as empty and is its end id alone; rows that repeat are packed each; a null source is a
     queue of its own; an empty table gives no rows.
     """
+    text_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
     key = F.xxhash64("doc_id", "text")
     dealt = source.repartition(key).sortWithinPartitions("doc_id", key, "source")

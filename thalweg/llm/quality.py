@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import slices, word_hashes
+from thalweg.llm.bytesops import slices, text_batches, word_hashes
 from thalweg.llm.features import labelled_sample, texts_of
 
 #: The most labelled documents of each class, and unlabelled ones, that the views are fitted on.
@@ -204,6 +204,7 @@ def _sampled(rows: DataFrame) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS, unlabelled: int = UNLABELLED) -> QualityModel:
     """Co-train on at most ``per_class`` documents of each label and ``unlabelled`` without one, chosen by hashes of doc_id."""
+    text_batches(docs.sparkSession)
     source = _columns(docs)
     sample, totals = labelled_sample(source, labels, label, per_class)
     value, views = _sampled(sample.select("doc_id", "text", "source", "lang", "_label"))

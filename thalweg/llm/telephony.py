@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import slices
+from thalweg.llm.bytesops import slices, text_batches
 from thalweg.session import shared_path
 
 RATE, TARGET_RATE = 8000, 16000
@@ -212,6 +212,7 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def store_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write each text of ``docs`` (doc_id, text, any more columns) as a WAV file in a column of a table; return the table (doc_id, n_bytes, codec, media)."""
     spark = docs.sparkSession
+    text_batches(spark)
     path = path or shared_path(spark, "media")
     schema = "doc_id long, n_bytes long, codec string, media binary"
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import mix64, slices
+from thalweg.llm.bytesops import mix64, slices, text_batches
 from thalweg.llm.features import labelled_sample, texts_of, word_features
 
 BITS = 20
@@ -147,6 +147,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> OrdinalModel:
     """Fit on at most ``per_class`` documents of each label; labels of more than two values are taken as grades themselves."""
+    text_batches(docs.sparkSession)
     sample, totals = labelled_sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels, label, per_class)
     table = sample.select("doc_id", "text", "_label").mapInArrow(_pairs, "doc_id long, label int, features array<int>").toArrow().combine_chunks().sort_by("doc_id")
     lists = table.column("features").combine_chunks()

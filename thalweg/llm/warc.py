@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thalweg.llm.bytesops import text_batches
 from thalweg.session import shared_path, stage_table
 
 #: Bytes of payload after which a partition begins its next archive.
@@ -261,6 +262,7 @@ def archive_pages(pages: DataFrame, folder: str | None = None, least_bytes: int
     page_id stays null. An empty table writes no archive and gives no rows. The archives stay in ``folder``.
     """
     spark: SparkSession = pages.sparkSession
+    text_batches(spark)
     folder = folder or shared_path(spark, "warc")
     manifest = write_streams(pages, f"{folder}/streams", archive_bytes)
     archives = normalise(mark_copies(manifest, least_bytes), f"{folder}/streams", f"{folder}/members")
