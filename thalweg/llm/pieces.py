@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thalweg.llm.bytesops import text_batches
 from thalweg.session import stage_table
 
 SPACE = "▁"
@@ -31,7 +32,8 @@ CHUNK = 1 << 15
 NEVER = -(1 << 60)
 UNIT = 1024
 UNKNOWN_PENALTY = 10 * UNIT
-REMEMBERED = 600_000
+#: Segments in either half of a worker's memory, some 200 bytes each.
+REMEMBERED = 300_000
 
 
 class PieceModel:
@@ -65,7 +67,13 @@ class PieceModel:
                 node = node.setdefault(char, {})
             node[""] = (score[i], i)
         self.cut = self._cuts([pieces[i] for i in score if len(pieces[i]) > 1])
-        self.words: dict[str, bytes] = {}
+        #: Segments met lately, and those met before them.
+        self.words: dict[str, tuple[bytes, int]] = {}
+        self.older: dict[str, tuple[bytes, int]] = {}
+        #: What an id adds to a text by itself; bytes beyond ASCII only do so in runs.
+        self.shown = [chr(byte_value[i]) if byte_value.get(i, 128) < 128 else p.replace(SPACE, " ") for i, p in enumerate(pieces)]
+        self.in_run = np.zeros(len(pieces), bool)
+        self.in_run[[i for i, b in byte_value.items() if b >= 128]] = True
 
     @staticmethod
     def _cuts(inner: list[str]) -> re.Pattern:
@@ -133,14 +141,17 @@ class PieceModel:
             place = start
         return [i for ids in reversed(out) for i in ids], place
 
-    def word(self, segment: str) -> bytes:
+    def word(self, segment: str) -> tuple[bytes, int]:
+        """Ids and score of a segment, remembered."""
         found = self.words.get(segment)
         if found is None:
+            found = self.older.get(segment)
+            if found is None:
+                n = len(segment)
+                best, back = self.forward(segment, {0: 0}, n, n)
+                found = np.array(self.trace(segment, back, n)[0], np.uint32).tobytes(), best[n]
             if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            n = len(segment)
-            _, back = self.forward(segment, {0: 0}, n, n)
-            found = np.array(self.trace(segment, back, n)[0], np.uint32).tobytes()
+                self.older, self.words = self.words, {}
             self.words[segment] = found
         return found
 
@@ -148,10 +159,12 @@ class PieceModel:
         """Ids of a whole text."""
         if not text:
             return np.empty(0, np.uint32)
-        return np.frombuffer(b"".join(map(self.word, self.cut.findall(normalise(text)))), np.uint32)
+        return np.frombuffer(b"".join([self.word(m)[0] for m in self.cut.findall(normalise(text))]), np.uint32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces in a row, runs of byte pieces as UTF-8, spaces for their marks, without the one put in front."""
+        if not self.in_run[ids].any():
+            return "".join(map(self.shown.__getitem__, ids.tolist()))[1:]
         out, run = [], bytearray()
         for i in ids.tolist():
             b = self.byte_value.get(i)
@@ -161,9 +174,9 @@ class PieceModel:
             if run:
                 out.append(run.decode("utf-8", "replace"))
                 run.clear()
-            out.append(self.pieces[i])
+            out.append(self.shown[i])
         out.append(run.decode("utf-8", "replace"))
-        return "".join(out).replace(SPACE, " ")[1:]
+        return "".join(out)[1:]
 
     # ---- chunks
 
@@ -192,7 +205,7 @@ class PieceModel:
         tail, _ = self.forward(chunk[last:], {0: 0}, size - last, stop - last)
         middle = 0
         for m in self.cut.finditer(chunk, first, last):
-            middle += self.forward(m.group(), {0: 0}, len(m.group()), len(m.group()))[0][-1]
+            middle += self.word(m.group())[1]
         for e in range(min(states, first + 1)):
             head = self.forward(chunk[:first], {e: 0}, first, first)[0][first]
             if head > NEVER:
@@ -217,7 +230,7 @@ class PieceModel:
         best, back = self.forward(chunk[:first], {e: v for e, v in start.items() if e <= first}, first, first)
         front, entered = self.trace(chunk, back, first)
         for m in self.cut.finditer(chunk, first, last):
-            front += np.frombuffer(self.word(m.group()), np.uint32).tolist()
+            front += np.frombuffer(self.word(m.group())[0], np.uint32).tolist()
         best, back = self.forward(chunk[last:], {0: 0}, size - last, len(chunk) - last)
         for f in range(min(states, len(chunk) - size + 1)):
             if best[size - last + f] > NEVER:
@@ -296,6 +309,7 @@ def encode_texts(docs: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFr
     the ids decode to the text again. A null or empty text has no ids; rows that repeat come back each; an empty table gives
     no rows.
     """
+    text_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
