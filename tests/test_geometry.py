@@ -68,7 +68,7 @@ def test_scalar_geometry(spark):
     lon, lat = G.from_mercator(x, y)
     assert abs(value(lon) + 75.5) < 1e-9 and abs(value(lat) - 45.25) < 1e-9
     assert [value(c) for c in G.tile_envelope(F.lit(0), F.lit(0), F.lit(0))] == [-G.MERCATOR_EDGE, -G.MERCATOR_EDGE, G.MERCATOR_EDGE, G.MERCATOR_EDGE]
-    assert value(G.tile_key(F.lit("nhn"), F.lit(2), F.lit(3), F.lit(0))) == "NHN__2_3_0" and value(G.tile_key(F.lit("nhn"), F.lit(2), F.lit(4), F.lit(0))) is None
+    assert value(G.tile_key(F.lit("flow"), F.lit(2), F.lit(3), F.lit(0))) == "FLOW__2_3_0" and value(G.tile_key(F.lit("flow"), F.lit(2), F.lit(4), F.lit(0))) is None
     assert [value(Q.letters(F.lit(n))) for n in (0, 25, 26, 51, 52, 701, 702)] == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA"]
 
 
