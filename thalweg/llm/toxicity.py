@@ -20,7 +20,7 @@ from thalweg.llm.features import labelled_sample, texts_of, word_features
 
 BITS = 20
 #: The most labelled documents of each class that the model is fitted on.
-PER_CLASS = 5000
+PER_CLASS = 3000
 #: Features are kept from this many standard errors of difference on, if one class has them so many times as often, in this
 #: many of its documents and this share of them; a few copies of a document don't make a feature.
 LEAST_Z, LEAST_LIFT, LEAST_DOCS, LEAST_SHARE, MOST_FEATURES = 5.0, 5.0, 4, 0.006, 1 << 14
