@@ -187,10 +187,23 @@ def cache_evictions(tiles: DataFrame, limit: int, spare: int) -> DataFrame:
     return placed.crossJoin(F.broadcast(total)).filter((F.col("total") > limit) & (F.col("running") - F.col("size") < F.col("total") - (limit - spare))).select("key", "running")
 
 
+def places_in_group(rows: DataFrame, key: str, value: str, tie: str, width: int) -> DataFrame:
+    """Add n, the place from 0 in the group by falling ``value``, then ``tie``; a task ranks one range of ``width`` values of a group, after the counts of higher ones."""
+    ranged = rows.withColumn("_range", F.floor(F.col(value) / width))
+    counts = ranged.groupBy(key, "_range").agg(F.count("*").alias("_n"))
+    above = F.sum("_n").over(Window.partitionBy(key).orderBy(F.col("_range").desc())) - F.col("_n")
+    before = counts.select(F.col(key).alias("_key"), F.col("_range").alias("_at"), above.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(key, "_range").orderBy(F.col(value).desc(), tie)) - 1
+    both = ranged.withColumn("_inside", inside).join(before, F.col(key).eqNullSafe(F.col("_key")) & F.col("_range").eqNullSafe(F.col("_at")))
+    return both.withColumn("n", F.col("_before") + F.col("_inside")).drop("_range", "_inside", "_key", "_at", "_before")
+
+
 def letters(n: Column) -> Column:
-    """0, 1, ... as A, ..., Z, AA, ...: up to three letters."""
-    one = lambda c: F.chr(F.lit(65) + c.cast("int"))
-    two = F.concat(one(F.expr("0") + F.floor((n - 26) / 26)), one((n - 26) % 26))
-    m = n - 702
-    three = F.concat(one(F.floor(m / 676)), one(F.floor(m / 26) % 26), one(m % 26))
-    return F.when(n < 26, one(n)).when(n < 702, two).otherwise(three)
+    """0, 1, ... as A, ..., Z, AA, ...: as many letters as the number takes (14 for the largest long)."""
+
+    def step(s: Column, _: Column) -> Column:
+        more = s["n"] >= 0
+        name = F.concat(F.chr(F.lit(65) + (s["n"] % 26).cast("int")), s["name"])
+        return F.struct(F.when(more, F.call_function("div", s["n"], F.lit(26)) - 1).otherwise(s["n"]).alias("n"), F.when(more, name).otherwise(s["name"]).alias("name"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), F.struct(n.cast("long").alias("n"), F.lit("").alias("name")), step, lambda s: s["name"])

@@ -340,10 +340,9 @@ def _(s, d):
 
 @query("win_partition_letters", oracle(", r AS (SELECT ec_type, id, area, row_number() OVER (PARTITION BY ec_type ORDER BY area DESC, id) - 1 AS n FROM catchments) SELECT id, CASE WHEN n < 26 THEN chr(CAST(65 + n AS INT)) ELSE chr(CAST(65 + (n - 26) // 26 AS INT)) || chr(CAST(65 + (n - 26) % 26 AS INT)) END AS name FROM r WHERE n < 702"))
 def _(s, d):
-    from pyspark.sql import Window
-
-    n = (F.row_number().over(Window.partitionBy("ec_type").orderBy(F.col("area").desc(), "id")) - 1).cast("long")
-    return A.catchments(s, d).withColumn("n", n).filter("n < 702").select("id", Q.letters(F.col("n")).alias("name"))
+    c = A.catchments(s, d).select("id", "ec_type", "area")
+    n = Q.places_in_group(c, "ec_type", "area", "id", 1024)
+    return n.select("id", Q.letters(F.col("n")).alias("name"))
 
 
 # ---- aggregates
