@@ -1,5 +1,7 @@
 """Registered queries against brute force over all of their input."""
 
+import numpy as np
+
 import __spark_entry__ as entry
 from thalweg import adapter as A
 
@@ -27,3 +29,18 @@ def test_letters_have_any_length(spark):
 
     got = spark.createDataFrame([(701,), (702,), (18277,), (18278,), (475254,)], "n long")
     assert [r.name for r in got.select(Q.letters(got.n).alias("name")).collect()] == ["ZZ", "AAA", "ZZZ", "AAAA", "AAAAA"]
+
+
+def test_all_primary_flowpaths_are_compared_for_crossings(spark):
+    lines = rows(A.with_points(A.flowpaths(spark, SF)).filter("rank = 1").select("id", "x1", "y1", "x2", "y2"))
+    ids, p = np.array([r[0] for r in lines]), np.array([r[1:] for r in lines])
+    x1, y1, x2, y2 = p.T[:, :, None]
+
+    def side(x, y):
+        return np.sign((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1))
+
+    parts = side(x1.T, y1.T) * side(x2.T, y2.T) < 0
+    a, b = np.nonzero(parts & parts.T)
+    got = entry.queries()["sp_segment_crosses"](spark, SF).toPandas()
+    assert len(ids) == 1484 and len(got) == len(a)
+    assert set(zip(got["id"], got["other"], strict=True)) == set(zip(ids[a].tolist(), ids[b].tolist(), strict=True))

@@ -49,9 +49,15 @@ def surface_area(grid: DataFrame, cell: float) -> DataFrame:
 
 
 def crossings(lines: DataFrame, others: DataFrame, size: float) -> DataFrame:
-    """(id, other) of segments that properly cross, by buckets and orientation."""
-    a = boxes_to_cells(line_boxes(lines), size).select("bx", "by", "id", *[F.col(c).alias(f"a_{c}") for c in ("x1", "y1", "x2", "y2")])
-    b = boxes_to_cells(line_boxes(others), size).select("bx", "by", F.col("id").alias("other"), *[F.col(c).alias(f"b_{c}") for c in ("x1", "y1", "x2", "y2")])
+    """(id, other) of segments (one a row and id) that properly cross, by buckets and orientation.
+
+    A pair is compared only in the first bucket that both envelopes touch, so each comes once and the pairs aren't shuffled.
+    """
+    first = lambda c: F.floor(F.col(c) / size)
+    cells = lambda t: boxes_to_cells(line_boxes(t).withColumns({"fx": first("minx"), "fy": first("miny")}), size)
+    kept = ("x1", "y1", "x2", "y2", "fx", "fy")
+    a = cells(lines).select("bx", "by", "id", *[F.col(c).alias(f"a_{c}") for c in kept])
+    b = cells(others).select("bx", "by", F.col("id").alias("other"), *[F.col(c).alias(f"b_{c}") for c in kept])
 
     def turn(p: str, q: str, r: str, pk: str, qk: str, rk: str) -> Column:
         x = lambda s, k: F.col(f"{s}_x{k}")
@@ -59,7 +65,8 @@ def crossings(lines: DataFrame, others: DataFrame, size: float) -> DataFrame:
         return F.signum((x(q, qk) - x(p, pk)) * (y(r, rk) - y(p, pk)) - (y(q, qk) - y(p, pk)) * (x(r, rk) - x(p, pk)))
 
     cross = (turn("a", "a", "b", "1", "2", "1") * turn("a", "a", "b", "1", "2", "2") < 0) & (turn("b", "b", "a", "1", "2", "1") * turn("b", "b", "a", "1", "2", "2") < 0)
-    return a.join(b, ["bx", "by"]).filter(cross).select("id", "other").distinct()
+    once = (F.col("bx") == F.greatest("a_fx", "b_fx")) & (F.col("by") == F.greatest("a_fy", "b_fy"))
+    return a.join(b, ["bx", "by"]).filter(once & cross).select("id", "other")
 
 
 def far_points(points: DataFrame, lines: DataFrame, distance: float) -> DataFrame:

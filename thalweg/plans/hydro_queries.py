@@ -908,7 +908,7 @@ def _(s, d):
 
 @query("sp_segment_crosses", oracle(", a AS (SELECT * FROM lined WHERE id BETWEEN 16 AND 400 AND rank = 1), t AS (SELECT a.id, b.id AS other, sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) * sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) AS u, sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) * sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) AS v FROM a JOIN a b ON true) SELECT id, other FROM t WHERE u < 0 AND v < 0"))
 def _(s, d):
-    p = A.with_points(A.flowpaths(s, d)).filter("id BETWEEN 16 AND 400 AND rank = 1")
+    p = A.with_points(A.flowpaths(s, d)).filter("rank = 1")
     return C.crossings(p, p, 40.0)
 
 
