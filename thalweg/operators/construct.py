@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from thalweg.operators.components import connected_components
 from thalweg.operators.network import reachable
-from thalweg.operators.spatial import boxes_to_cells, segment_distance, simplify
+from thalweg.operators.spatial import boxes_to_cells, points_in_boxes, segment_distance, simplify
 
 
 def line_boxes(lines: DataFrame) -> DataFrame:
@@ -69,20 +69,55 @@ def crossings(lines: DataFrame, others: DataFrame, size: float) -> DataFrame:
     return a.join(b, ["bx", "by"]).filter(once & cross).select("id", "other")
 
 
-def far_points(points: DataFrame, lines: DataFrame, distance: float) -> DataFrame:
+def _cells_near(lines: DataFrame, reach: float, size: float) -> DataFrame:
+    """Each line once for each bucket that it comes within ``reach`` of (and a few more); all columns are kept."""
+    dealt = lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # else a small table spreads in one task
+    wide = line_boxes(dealt).withColumns({c: F.col(c) + k * reach for c, k in (("minx", -1), ("miny", -1), ("maxx", 1), ("maxy", 1))})
+    cells = boxes_to_cells(wide, size).drop("minx", "miny", "maxx", "maxy")
+    middle = [(F.col(c) + 0.5) * size for c in ("bx", "by")]
+    return cells.filter(segment_distance(*middle, *[F.col(c) for c in ("x1", "y1", "x2", "y2")]) <= (size * math.sqrt(0.5) + reach) * (1 + 1e-9))
+
+
+def _placed(points: DataFrame, size: float) -> DataFrame:
+    return points.select("id", "x", "y", F.floor(F.col("x") / size).alias("bx"), F.floor(F.col("y") / size).alias("by"))
+
+
+def far_points(points: DataFrame, lines: DataFrame, distance: float, size: float) -> DataFrame:
     """Points (id, x, y) at least ``distance`` from every line."""
-    spread = boxes_to_cells(line_boxes(lines).select("x1", "y1", "x2", "y2", *[(F.col(c) + k * distance).alias(c) for c, k in (("minx", -1), ("miny", -1), ("maxx", 1), ("maxy", 1))]), 4 * distance)
-    p = points.select("id", "x", "y", F.floor(F.col("x") / (4 * distance)).alias("bx"), F.floor(F.col("y") / (4 * distance)).alias("by"))
-    near = p.join(spread, ["bx", "by"]).filter(segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]) < distance).select("id")
+    spread = _cells_near(lines.select("x1", "y1", "x2", "y2"), distance, size)
+    near = _placed(points, size).join(spread, ["bx", "by"]).filter(segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]) < distance).select("id")
     return points.join(near, "id", "left_anti")
 
 
-def nearest_line(points: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
+def _closest(pairs: DataFrame) -> DataFrame:
+    """(id, line, distance) of the closest line (lowest id of equals) of each point among pairs (id, x, y, line, x1, y1, x2, y2)."""
+    d = F.round(segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]), 6)
+    return pairs.groupBy("id").agg(F.min(F.struct(d.alias("distance"), "line")).alias("b")).select("id", "b.line", "b.distance")
+
+
+def nearest_line(points: DataFrame, lines: DataFrame, radius: float, size: float) -> DataFrame:
     """(id, line, distance) of the nearest line (lowest id of equals) within ``radius`` of each point; no row where none is."""
-    spread = boxes_to_cells(line_boxes(lines).select(F.col("id").alias("line"), "x1", "y1", "x2", "y2", *[(F.col(c) + k * radius).alias(c) for c, k in (("minx", -1), ("miny", -1), ("maxx", 1), ("maxy", 1))]), 4 * radius)
-    p = points.select("id", "x", "y", F.floor(F.col("x") / (4 * radius)).alias("bx"), F.floor(F.col("y") / (4 * radius)).alias("by"))
-    near = p.join(spread, ["bx", "by"]).withColumn("distance", F.round(segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]), 6)).filter(F.col("distance") <= radius)
-    return near.groupBy("id").agg(F.min(F.struct("distance", "line")).alias("b")).select("id", "b.line", "b.distance")
+    spread = _cells_near(lines.select(F.col("id").alias("line"), "x1", "y1", "x2", "y2"), radius, size)
+    return _closest(_placed(points, size).join(spread, ["bx", "by"])).filter(F.col("distance") <= radius)
+
+
+def flow_from_point(points: DataFrame, catchments: DataFrame, paths: DataFrame, banks: DataFrame, size: float, radius: float) -> DataFrame:
+    """(id, line, distance): the flowpath that each point (id, x, y) drains to; no row where none is.
+
+    A point inside a catchment (id, minx, miny, maxx, maxy; the lowest id of several) has its only or closest flowpath
+    (id, ecatchment_id, from_nexus_id, x1, y1, x2, y2). Where the catchment has none but is of ``banks`` (id, nexus) with one nexus, it is the
+    first flowpath (lowest id) out of that nexus. A point in no catchment has the nearest flowpath within ``radius``.
+    """
+    inside = points_in_boxes(points, catchments, size).groupBy("id").agg(F.min("box").alias("box"))
+    placed = points.select("id", "x", "y").join(inside, "id", "left")
+    lines = paths.select("ecatchment_id", "from_nexus_id", F.col("id").alias("line"), "x1", "y1", "x2", "y2")
+    ends = ["line", "x1", "y1", "x2", "y2"]
+    own = lines.select(F.col("ecatchment_id").alias("box"), *ends)
+    one = banks.distinct().groupBy(F.col("id").alias("box")).agg(F.min("nexus").alias("nexus"), F.count("*").alias("n")).filter("n = 1")
+    first = lines.groupBy(F.col("from_nexus_id").alias("nexus")).agg(F.min(F.struct(*ends)).alias("f")).select("nexus", "f.*")
+    bank = one.join(own, "box", "left_anti").join(first, "nexus").select("box", *ends)
+    within = _closest(placed.join(own.union(bank), "box"))
+    return within.union(nearest_line(placed.filter("box IS NULL"), paths, radius, size))
 
 
 def inflow_order(paths: DataFrame) -> DataFrame:

@@ -916,18 +916,21 @@ _NEAR = ", l AS (SELECT id AS line, x1, y1, x2, y2 FROM lined WHERE rank = 1 AND
 
 
 def _near_inputs(s, d) -> tuple[DataFrame, DataFrame]:
-    lines = A.with_points(A.flowpaths(s, d)).filter("rank = 1 AND id < 200 AND (x1 <> x2 OR y1 <> y2)")
+    lines = A.with_points(A.flowpaths(s, d)).filter("rank = 1")
     return A.points(s, d).select("id", (F.col("x") / 3).alias("x"), (F.col("y") / 3).alias("y")), lines
 
 
 @query("sp_proximity_filter", oracle(_NEAR + " SELECT id, x, y FROM pt WHERE id NOT IN (SELECT id FROM dd WHERE d < 2)"))
 def _(s, d):
-    return C.far_points(*_near_inputs(s, d), 2.0)
+    return C.far_points(*_near_inputs(s, d), 2.0, 10.0)
 
 
 @query("g_flow_from_point", oracle(_NEAR + " SELECT id, arg_min(line, (round(d, 6), line)) AS line, min(round(d, 6)) AS distance FROM dd WHERE round(d, 6) <= 10 GROUP BY 1"))
 def _(s, d):
-    return C.nearest_line(*_near_inputs(s, d), 10.0)
+    p, _ = _near_inputs(s, d)
+    paths, c = A.with_points(_owned(s, d)), A.catchments(s, d)
+    banks = c.filter("ec_type = 2").select("id", F.col("id").alias("nexus"))
+    return C.flow_from_point(p, c, paths, banks, 10.0, 1.0)
 
 
 @query("win_angle_order", oracle(", o AS (SELECT from_nexus_id AS node, atan2(y2 - y1, x2 - x1) AS o FROM lined WHERE rank = 1), i AS (SELECT to_nexus_id AS node, id, atan2(y1 - y2, x1 - x2) AS i FROM lined) SELECT node, id, row_number() OVER (PARTITION BY node ORDER BY round(CASE WHEN o - i < 0 THEN o - i + 2 * pi() ELSE o - i END, 9), id)::INT AS place FROM i JOIN o USING (node)"))
