@@ -1,5 +1,7 @@
 """Registered queries against brute force over all of their input."""
 
+from collections import Counter
+
 import numpy as np
 
 import __spark_entry__ as entry
@@ -89,3 +91,11 @@ def test_banks_and_catchments_without_flowpaths(spark):
     banks = spark.createDataFrame([(1, 9), (2, 9), (2, 8), (0, 9)], "id long, nexus long")
     got = {r.id: r.line for r in C.flow_from_point(points, boxes, paths, banks, 8.0, 1.0).collect()}
     assert got == {1: 50, 2: 52, 5: 53, 6: 53, 7: 51}
+
+
+def test_every_flowpath_is_in_one_chain(spark):
+    paths = rows(A.flowpaths(spark, SF).select("from_nexus_id", "to_nexus_id", "id", "length"))
+    into, out = Counter(p[1] for p in paths), Counter(p[0] for p in paths)
+    assert not any(into[k] == 1 and out[k] == 1 for k in out)  # so the halves are all there is to merge
+    want = [(a, b, 2 if key % 3 == 0 else 1, length) for a, b, key, length in paths]
+    assert sorted(rows(entry.queries()["g_degree2_merge"](spark, SF))) == sorted(want)

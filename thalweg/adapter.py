@@ -57,6 +57,15 @@ def flowpaths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return primary.unionByName(secondary)
 
 
+def halved(paths: DataFrame, which: str) -> DataFrame:
+    """(id, from_nexus_id, to_nexus_id, length) of flowpaths, those that ``which`` names in two parts with a nexus -id of degree 2 between; the lower part's id is -id."""
+    p = paths.select("id", "from_nexus_id", "to_nexus_id", "length")
+    cut, half = p.filter(which), F.expr("length div 2")
+    upper = cut.select("id", "from_nexus_id", (-F.col("id")).alias("to_nexus_id"), half.alias("length"))
+    lower = cut.select((-F.col("id")).alias("id"), (-F.col("id")).alias("from_nexus_id"), "to_nexus_id", (F.col("length") - half).alias("length"))
+    return p.filter(f"NOT ({which})").union(upper).union(lower)
+
+
 def with_points(paths: DataFrame) -> DataFrame:
     """Add the end points x1, y1, x2, y2 of a flowpath's straight line."""
     at = lambda rule, c: F.expr(rule.replace("k", c))

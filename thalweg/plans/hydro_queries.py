@@ -627,7 +627,7 @@ def _(s, d):
 
 @query("g_degree2_merge", None)
 def _(s, d):
-    return N.merge_chains(A.flowpaths(s, d).filter("id % 3 <> 0"))
+    return N.merge_chains(A.halved(A.flowpaths(s, d), "id % 3 = 0"))
 
 
 @query("g_sink_points", oracle("SELECT DISTINCT to_nexus_id AS id FROM flowpaths WHERE ef_type <> 2 AND to_nexus_id NOT IN (SELECT from_nexus_id FROM flowpaths WHERE ef_type <> 2)"))
