@@ -39,3 +39,18 @@ def test_slices_cover_all_rows():
     assert [k for a, b in runs for k in range(a, b)] == list(range(7))
     assert all(b - a == 1 or sizes[a:b].sum() <= 8 for a, b in runs)
     assert list(slices(np.array([], int), 8)) == []
+
+
+def test_words_that_defeat_polynomial_hashes_differ():
+    for size in (512, 1024, 2048, 4096):
+        a = "".join("ab"[bin(k).count("1") % 2] for k in range(size))
+        b = a.translate(str.maketrans("ab", "ba"))
+        hashes, _ = word_hashes([a.encode(), b.encode(), (a + b).encode(), (b + a).encode()])
+        assert len(set(hashes.tolist())) == 4
+
+
+def test_hashes_of_words_are_equal_exactly_if_the_words_are():
+    random.seed(5)
+    words = [bytes(random.choice(b"ab\x00\xc3") for _ in range(random.randint(1, 20))) for _ in range(20_000)]
+    hashes, counts = word_hashes(words)
+    assert counts.tolist() == [1] * len(words) and len(set(hashes.tolist())) == len(set(words)) == len(set(zip(words, hashes.tolist(), strict=True)))

@@ -7,11 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import SparkSession
 
-_RNG = np.random.default_rng(20240229)
-#: A random value for each byte and odd multipliers for each place in a word.
-BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLACES = 1 << 16
-PLACE = np.multiply.accumulate(np.full(_PLACES, 0x9E3779B97F4A7C15, np.uint64))
+#: The k lowest bytes of a block of eight.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 #: The six ASCII white-space bytes.
 SPACE = np.zeros(256, bool)
@@ -56,6 +54,29 @@ def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def byte_blocks(raw: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of runs, none empty, as blocks of eight (the last one filled with zeros), and each run's first block."""
+    count = (lens + 7) >> 3
+    first = np.cumsum(count) - count
+    place = np.arange(int(count.sum()), dtype=np.int64)
+    place -= np.repeat(first, count)
+    place <<= 3
+    view = np.ndarray((len(raw),), "<u8", np.concatenate([raw, np.zeros(8, np.uint8)]), strides=(1,))
+    blocks = view[np.repeat(begin, count) + place]
+    blocks &= FIRST_BYTES[np.minimum(np.repeat(lens, count) - place, 8)]
+    return blocks, first
+
+
+def block_hashes(blocks: np.ndarray, first: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs: every block is mixed with its place before the blocks are summed, so that no pattern of bytes cancels out."""
+    count = np.diff(first, append=len(blocks))
+    place = np.arange(len(blocks), dtype=np.uint64)
+    place -= np.repeat(first, count).astype(np.uint64)
+    place += np.uint64(1)
+    place *= _STEP
+    return mix64(np.add.reduceat(mix64(blocks ^ mix64(place)), first) + lens.astype(np.uint64))
+
+
 def word_hashes(texts: list[bytes], separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, A-Z lower-cased, and each text's count of words."""
     if not texts:
@@ -69,14 +90,8 @@ def word_hashes(texts: list[bytes], separator: np.ndarray = SPACE) -> tuple[np.n
     counts = np.diff(np.searchsorted(begin, bounds), prepend=0)
     if not len(begin):
         return np.empty(0, np.uint64), counts
-    word = LOWER[raw[~sep]]
-    lens = end - begin
-    offset = np.cumsum(lens) - lens
-    place = np.arange(len(word), dtype=np.int64)
-    place -= np.repeat(offset, lens)
-    place &= _PLACES - 1
-    hashes = np.add.reduceat(BYTE_VALUE[word] * PLACE[place], offset)
-    return mix64(hashes + lens.astype(np.uint64)), counts
+    blocks, first = byte_blocks(LOWER[raw], begin, end - begin)
+    return block_hashes(blocks, first, end - begin), counts
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import _PLACES, BYTE_VALUE, LOWER, NOT_ALNUM, PLACE, mix64
+from thalweg.llm.bytesops import FIRST_BYTES, LOWER, NOT_ALNUM, block_hashes, byte_blocks, mix64
 
 #: Whole words and their first bytes, so that inflected forms share a feature.
 PREFIXES = (0, 4, 5)
@@ -31,18 +31,14 @@ def word_features(texts: list[bytes], bits: int, keep: np.ndarray | None = None)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     owner = np.searchsorted(np.cumsum(sizes + 1), begin, "right")
     lens = end - begin
-    offset = np.cumsum(lens) - lens
-    place = np.arange(int(lens.sum()), dtype=np.int64)
-    place -= np.repeat(offset, lens)
-    value = BYTE_VALUE[LOWER[raw[~sep]]] * PLACE[place & (_PLACES - 1)]
+    blocks, first = byte_blocks(LOWER[raw], begin, lens)
     rows, cols = [], []
     for k in PREFIXES:
         if k:
             own = lens >= k
-            h = np.add.reduceat(np.where(place < k, value, np.uint64(0)), offset)[own]
-            who = owner[own]
+            h, who = mix64(blocks[first[own]] & FIRST_BYTES[k]), owner[own]
         else:
-            h, who = np.add.reduceat(value, offset), owner
+            h, who = block_hashes(blocks, first, lens), owner
         f = (mix64(h + np.uint64(k)) >> np.uint64(64 - bits)).astype(np.int64)
         if keep is not None:
             used = keep[f]
