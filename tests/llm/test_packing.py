@@ -4,12 +4,18 @@ import random
 import numpy as np
 from tokenizers import Tokenizer
 
-from thalweg.llm.packing import END_ID, Packer, WordTokenizer, ids_crc32, pack_documents
+from thalweg.llm import packing
+from thalweg.llm.packing import END_ID, Mixture, WordTokenizer, ids_crc32, pack_documents
 from thalweg.llm.queries import tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
 
 
+def tm(size, letters="ab"):
+    """The word of Thue and Morse, whose polynomial hashes modulo powers of two equal its complement's."""
+    return "".join(letters[bin(k).count("1") % 2] for k in range(size))
+
+
 def test_ids_are_the_tokenizers():
     engine, words = Tokenizer.from_file(PATH), WordTokenizer(PATH)
     r = random.Random(5)
@@ -52,22 +58,71 @@ def test_every_id_lies_in_one_piece(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
-def test_mixtures_follow_the_targets():
-    packer = Packer(2048, 256, {"a": 3, "b": 1}, 0)
-    for i in range(400):
-        packer.add("a", i, np.arange(1000), 0, 1000)
-        packer.add("b", 1000 + i, np.arange(1000), 0, 1000)
-    out, rest, _ = packer.pack(last=False)
-    seen, owed = collections.Counter(), 0
-    for _, _, n, _, _, seq, _, source in out:
-        if seq < 200:
-            seen[source] += n
-    assert abs(seen["a"] / sum(seen.values()) - 0.75) < 0.01
-    # while both last, no window is far from its target
-    for seq in range(0, 200, 20):
-        part = sum(n for _, _, n, _, _, s, _, source in out if s < seq + 1 and source == "a")
-        assert abs(part - 0.75 * 2048 * (seq + 1)) <= 1024 + 256
-    assert sum(x[2] for x in out) + sum(len(x[1]) for x in rest) == 800_000 and owed == 0
+def furthest(got, targets, window):
+    """How far any source is from its target after any full window, in tokens; all sources must last."""
+    scale = sum(targets.values())
+    served, worst = collections.Counter(), 0.0
+    by_seq = collections.defaultdict(list)
+    for x in got:
+        by_seq[x.sequence_id].append(x)
+    for n, seq in enumerate(sorted(by_seq), 1):
+        for x in by_seq[seq]:
+            served[x.source] += x.length
+        if sum(x.length for x in by_seq[seq]) == window:
+            worst = max(worst, *(abs(served[s] - t / scale * window * n) for s, t in targets.items()))
+    return worst
+
+
+def test_every_window_follows_the_corpus_mixture(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_WINDOWS", 7)
+    r = random.Random(4)
+    rows = [(i, " ".join(["river"] * r.randint(1, 60)), "a" if i % 3 else r.choice(["b", "c", None])) for i in range(900)] + [(900, "lake " * 40_000, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = pack_documents(docs, PATH, window=128, least_piece=16).collect()
+    check(rows, got, 128)
+    totals = collections.Counter()
+    for x in got:
+        totals[x.source] += x.length
+    share = sum(totals.values())
+    assert all(abs(x.target - totals[x.source] / share) < 1e-9 for x in got)
+    # deficits are carried over windows and over the ends of partitions, a few windows apart here
+    assert len({x.sequence_id for x in got}) > 300 and furthest(got, totals, 128) <= 16 + len(totals) * 16
+
+
+def test_a_mixture_of_other_shares_lasts_while_its_sources_do(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_WINDOWS", 5)
+    rows = [(i, "word " * 99, "ab"[i % 2]) for i in range(400)] + [(500 + i, "word " * 99, "z") for i in range(20)]
+    got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"), PATH, window=100, targets={"a": 3, "b": 1}, least_piece=10).collect()
+    check(rows, got, 100)
+    # the 20,000 tokens of a last for 266 windows, then b goes on, and z, which has no target, comes last
+    assert furthest([x for x in got if x.sequence_id < 266], {"a": 3, "b": 1}, 100) <= 40
+    assert {x.source for x in got if x.sequence_id < 390} == {"a", "b"} and {x.source for x in got if x.sequence_id >= 401} == {"z"}
+
+
+def test_cuts_are_whole_and_rise():
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        totals = r.integers(1, 5000, r.integers(1, 9)).astype(np.int64)
+        mix = Mixture(tuple(map(str, range(len(totals)))), totals, r.choice([totals.astype(float), r.random(len(totals)) * (r.random(len(totals)) < 0.8)]) if len(totals) > 1 else totals.astype(float))
+        windows = mix.total // 64
+        firsts = np.arange(7) * windows // 7
+        cuts = mix.cuts(firsts, 64)
+        assert (np.diff(cuts, axis=0) >= 0).all() and (cuts[-1] == totals).all()
+        assert cuts.sum(1).tolist() == [*(firsts * 64).tolist(), mix.total]
+        assert np.abs(cuts[:-1] - mix.due(firsts * 64)).max() < 2
+
+
+def test_runs_of_equal_hashes_are_told_apart_by_their_bytes(monkeypatch):
+    texts = ["".join(c) + " plain text" for c in (tm(1024), tm(1024, "ba"), tm(2048), "riverbank", "lakeshore")]
+    engine = Tokenizer.from_file(PATH)
+    want = [engine.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in WordTokenizer(PATH).ids(texts)] == want
+    # even with a hash of no use at all
+    monkeypatch.setattr(packing, "block_hashes", lambda blocks, first, lens: (lens % 2).astype(np.uint64))
+    words = WordTokenizer(PATH)
+    for _ in range(2):
+        assert [x.tolist() for x in words.ids(texts)] == want
+        assert [words.ids([t])[0].tolist() for t in texts] == want
 
 
 def test_an_empty_table(spark):

@@ -1,10 +1,11 @@
 """Mixture-controlled packing: deficit round-robin over source queues into windows of fixed size.
 
-Documents are dealt evenly over partitions, tokenized there and queued by source. Every window adds to each
-source's deficit its share of the window; the source furthest behind sends next, what it is owed but not less than
-``least_piece`` (unless its document or the window ends), and so deficits carry from window to window. What no longer fills a window
-goes, with the deficits, to a second step that packs the rests of many partitions the same way. The last rest
-is cut into sequences whose sizes are powers of two, so no sequence needs padding.
+Texts are tokenized where they are. The tokens of a source make one stream, in the order of a hash of its documents. A target
+mixture says how much of each stream is due after any number of windows; partitions are runs of whole windows, each is given exactly what is
+due between its ends, and what rounding leaves owed goes with it to the next one. In a partition every window adds to each
+source's deficit what is due for it; the source furthest behind sends next, what it is owed but not less than ``least_piece`` (unless its
+document or the window ends), so deficits carry from window to window and from partition to partition. All sequences are full windows but those
+of the corpus's last rest, which is cut into powers of two, so no sequence needs padding.
 """
 
 from __future__ import annotations
@@ -13,23 +14,28 @@ import math
 import re
 import struct
 import zlib
+from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import BYTE_VALUE, PLACE, mix64, slices, text_batches
+from thalweg.llm.bytesops import block_hashes, byte_blocks, slices, text_batches
 from thalweg.session import stage_table
 
 WINDOW = 2048
 LEAST_PIECE = 256
 END_ID = 1
-#: Partitions whose rests meet in one task: at most that many windows.
-RESTS = 64
+#: Ids of a document that stand in one row; longer documents make several.
+MOST_PIECE = 1 << 14
+#: Documents of a source are ordered in 2 ** BUCKET_BITS buckets by hash.
+BUCKET_BITS = 12
+#: Windows of a partition, unless there would be more than so many partitions, or more than so many (partition, source) pairs.
+PART_WINDOWS, MOST_PARTS, MOST_CUTS = 1024, 8192, 1 << 22
 #: Words a worker remembers, some 150 bytes each.
 REMEMBERED = 500_000
 _BATCH_CHARS = 1 << 22
@@ -77,27 +83,36 @@ class WordTokenizer:
     def _forget(self) -> None:
         self.words: dict[str, int] = {}
         self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+        #: The bytes of the runs behind ``hashes``, by number: blocks of eight, the first one's place and the length.
+        self.blocks, self.block_at, self.length = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.tokens = np.empty(0, self.dtype)
         self.start = self.size = np.empty(0, np.int64)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, self.dtype) for e in self.engine.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _store(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Remember token lists that stand in a row; return their numbers."""
+    def _store(self, ids: np.ndarray, size: np.ndarray, blocks: np.ndarray | None = None, first: np.ndarray | None = None, lens: np.ndarray | None = None) -> np.ndarray:
+        """Remember token lists that stand in a row, with the bytes they are of if these are to be compared; return their numbers."""
+        if blocks is None:
+            at, lens, own = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64), self.blocks[:0]
+        else:
+            count = (lens + 7) >> 3
+            begin = np.cumsum(count) - count
+            at, own = len(self.blocks) + begin, blocks[np.repeat(first - begin, count) + np.arange(int(count.sum()))]
+        self.block_at, self.length, self.blocks = np.concatenate([self.block_at, at]), np.concatenate([self.length, lens]), np.concatenate([self.blocks, own])
         self.start = np.concatenate([self.start, len(self.tokens) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.tokens = np.concatenate([self.tokens, ids])
         return np.arange(len(self.size) - len(size), len(self.size))
 
-    def _learn(self, runs: list[str]) -> np.ndarray:
+    def _learn(self, runs: list[str], *data: np.ndarray) -> np.ndarray:
         """Numbers of runs: tokenized as one text and cut where words end."""
         ids = self._whole([" ".join(runs)])[0]
         cut = np.flatnonzero(self.ends[ids]) + 1
         if len(cut) != len(runs) or cut[-1] != len(ids):
             lists = self._whole(runs)
-            return self._store(np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists)))
-        return self._store(ids, np.diff(cut, prepend=0))
+            return self._store(np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists)), *data)
+        return self._store(ids, np.diff(cut, prepend=0), *data)
 
     def _simple(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all runs of simple texts, and each text's count of runs."""
@@ -112,24 +127,32 @@ class WordTokenizer:
         if not len(begin):
             return np.empty(0, np.int64), counts
         lens = end - begin
-        offset = np.cumsum(lens) - lens
-        place = np.arange(int(lens.sum()))
-        place -= np.repeat(offset, lens)
-        h = mix64(np.add.reduceat(BYTE_VALUE[raw[kind != 0]] * PLACE[place & (len(PLACE) - 1)], offset) + lens.astype(np.uint64))
-        distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        blocks, first = byte_blocks(raw, begin, lens)
+        h = block_hashes(blocks, first, lens)
+        distinct, one, inverse = np.unique(h, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
         known = self.hashes[at] == distinct if len(self.hashes) else np.zeros(len(distinct), bool)
         number = np.empty(len(distinct), np.int64)
         if len(self.hashes):
             number[known] = self.numbers[at[known]]
         new = np.flatnonzero(~known)
+        view = raw.tobytes()
+        word = lambda k: view[begin[k] : end[k]].decode()
         if len(new):
-            view = raw.tobytes()
-            number[new] = self._learn([view[a:b].decode() for a, b in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            number[new] = self._learn([word(k) for k in one[new].tolist()], blocks, first[one[new]], lens[one[new]])
             hashes = np.concatenate([self.hashes, distinct[new]])
             order = np.argsort(hashes, kind="stable")
             self.hashes, self.numbers = hashes[order], np.concatenate([self.numbers, number[new]])[order]
-        return number[inverse], counts
+        number = number[inverse]
+        # a hash only proposes: bytes decide, and a run that shares another's hash is looked up by itself
+        count = (lens + 7) >> 3
+        there = np.repeat(self.block_at[number] - first, count) + np.arange(len(blocks))
+        same = self.length[number] == lens
+        there[np.repeat(~same, count)] = 0
+        same &= np.logical_and.reduceat(self.blocks[there] == blocks, first)
+        for k in np.flatnonzero(~same).tolist():
+            number[k] = self._other([word(k)])[0][0]
+        return number, counts
 
     def _other(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for other texts and their words; a text with odd separators is a word."""
@@ -166,108 +189,202 @@ class WordTokenizer:
         return out
 
 
+@dataclass(frozen=True)
+class Mixture:
+    """How much of each source is due after any number of tokens of the corpus: in proportion to ``targets`` while a source lasts.
+
+    ``names``: the sources, ``totals``: their tokens. Sources without a target come after all others, in proportion to their size.
+    """
+
+    names: tuple[str | None, ...]
+    totals: np.ndarray
+    targets: np.ndarray
+
+    @property
+    def total(self) -> int:
+        return int(self.totals.sum())
+
+    def due(self, x: np.ndarray) -> np.ndarray:
+        """Rows of each source's tokens due after ``x`` tokens: with a clock that runs so that sum(min(total, target * clock)) = x."""
+        x = np.atleast_1d(np.asarray(x, float))
+        wanted = self.targets > 0
+        stops = np.sort(self.totals[wanted] / self.targets[wanted])
+        ticks = np.concatenate([[0.0], stops])
+        at = np.array([np.minimum(self.totals[wanted], self.targets[wanted] * t).sum() for t in ticks])
+        out = np.zeros((len(x), len(self.totals)))
+        if wanted.any():
+            out[:, wanted] = np.minimum(self.totals[wanted], self.targets[wanted] * np.interp(x, at, ticks)[:, None])
+        rest = self.totals[~wanted].sum()
+        if rest:
+            out[:, ~wanted] = self.totals[~wanted] * np.clip((x - at[-1]) / rest, 0, 1)[:, None]
+        return out
+
+    def cuts(self, windows: np.ndarray, window: int) -> np.ndarray:
+        """Whole tokens of each source before partitions that begin at ``windows`` and, as the last row, at the end.
+
+        A row sums up to the tokens before it; what rounding leaves a source owed or ahead is its deficit there, always less than
+        two tokens, and the next partition starts with it.
+        """
+        x = np.append(windows * window, self.total)
+        due = self.due(x)
+        out = np.zeros(due.shape, np.int64)
+        for p in range(1, len(x)):
+            row = np.maximum(out[p - 1], np.floor(due[p] + 1e-6).astype(np.int64))
+            row = np.minimum(row, self.totals)
+            while (left := int(x[p] - row.sum())) > 0:
+                room = np.flatnonzero(row < self.totals)
+                row[room[np.argsort(row[room] - due[p][room], kind="stable")[:left]]] += 1
+            while (over := int(row.sum() - x[p])) > 0:
+                ahead = np.flatnonzero(row > out[p - 1])
+                row[ahead[np.argsort(due[p][ahead] - row[ahead], kind="stable")[:over]]] -= 1
+            out[p] = row
+        return out
+
+
 class Packer:
-    """Deficit round-robin over queues of (doc_id, ids, start, doc_tokens)."""
-
-    def __init__(self, window: int, least: int, targets: dict[str | None, float] | None, base: int):
-        self.window, self.least, self.targets, self.base = window, least, targets, base
-        self.queues: dict[str | None, list] = {}
-        self.owed: dict[str | None, float] = {}
-        self.sequence = 0
-
-    def add(self, source, doc_id, ids: np.ndarray, start: int, doc_tokens: int) -> None:
-        if len(ids):
-            self.queues.setdefault(source, []).append((doc_id, ids, start, doc_tokens))
-
-    def pack(self, last: bool) -> tuple[list[tuple], list[tuple], dict]:
-        """Pieces of full windows (and, if ``last``, of the power-of-two rest), the rest as (doc_id, ids, start, doc_tokens, source), and the deficits."""
-        names = sorted(self.queues, key=lambda s: (s is None, s or ""))
-        left = np.array([sum(len(d[1]) for d in self.queues[s]) for s in names], np.int64)
-        share = left / max(1, left.sum()) if self.targets is None else np.array([max(0.0, self.targets.get(s, 0.0)) for s in names])
-        owed = np.array([self.owed.get(s, 0.0) for s in names])
-        heads = [iter(self.queues[s]) for s in names]
-        now: list = [next(h) for h in heads]
-        at = [0] * len(names)
-        total, out, rest = int(left.sum()), [], []
-
-        def fill(size: int) -> None:
-            nonlocal total
-            live = np.where(left > 0, share, 0.0)
-            weight = live.sum()
-            owed[:] += size * (live / weight if weight > 0 else (left > 0) / max(1, int((left > 0).sum())))
-            offset = 0
-            while offset < size:
-                k = int(np.where(left > 0, owed, -np.inf).argmax())
-                doc_id, ids, start, tokens = now[k]
-                n = min(size - offset, len(ids) - at[k], max(self.least, math.ceil(owed[k])))
-                piece = ids[at[k] : at[k] + n]
-                out.append((doc_id, start + at[k], n, zlib.crc32(piece.astype("<u4").tobytes()), tokens, self.base + self.sequence, offset, names[k]))
-                offset, at[k], total = offset + n, at[k] + n, total - n
-                owed[k] -= n
-                left[k] -= n
-                if at[k] == len(ids):
-                    now[k], at[k] = next(heads[k], None), 0
-            self.sequence += 1
-
-        while total >= self.window:
-            fill(self.window)
-        if last:
-            while total:
-                fill(1 << (total.bit_length() - 1))
-        for k, s in enumerate(names):
-            while now[k] is not None:
-                doc_id, ids, start, tokens = now[k]
-                rest.append((doc_id, ids[at[k] :], start + at[k], tokens, s))
-                now[k], at[k] = next(heads[k], None), 0
-        return out, rest, dict(zip(names, owed.tolist(), strict=True))
-
-
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
-_ROWS = _PIECES + ", ids binary, deficit double, part int"
-_KINDS = [*[pa.int64()] * 7, pa.string(), pa.binary(), pa.float64(), pa.int32()]
-_NAMES = [x.split()[0] for x in _ROWS.split(", ")]
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(_KINDS)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KINDS, strict=True)], names=_NAMES)
-
-
-def _pack_partition(path: str, window: int, least: int, targets):
+    """Deficit round-robin of one partition: windows from queues that are filled from a stream of (source number, doc_id, ids, start, doc_tokens).
+
+    The stream comes in the order of progress through the partition's part of each source, so the queues stay short.
+    """
+
+    def __init__(self, mixture: Mixture, window: int, least: int, first: int, before: np.ndarray, after: np.ndarray, rows: Iterator[tuple]):
+        self.mixture, self.window, self.least, self.sequence, self.rows = mixture, window, least, first, rows
+        self.x, self.left = int(before.sum()), after - before
+        self.due = mixture.due(self.x)[0]
+        self.owed = self.due - before
+        self.queues: list[deque] = [deque() for _ in mixture.names]
+
+    def _head(self, k: int) -> list:
+        while not self.queues[k]:
+            source, *row = next(self.rows)
+            self.queues[source].append(row)
+        return self.queues[k][0]
+
+    def _fill(self, size: int) -> Iterator[tuple]:
+        due = self.mixture.due(self.x + size)[0]
+        self.owed += due - self.due
+        self.due, self.x = due, self.x + size
+        offset = 0
+        while offset < size:
+            k = int(np.where(self.left > 0, self.owed, -np.inf).argmax())
+            doc_id, ids, start, tokens = head = self._head(k)
+            n = min(size - offset, len(ids), max(self.least, math.ceil(self.owed[k])))
+            yield doc_id, start, n, zlib.crc32(ids[:n].astype("<u4").tobytes()), tokens, self.sequence, offset, k
+            offset += n
+            self.owed[k] -= n
+            self.left[k] -= n
+            if n == len(ids):
+                self.queues[k].popleft()
+            else:
+                head[1], head[2] = ids[n:], start + n
+        self.sequence += 1
+
+    def pack(self) -> Iterator[tuple]:
+        """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source number); what fills no window makes sequences of a power of two."""
+        while (left := int(self.left.sum())) > 0:
+            yield from self._fill(self.window if left >= self.window else 1 << (left.bit_length() - 1))
+
+
+_TOKENS = "key string, source string, h long, doc_id long, start long, length long, doc_tokens long, ids binary"
+_OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, target double"
+
+
+def _tokenize(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        packer = Packer(window, least, targets, part << 40)
         words = WordTokenizer.at(path)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for doc_id, ids, source in zip(batch.column(0).to_pylist(), words.ids(texts), batch.column(2).to_pylist(), strict=True):
-                full = np.append(ids, ids.dtype.type(END_ID))
-                packer.add(source, doc_id, full, 0, len(full))
-        out, rest, owed = packer.pack(last=False)
-        for k in range(0, len(out), 1 << 16):
-            yield _batch([(*r, None, None, None) for r in out[k : k + (1 << 16)]])
-        if rest:
-            yield _batch(
-                [(d, start, len(ids), None, tokens, None, None, source, ids.astype("<u4").tobytes(), None, part) for d, ids, start, tokens, source in rest]
-                + [(None, None, None, None, None, None, None, s, None, v, part) for s, v in owed.items()]
+            keys, sources, hashes, ids = (batch.column(k).to_pylist() for k in range(4))
+            rows = []
+            for key, source, h, doc_id, own in zip(keys, sources, hashes, ids, words.ids([x or "" for x in batch.column(4).to_pylist()]), strict=True):
+                full = np.append(own, own.dtype.type(END_ID))
+                for at in range(0, len(full), MOST_PIECE):
+                    part = full[at : at + MOST_PIECE]
+                    rows.append((key, source, h, doc_id, at, len(part), len(full), part.astype(f"<u{part.itemsize}").tobytes()))
+            kinds = (pa.string(), pa.string(), *[pa.int64()] * 5, pa.binary())
+            for at in range(0, len(rows), 4096):
+                columns = zip(*rows[at : at + 4096], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _TOKENS.split(", ")])
+
+    return run
+
+
+def _place(keys: list[str], cuts: np.ndarray):
+    """Rows of whole (source, bucket) groups in order, each behind a row that gives the source's tokens before it, become pieces of partitions."""
+    number = {k: i for i, k in enumerate(keys)}
+    names = ["p", "progress", "k", "doc_id", "start", "length", "doc_tokens", "ids"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        for batch in batches:
+            mark = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            size = batch.column(4).to_numpy(zero_copy_only=False)
+            # places in a source: the last marker's value and the lengths since
+            own = np.where(mark, 0, size)
+            before = np.cumsum(own) - own
+            group = np.cumsum(mark)
+            base = np.concatenate([[held], size[mark] - before[mark]])
+            at = base[group] + before
+            held = int(at[-1] + own[-1]) if len(at) else held
+            rows = np.flatnonzero(~mark)
+            if not len(rows):
+                continue
+            key = batch.column(0).dictionary_encode()
+            k = np.array([number[x] for x in key.dictionary.to_pylist()], np.int64)[key.indices.to_numpy()][rows]
+            lo, hi = at[rows], at[rows] + size[rows]
+            p, q = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+            for s in np.unique(k).tolist():
+                own = k == s
+                p[own] = np.searchsorted(cuts[:, s], lo[own], "right") - 1
+                q[own] = np.searchsorted(cuts[:, s], hi[own] - 1, "right") - 1
+            progress = (lo - cuts[p, k]) / (cuts[p + 1, k] - cuts[p, k])
+            whole = p == q
+            out = batch.take(pa.array(rows[whole]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(p[whole].astype(np.int32)), pa.array(progress[whole]), pa.array(k[whole].astype(np.int32)), *(out.column(c) for c in (2, 3, 4, 5, 6))], names=names
             )
+            cut = []
+            for r in np.flatnonzero(~whole).tolist():
+                row, s = rows[r], int(k[r])
+                raw = batch.column(6)[row].as_py()
+                wide = len(raw) // int(size[row])
+                doc_id, start, tokens = (batch.column(c)[row].as_py() for c in (2, 3, 5))
+                for own in range(int(p[r]), int(q[r]) + 1):
+                    a, b = max(int(lo[r]), int(cuts[own, s])), min(int(hi[r]), int(cuts[own + 1, s]))
+                    if a < b:
+                        done = (a - int(cuts[own, s])) / int(cuts[own + 1, s] - cuts[own, s])
+                        cut.append((own, done, s, doc_id, start + a - int(lo[r]), b - a, tokens, raw[(a - int(lo[r])) * wide : (b - int(lo[r])) * wide]))
+            if cut:
+                kinds = (pa.int32(), pa.float64(), pa.int32(), *[pa.int64()] * 4, pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cut, strict=True), kinds, strict=True)], names=names)
 
     return run
 
 
-def _pack_rests(window: int, least: int, targets):
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        packer = Packer(window, least, targets, (1 << 62) | (int(key[0]) << 40))
-        rows = rows.sort_values(["part", "doc_id", "start"], kind="stable")
-        for r in rows.itertuples():
-            source = None if r.source is None or r.source != r.source else r.source
-            if r.ids is None:
-                packer.owed[source] = packer.owed.get(source, 0.0) + r.deficit
-            else:
-                packer.add(source, None if pd.isna(r.doc_id) else int(r.doc_id), np.frombuffer(r.ids, "<u4"), int(r.start), int(r.doc_tokens))
-        out, _, _ = packer.pack(last=True)
-        frame = pd.DataFrame(out, columns=[x.split()[0] for x in _PIECES.split(", ")])
-        return frame.astype({"doc_id": "Int64"})
+def _pack(mixture: Mixture, cuts: np.ndarray, firsts: np.ndarray, window: int, least: int):
+    target = mixture.targets / max(1e-300, mixture.targets.sum())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for p, k, doc_id, start, length, tokens, raw in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4, 5, 6, 7)), strict=True):
+                    yield p, (k, doc_id, np.frombuffer(raw, f"<u{len(raw) // length}"), start, tokens)
+
+        def emit(out: list[tuple]) -> pa.RecordBatch:
+            *columns, k = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in columns), pa.array([mixture.names[i] for i in k], pa.string()), pa.array([float(target[i]) for i in k])], names=[x.split()[0] for x in _OUT.split(", ")]
+            )
+
+        for p, own in groupby(rows(), lambda r: r[0]):
+            packer = Packer(mixture, window, least, int(firsts[p]), cuts[p], cuts[p + 1], (r for _, r in own))
+            held = []
+            for piece in packer.pack():
+                held.append(piece)
+                if len(held) == 1 << 14:
+                    yield emit(held)
+                    held = []
+            if held:
+                yield emit(held)
 
     return run
 
@@ -275,22 +392,40 @@ def _pack_rests(window: int, least: int, targets):
 def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, targets: dict[str | None, float] | None = None, least_piece: int = LEAST_PIECE) -> DataFrame:
     """Pack all texts of ``docs`` (doc_id, text, source, any more columns); return a row for each piece of a document.
 
-    (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source): a document is its token ids and
-    ``END_ID``; each id lies in exactly one piece; sequences hold ``window`` ids, or a power of two in the last rests. ``targets`` gives
-    shares of tokens by source (any scale; a source it lacks goes last); by default each source's share of what a partition was
-    dealt, which follows the corpus. Nothing is dropped when a source runs out: the others share its part.
+    (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, target): a document is its token ids and
+    ``END_ID``; each id lies in exactly one piece; sequences hold ``window`` ids, or a power of two at the corpus's end. ``targets`` gives
+    shares of tokens by source (any scale; a source it lacks goes last); by default each source's share of the corpus's tokens, the one
+    mixture that lasts to the last window. ``target`` is the share that was aimed at. Nothing is dropped when a source runs out: the others
+    share its part.
     A null text counts as empty and is its end id alone; rows that repeat are packed each; a null source is a
-    queue of its own; an empty table gives no rows.
+    queue of its own; an empty table gives no rows. The result depends on the rows alone, not on how they are partitioned.
     """
     text_batches(docs.sparkSession)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
-    key = F.xxhash64("doc_id", "text")
-    dealt = source.repartition(key).sortWithinPartitions("doc_id", key, "source")
-    packed = stage_table(dealt.mapInArrow(_pack_partition(tokenizer_path, window, least_piece, targets), _ROWS), "packed")
-    pieces = [x.split()[0] for x in _PIECES.split(", ")]
-    rests = packed.filter("part is not null").withColumn("bunch", F.expr(f"part div {RESTS}").cast("int"))
-    last = rests.groupBy("bunch").applyInPandas(_pack_rests(window, least_piece, targets), _PIECES)
-    return packed.filter("part is null").select(*pieces).unionByName(last)
+    source, text, doc_id = F.col("source").cast("string"), F.col("text").cast("string"), F.col("doc_id").cast("long")
+    key = F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+    base = docs.select(key.alias("key"), source.alias("source"), F.xxhash64(doc_id, text).alias("h"), doc_id.alias("doc_id"), text.alias("text"))
+    tokens = stage_table(base.mapInArrow(_tokenize(tokenizer_path), _TOKENS), "tokens")
+    bucket = F.shiftrightunsigned("h", 64 - BUCKET_BITS).alias("bucket")
+    sums = stage_table(tokens.groupBy("key", "source", bucket).agg(F.sum("length").alias("n")), "token-sums")
+    found = sorted(sums.groupBy("key", "source").agg(F.sum("n").alias("n")).collect())
+    if not found:
+        return docs.sparkSession.createDataFrame([], _OUT)
+    names, totals = tuple(r["source"] for r in found), np.array([r["n"] for r in found], np.int64)
+    wanted = totals.astype(float) if targets is None else np.array([max(0.0, targets.get(s, 0.0)) for s in names])
+    mixture = Mixture(names, totals, wanted)
+    windows = mixture.total // window
+    parts = max(1, min(-(-windows // PART_WINDOWS), MOST_PARTS, MOST_CUTS // len(names)))
+    firsts = np.arange(parts, dtype=np.int64) * windows // parts
+    cuts = mixture.cuts(firsts, window)
+    # the tokens that a source has before each of its buckets come to the bucket as a row of their own, in front of all others
+    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    marks = sums.select("key", none("long", "h"), none("long", "doc_id"), none("long", "start"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("length"), none("long", "doc_tokens"), none("binary", "ids"), "bucket")
+    rows = tokens.select("key", "h", "doc_id", "start", "length", "doc_tokens", "ids", bucket).union(marks)
+    rows = rows.repartition("key", "bucket").sortWithinPartitions("key", "bucket", F.col("h").asc_nulls_first(), "doc_id", "start").drop("bucket")
+    placed = rows.mapInArrow(_place([r["key"] for r in found], cuts), "p int, progress double, k int, doc_id long, start long, length long, doc_tokens long, ids binary")
+    dealt = placed.repartitionById(parts, F.col("p")).sortWithinPartitions("p", "progress", "k", "doc_id", "start")
+    return dealt.mapInArrow(_pack(mixture, cuts, firsts, window, least_piece), _OUT)
 
 
 def ids_crc32(ids: list[int]) -> int:
