@@ -7,16 +7,17 @@ to the workers as a few bitmaps.
 
 The bits of level 0 follow the ratio of universe to list, so that about as many wrong keys remain as keys are
 listed; the cascade then grows with the list and only logarithmically with the corpus. Its size is known
-before it is built; above ``max_bytes`` ``verdicts`` asks by an exact semi join instead.
+before it is built; ``verdicts`` splits a list that would make it too large by hash of key.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from thalweg.session import stage_table
 
 MAX_BYTES = 64 << 20
 MAX_LEVELS = 64
+#: Bits of a bitmap that one task draws.
+STRETCH = 1 << 22
 _ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -90,21 +93,26 @@ class Cascade:
 
 
 def _build_level(hashes: DataFrame, count: int, false_rate: float) -> Level:
-    """Bits are set in the workers and merged by word; what reaches the driver is the bitmap."""
+    """Bits are set in the workers, a stretch of the bitmap a task; what reaches the driver is the bitmap, as bytes."""
     bits, k = level_shape(count, false_rate)
 
-    @F.arrow_udf("array<long>")
-    def places(keys: pa.Array) -> pa.Array:
-        h = keys.to_numpy(zero_copy_only=False)
-        grid = np.stack([_place(h, i, bits) for i in range(k)], 1)
-        return pa.ListArray.from_arrays(np.arange(0, len(h) * k + 1, k, dtype=np.int32), pa.array(grid.ravel()))
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(0).to_numpy(zero_copy_only=False)
+            p = np.concatenate([_place(h, i, bits) for i in range(k)]) if len(h) else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(p // STRETCH), pa.array((p % STRETCH).astype(np.int32))], names=["s", "p"])
 
-    set_bits = hashes.select(F.explode(places("h")).alias("p"))
-    rows = set_bits.groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(p & 31 AS INT))")).alias("b")).collect()
-    words = np.zeros(bits // 32 + 1, np.uint32)
-    for w, b in rows:
-        words[w] = b
-    return Level(bits, k, words)
+    def draw(frame: pd.DataFrame) -> pd.DataFrame:
+        ones = np.zeros(STRETCH, np.uint8)
+        ones[frame["p"].to_numpy()] = 1
+        return pd.DataFrame({"s": frame["s"].iloc[:1], "b": [np.packbits(ones, bitorder="little").tobytes()]})
+
+    # a stretch gets about as many places as it has bits at most, whatever the keys: they are hashed
+    rows = hashes.select("h").mapInArrow(places, "s long, p int").groupBy("s").applyInPandas(draw, "s long, b binary").collect()
+    words = np.zeros((bits // STRETCH + 1) * STRETCH // 32, np.uint32)
+    for s, b in rows:
+        words[s * STRETCH // 32 : (s + 1) * STRETCH // 32] = np.frombuffer(b, "<u4")
+    return Level(bits, k, words[: bits // 32 + 1].copy())
 
 
 def _asks(level: Level):
@@ -115,21 +123,25 @@ def _asks(level: Level):
     return holds
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade | None:
-    """A cascade for the keys ``h`` (64-bit hashes) of ``listed`` over those of ``universe``; None if it would exceed ``max_bytes``.
+def expected_bytes(listed: int, universe: int) -> int:
+    """The size of a cascade, levels below the first together as large as one more of the second kind."""
+    rate = min(0.5, listed / (math.sqrt(2) * max(1, universe)))
+    return 2 * sum(level_shape(n, p)[0] for n, p in ((listed, rate), (listed, 0.5))) // 8
+
+
+def build_cascade(listed: DataFrame, universe: DataFrame, size: int | None = None) -> Cascade:
+    """A cascade for the keys ``h`` (64-bit hashes) of ``listed`` over those of ``universe``.
 
     The universe is read once: level 0 lets only about as many of its keys pass as are listed, and later
-    levels look at these alone. Nulls in ``h`` are ignored, an empty list gives a cascade that holds nothing.
+    levels look at these alone. Nulls in ``h`` are ignored, an empty list gives a cascade that holds nothing. ``size``
+    is about how many distinct keys the universe has, counted if not given; it only sets the bits of level 0.
     """
     listed = stage_table(listed.filter("h is not null").distinct(), "cascade-listed")
     r = listed.count()
     if not r:
         return Cascade((Level(64, 1, np.zeros(3, np.uint32)),))
-    s = max(1, universe.agg(F.approx_count_distinct("h")).first()[0])
-    rate = min(0.5, r / (math.sqrt(2) * s))
-    if 2 * sum(level_shape(n, p)[0] for n, p in ((r, rate), (r, 0.5))) / 8 > max_bytes:
-        return None
-    levels = [_build_level(listed, r, rate)]
+    s = max(1, universe.agg(F.approx_count_distinct("h")).first()[0] if size is None else size)
+    levels = [_build_level(listed, r, min(0.5, r / (math.sqrt(2) * s)))]
     wrong = universe.filter("h is not null").filter(_asks(levels[0])("h")).select("h").distinct().join(listed, "h", "left_anti")
     inside, outside = listed, stage_table(wrong, "cascade-wrong")
     while n := outside.count():
@@ -157,28 +169,36 @@ def _rest(url: Column) -> Column:
 
 
 def _shapes(rules: Iterable[Rule]) -> list[tuple[int, int]]:
-    """The distinct (host labels, path characters) of rules, longest first: a url has one key of each."""
-    return sorted({(r.host.count(".") + 1, len(r.path)) for r in rules}, key=lambda x: (-x[0] - x[1], x))
+    """The distinct (host labels, path characters) of rules: a url has one key of each."""
+    return sorted({_shape(r) for r in rules})
+
+
+def _shape(rule: Rule) -> tuple[int, int]:
+    return rule.host.count(".") + 1, len(rule.path)
 
 
 def _probes(shapes: list[tuple[int, int]]) -> Column:
-    """A url's possible rule keys from columns ``host`` and ``path``, as structs of key and hash."""
+    """A url's possible rule keys from columns ``host`` and ``path``, longest first (of equals the one with the longer host)."""
     parts = F.split("host", r"\.")
     found = []
-    for labels, chars in shapes:
+    for number, (labels, chars) in enumerate(shapes):
         # a host has at least so many labels and its path so many characters, else no rule of this shape fits
         host = F.substring_index("host", ".", -labels)
         key = F.concat(host, F.substring("path", 1, chars)) if chars else host
-        found.append(F.when((F.size(parts) >= labels) & (F.length("path") >= chars) & (F.col("host") != ""), F.struct(key.alias("key"), F.lit(len(found)).alias("shape"))))
-    return F.array(*found)
+        probe = F.struct((-F.length(key)).alias("size"), (-F.length(host)).alias("host_size"), key.alias("key"), F.lit(number).alias("shape"))
+        found.append(F.when((F.size(parts) >= labels) & (F.length("path") >= chars) & (F.col("host") != ""), probe))
+    return F.array_sort(F.array_compact(F.array(*found)))
 
 
 def verdicts(pages: DataFrame, rules: list[Rule], default: str = "allow", max_bytes: int = MAX_BYTES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row of ``pages`` (page_id, url, any more columns).
 
     A rule fits its host and all subdomains if the path starts with the rule's; the longest fitting key (host and path
-    together) wins. ``rule`` is null and ``verdict`` the default where no key of the url is listed, and so for null,
-    empty and foreign texts. Rows repeat as they come; a rule listed twice must have one verdict.
+    together) wins, of equally long ones that of the longer host. ``rule`` is null and ``verdict`` the default where no key of the url is
+    listed, and so for null, empty and foreign texts. Rows repeat as they come; a rule listed twice must have one verdict.
+
+    Each verdict has a cascade of its own. A list whose cascade would exceed ``max_bytes`` is split by hash of key into as many
+    cascades as fit, which are asked one after another over the table, so that no task holds more than one.
     """
     spark = pages.sparkSession
     by_key: dict[str, str] = {}
@@ -190,49 +210,43 @@ def verdicts(pages: DataFrame, rules: list[Rule], default: str = "allow", max_by
     base = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     if not shapes:
         return base.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    base = base.withColumn("probes", F.array_compact(_probes(shapes)))
-    hashes = F.transform("probes", lambda p: F.xxhash64(p["shape"], p["key"]))
-    universe = base.select(F.explode(hashes).alias("h"))
-    tests = {}
-    for verdict in sorted(set(by_key.values())):
-        listed = _listed(spark, [r for r in rules if r.verdict == verdict], shapes)
-        cascade = build_cascade(listed.select("h"), universe, max_bytes)
-        if cascade is None:
-            return _joined(base, _listed(spark, rules, shapes), default)
-        tests[verdict] = _member(cascade)
-    base = base.withColumn("h", hashes)
-    for verdict, test in tests.items():
-        base = base.withColumn(f"in_{verdict}", test("h"))
-    hit = F.lit(None).cast("struct<rule:string,verdict:string>")
-    # probes stand longest first; a cascade for each verdict marks the listed ones
-    marks = [(v, F.array_position(f"in_{v}", True)) for v in tests]
-    first = F.array_min(F.array(*[F.when(p > 0, p) for _, p in marks]))
-    for v, p in marks:
-        hit = F.when(p == first, F.struct(F.element_at("probes", first.cast("int"))["key"].alias("rule"), F.lit(v).alias("verdict"))).otherwise(hit)
-    base = base.withColumn("hit", hit)
-    return base.select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
+    base = base.withColumn("probes", _probes(shapes))
+    base = base.withColumn("h", F.transform("probes", lambda p: F.xxhash64(p["shape"], p["key"])))
+    universe = base.select(F.explode("h").alias("h"))
+    size = universe.agg(F.approx_count_distinct("h")).first()[0]
+    firsts = {v: f"in_{k}" for k, v in enumerate(sorted(set(by_key.values())))}
+    for verdict, name in firsts.items():
+        listed = _listed(spark, [r for r in rules if r.verdict == verdict], shapes).select("h")
+        parts = -(-expected_bytes(sum(v == verdict for v in by_key.values()), size) // max_bytes)
+        base = base.withColumn(name, F.lit(None).cast("int"))  # the place of the first probe that is listed
+        for part in range(parts):
+            own = F.pmod(F.col("h"), F.lit(parts)) == part
+            cascade = build_cascade(listed.filter(own), universe.filter(own), -(-size // parts))
+            base = base.withColumn(name, F.least(name, _first_held(cascade, part, parts)("h")))
+            if parts > 1:
+                base = stage_table(base, "url-places")
+    place = F.least(*firsts.values(), F.lit(None).cast("int"))
+    verdict = F.coalesce(*[F.when(F.col(name) == place, v) for v, name in firsts.items()], F.lit(default))
+    return base.select("page_id", "host", "path", F.get("probes", place)["key"].alias("rule"), verdict.alias("verdict"))
 
 
 def _listed(spark: SparkSession, rules: Iterable[Rule], shapes: list[tuple[int, int]]) -> DataFrame:
-    rows = [(shapes.index((r.host.count(".") + 1, len(r.path))), r.key, r.verdict) for r in rules]
-    frame = spark.createDataFrame(rows, "shape int, key string, verdict string").distinct()
-    return frame.withColumn("h", F.xxhash64("shape", "key"))
-
+    rows = [(shapes.index(_shape(r)), r.key) for r in rules]
+    return spark.createDataFrame(rows, "shape int, key string").distinct().withColumn("h", F.xxhash64("shape", "key"))
 
-def _member(cascade: Cascade):
-    @F.arrow_udf("array<boolean>")
-    def member(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        sizes = np.diff(lists.offsets.to_numpy())
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(cascade.holds(flat)))
 
-    return member
+def _first_held(cascade: Cascade, part: int, parts: int):
+    """The place of the first of a list of keys that the cascade holds, of those that are its part; null if none."""
 
-
-def _joined(base: DataFrame, listed: DataFrame, default: str) -> DataFrame:
-    """The way beyond ``max_bytes``: an exact join on the keys, best key per row."""
-    base = base.withColumn("row", F.monotonically_increasing_id())
-    asked = base.select("row", F.explode("probes").alias("p")).select("row", "p.shape", "p.key")
-    best = asked.join(listed.drop("h"), ["shape", "key"]).groupBy("row").agg(F.min(F.struct("shape", "key", "verdict")).alias("hit"))
-    return base.join(best, "row", "left").select("page_id", "host", "path", F.col("hit.key").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
+    @F.arrow_udf("int")
+    def first(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        held = np.zeros(len(flat), bool)
+        own = np.flatnonzero(flat % parts == part)
+        held[own] = cascade.holds(flat[own])
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        marks = np.append(np.flatnonzero(held), len(flat))
+        at = marks[np.searchsorted(marks, ends[:-1])]
+        return pa.array((at - ends[:-1]).astype(np.int32), mask=at >= ends[1:])
+
+    return first
