@@ -33,14 +33,42 @@ LEVEL = 1
 CHUNK = 1 << 18
 _HEAD = "WARC/1.1"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Stands for the target of a page without a url, which every record must have.
+NO_URI = "about:blank"
 _DATE = "1970-01-01T00:00:00Z"
 
 
+#: Tasks that rewrite or read archives, unless there are fewer archives.
+MOST_TASKS = 20_000
+
+
 def payload_digest(payload: bytes) -> str:
     """Bare upper-case base32 of the SHA-1."""
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def record_id(archive: str, seq: int) -> str:
+    """The URN of a record, by its place."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}/{seq}')}>"
+
+
+def http_head(size: int) -> bytes:
+    """The head of an HTTP response with a payload of so many bytes."""
+    return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+
+
+def http_parts(block: bytes) -> tuple[int, bytes]:
+    """The payload's length that the head of an HTTP response states, and the bytes behind the head."""
+    head, gap, body = block.partition(b"\r\n\r\n")
+    if not gap or not head.startswith(b"HTTP/1.1 "):
+        raise ValueError("a block without an HTTP head")
+    for line in head.split(b"\r\n")[1:]:
+        name, _, value = line.partition(b":")
+        if name.strip().lower() == b"content-length":
+            return int(value), body
+    raise ValueError("an HTTP head without a length")
+
+
 def record_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
     head = "\r\n".join([_HEAD, *(f"{k}: {v}" for k, v in headers), f"Content-Length: {len(block)}"])
     return head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -137,13 +165,14 @@ def _write(folder: str, archive_bytes: int):
                 digest = payload_digest(payload)
                 headers = [
                     ("WARC-Type", "response"),
-                    ("WARC-Record-ID", f"<urn:x-record:{name}:{seq}>"),
+                    ("WARC-Record-ID", record_id(name, seq)),
                     ("WARC-Date", _DATE),
-                    ("WARC-Target-URI", " ".join((url or "").split())),
+                    ("WARC-Target-URI", " ".join((url or "").split()) or NO_URI),
+                    ("Content-Type", "application/http; msgtype=response"),
                     ("WARC-Payload-Digest", f"sha1:{digest}"),
                     ("X-Page-Id", "" if page is None else str(page)),
                 ]
-                sink.write(engine.compress(record_bytes(headers, payload)))
+                sink.write(engine.compress(record_bytes(headers, http_head(len(payload)) + payload)))
                 rows.append((name, seq, page, len(payload), digest))
                 seq, filled = seq + 1, filled + len(payload) + 256
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=["archive", "seq", "page_id", "payload_bytes", "payload_digest"])
@@ -161,7 +190,7 @@ def write_streams(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
 
 
 def mark_copies(manifest: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Add ``record_type`` and ``refers_to``: of equal payloads of ``least_bytes`` or more the smallest page_id is the response.
+    """Add ``record_type``, ``refers_to`` and ``response`` (archive, seq; null for a response): of equal payloads of ``least_bytes`` or more the smallest page_id is the response.
 
     Ties (a repeated page_id) go by archive and place; a record without page_id comes after all others. The smallest is found by
     a partial aggregation and joined back, so a payload that very many pages share is not gathered anywhere.
@@ -174,6 +203,7 @@ def mark_copies(manifest: DataFrame, least_bytes: int = 0) -> DataFrame:
         *[c for c in manifest.columns],
         F.when(copy, "revisit").otherwise("response").alias("record_type"),
         F.when(copy & ~F.col("first.none"), F.col("first.page")).alias("refers_to"),
+        F.when(copy, F.struct("first.archive", "first.seq")).alias("response"),
     )
 
 
@@ -193,7 +223,7 @@ def _normalise(source: str, target: str):
             yield pa.RecordBatch.from_arrays([pa.array([current]), pa.array([len(rows)], pa.int64()), pa.array([sink.size], pa.int64())], names=["archive", "records", "bytes"])
 
         for batch in batches:
-            for name, seq, kind, refers in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for name, seq, kind, refers, response in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 if name != current:
                     yield from finish()
                     current, rows = name, []
@@ -201,11 +231,14 @@ def _normalise(source: str, target: str):
                     reader = io.BufferedReader(Inflated(fs.open_input_stream(path, compression=None)), CHUNK)
                     sink, index = _Sink(f"{target}/{name}.warc.gz"), _Sink(f"{target}/{name}.idx")
                 headers, block = parse_record(reader)
-                if headers["WARC-Record-ID"] != f"<urn:x-record:{name}:{seq}>":
+                if headers["WARC-Record-ID"] != record_id(name, seq):
                     raise ValueError(f"record {seq} of {name} is out of place")
                 if kind == "revisit":
-                    headers |= {"WARC-Type": "revisit", "WARC-Profile": _PROFILE, "X-Payload-Length": str(len(block)), "X-Refers-To": "" if refers is None else str(refers)}
-                    block = b""
+                    # the HTTP head stays, and with it the payload's length; page_id is none of the format's headers
+                    headers |= {"WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(response["archive"], response["seq"])}
+                    if refers is not None:
+                        headers["X-Refers-To-Page-Id"] = str(refers)
+                    block = block[: len(block) - len(http_parts(block)[1])]
                 headers.pop("Content-Length")
                 engine = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                 member = engine.compress(record_bytes(list(headers.items()), block)) + engine.flush()
@@ -218,7 +251,9 @@ def _normalise(source: str, target: str):
 
 def normalise(decided: DataFrame, source: str, target: str) -> DataFrame:
     """Rewrite the archives of ``decided`` (archive, seq, record_type, refers_to), one task an archive; return (archive, records, bytes)."""
-    rows = decided.select("archive", "seq", "record_type", "refers_to").repartition("archive").sortWithinPartitions("archive", "seq")
+    tasks = max(1, min(MOST_TASKS, decided.agg(F.count_distinct("archive")).first()[0]))
+    # a count of partitions that is given is not coalesced: rows of the list are small, but the archives behind them are not
+    rows = decided.select("archive", "seq", "record_type", "refers_to", "response").repartition(tasks, "archive").sortWithinPartitions("archive", "seq")
     return stage_table(rows.mapInArrow(_normalise(source, target), "archive string, records long, bytes long"), "warc-archives")
 
 
@@ -234,24 +269,37 @@ def _read(target: str):
                 with fs.open_input_file(path) as f:
                     for _, offset, length in places:
                         headers, block = parse_record(io.BytesIO(zlib.decompress(f.read_at(length, offset), 31)))
-                        digest, size = headers["WARC-Payload-Digest"].removeprefix("sha1:"), len(block)
-                        if headers["WARC-Type"] == "revisit":
-                            size = int(headers["X-Payload-Length"])
-                        elif payload_digest(block) != digest:
-                            raise ValueError(f"a payload of {name} differs from its digest")
-                        page, refers = headers.get("X-Page-Id"), headers.get("X-Refers-To")
-                        out.append((int(page) if page else None, size, digest, headers["WARC-Type"], int(refers) if refers else None))
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+                        digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+                        size, payload = http_parts(block)
+                        if headers["WARC-Type"] != "revisit" and (len(payload) != size or payload_digest(payload) != digest):
+                            raise ValueError(f"a payload of {name} differs from its digest or length")
+                        page, refers = headers.get("X-Page-Id"), headers.get("X-Refers-To-Page-Id")
+                        out.append((int(page) if page else None, size, digest, headers["WARC-Type"], int(refers) if refers else None, headers["WARC-Record-ID"], headers.get("WARC-Refers-To")))
+                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=[x.split()[0] for x in _RECORDS.split(", ")])
 
     return run
 
 
+_RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, response_id string"
+
+
 def read_archives(archives: DataFrame, target: str) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of ``archives``, by the sidecar indexes."""
-    return archives.select("archive").repartition("archive").mapInArrow(
-        _read(target), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    )
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of ``archives``, by the sidecar indexes.
+
+    Payloads are held against their digests, and what revisits say of length and digest against the response that each refers to; a
+    difference or a missing response is an error.
+    """
+    tasks = max(1, min(MOST_TASKS, archives.count()))
+    records = stage_table(archives.select("archive").repartition(tasks, "archive").mapInArrow(_read(target), _RECORDS), "warc-records")
+    # revisits of one response agree but for errors, so that few rows of a response are joined however many its revisits
+    told = records.filter("record_type = 'revisit'").groupBy(F.col("response_id").alias("id"), "payload_bytes", "payload_digest").count()
+    held = records.filter("record_type = 'response'").select(F.col("record_id").alias("id"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d"))
+    wrong = told.join(held, "id", "left").filter(~(F.col("payload_bytes").eqNullSafe(F.col("b")) & F.col("payload_digest").eqNullSafe(F.col("d"))))
+    wrong = wrong.limit(1).collect()
+    if wrong:
+        raise ValueError(f"a revisit differs from the response {wrong[0]['id']}")
+    return records.drop("record_id", "response_id")
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
