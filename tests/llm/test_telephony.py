@@ -5,8 +5,9 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from thalweg.llm.telephony import _ADPCM_STEPS, _TAGS, ALAW, MULAW, PIECE, UNIT, codec_of, decode_adpcm, decode_media, decoded, pad_payload, parse_wav, payload_of, pcm_pieces, store_texts, text_media_features, upsample, wav_bytes
+from thalweg.llm.telephony import _ADPCM_STEPS, _TAGS, ALAW, MULAW, PIECE, UNIT, code_pcm, codec_of, coded_pcm, decode_adpcm, decode_media, decoded, pad_payload, parse_wav, payload_of, pcm_pieces, store_pcm, store_texts, text_media_features, upsample, wav_bytes
 
 
 def plain_adpcm(block):
@@ -28,6 +29,41 @@ def plain_adpcm(block):
     return out
 
 
+def plain_feature(payload):
+    """The feature of a payload and its samples at 16 kHz, sample by sample."""
+    codec = codec_of(payload)
+    if codec == "mulaw":
+        low = []
+        for byte in payload:
+            u = ~byte & 255
+            size = ((u & 15) * 8 + 132) * 2 ** (u >> 4 & 7) - 132
+            low.append(-size if u & 128 else size)
+    elif codec == "alaw":
+        low = []
+        for byte in payload:
+            a = byte ^ 0x55
+            part, size = a >> 4 & 7, (a & 15) * 16 + 8
+            size = size if part == 0 else (size + 256) * 2 ** (part - 1)
+            low.append(size if a & 128 else -size)
+    else:
+        low = [x for k in range(0, len(payload), UNIT) for x in plain_adpcm(b"\0\0\0\0" + payload[k : k + UNIT])]
+    high = [v for a, b in zip(low, [*low[1:], low[-1]], strict=True) for v in (a, (a + b) // 2)]
+    turns = sum((a < 0) != (b < 0) for a, b in zip(high, high[1:], strict=False))
+    crc = zlib.crc32(struct.pack(f"<{len(high)}h", *high))
+    return f"{codec};samples={len(high)};peak={max(map(abs, high))};mean={sum(map(abs, high)) // len(high)};turns={turns};crc={crc:08x}", high
+
+
+@pytest.mark.parametrize("factor", [1, 2, 3])
+def test_coded_pcm_gives_every_sample_back(factor):
+    r = np.random.default_rng(6)
+    steps = np.cumsum(r.choice([-9, 3, 5], 3 * PIECE // 2)).astype(np.int16)
+    for x in (r.integers(-32768, 32768, 999).astype(np.int16), np.array([-32768, 32767, -32768], np.int16), steps, np.array([5], np.int16)):
+        up = np.concatenate(list(upsample(iter([x]), factor)))
+        for samples in (up, x):  # what is no multiple of the factor is kept as it is
+            assert np.concatenate(list(coded_pcm(code_pcm(iter([samples[:7], samples[7:7], samples[7:]]), factor)))).tolist() == samples.tolist()
+    assert code_pcm(iter([]), factor) == b""
+
+
 def test_tables_have_their_known_values():
     assert (MULAW[0], MULAW[0x7F], MULAW[0x80], MULAW[0xFF]) == (-32124, 0, 32124, 0)
     assert (ALAW[0xD5], ALAW[0x55], ALAW[0xAA], ALAW[0x2A]) == (8, -8, 32256, -32256)
@@ -77,5 +113,10 @@ def test_texts_come_back(spark):
         assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
     assert got[2].feature == got[5].feature and got[0].feature == got[1].feature
     pcm = {r.doc_id: r.pcm for r in decode_media(store_texts(docs)).collect()}
-    assert all(f"samples={len(pcm[i]) // 2};" in got[i].feature for i in got)
+    stored = {r.doc_id: r for r in store_pcm(store_texts(docs)).collect()}
+    for i, t in enumerate(texts):
+        samples = plain_feature(pad_payload((t or "").encode()))[1] if len(t or "") < 1000 else np.frombuffer(pcm[i], "<i2").tolist()
+        assert np.frombuffer(pcm[i], "<i2").tolist() == samples and np.concatenate(list(coded_pcm(stored[i].pcm))).tolist() == samples and stored[i].rate == 16000
+        if len(samples) < 10_000:
+            assert got[i].feature == plain_feature(pad_payload((t or "").encode()))[0]
     assert text_media_features(docs.limit(0)).count() == 0

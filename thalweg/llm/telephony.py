@@ -24,6 +24,8 @@ UNIT = 192
 PAD = 32
 #: Payload bytes decoded at a time.
 PIECE = UNIT << 12
+#: Of the media and PCM columns: both are read far more often than written.
+ZSTD_LEVEL = 12
 CODECS = ("mulaw", "alaw", "adpcm")
 
 # Fixed values of the formats.
@@ -181,6 +183,55 @@ def upsample(pieces: Iterator[np.ndarray], factor: int) -> Iterator[np.ndarray]:
         yield np.repeat(held, factor)
 
 
+def code_pcm(pieces: Iterator[np.ndarray], factor: int) -> bytes:
+    """Samples as blocks that compress well and give every sample back.
+
+    A block is its ``factor`` and order (a byte each), its count of samples, every ``factor``-th sample (order 1: what it differs by from the one
+    before) and, for each place between, what the sample there differs by from a straight line, all modulo 65536.
+    """
+    out: list[bytes] = []
+
+    def block(x: np.ndarray) -> None:
+        own = factor if len(x) % factor == 0 else 1
+        grid = x.reshape(-1, own).astype(np.int32)
+        base = grid[:, 0]
+        steps = np.diff(base, prepend=0)
+        order = int(len(np.unique(steps)) < len(np.unique(base)))
+        rows = [steps if order else base, *(grid[:, r] - _between(base, r, own) for r in range(1, own))]
+        out.append(struct.pack("<BBI", own, order, len(x)) + np.stack(rows).astype("<i2").tobytes())
+
+    held: list[np.ndarray] = []
+    for x in pieces:
+        held.append(x)
+        if sum(map(len, held)) >= PIECE:
+            block(np.concatenate(held))
+            held = []
+    if held and sum(map(len, held)):
+        block(np.concatenate(held))
+    return b"".join(out)
+
+
+def _between(base: np.ndarray, r: int, factor: int) -> np.ndarray:
+    """The line's value at the r-th of ``factor`` places behind each sample of a block; behind the last one it is level."""
+    return (base * (factor - r) + np.append(base[1:], base[-1:]) * r) // factor
+
+
+def coded_pcm(data: bytes) -> Iterator[np.ndarray]:
+    """The samples of ``code_pcm``, block by block."""
+    at = 0
+    while at < len(data):
+        factor, order, n = struct.unpack_from("<BBI", data, at)
+        rows = np.frombuffer(data, "<i2", n, at + 6).reshape(factor, -1)
+        at += 6 + 2 * n
+        # sums modulo 65536, as the differences were
+        base = np.cumsum(rows[0], dtype=np.int16) if order else rows[0].astype(np.int16)
+        grid = np.empty((len(base), factor), np.int16)
+        grid[:, 0] = base
+        for r in range(1, factor):
+            grid[:, r] = (_between(base.astype(np.int32), r, factor) + rows[r]).astype(np.int16)
+        yield grid.ravel()
+
+
 def pcm_feature(pieces: Iterator[np.ndarray]) -> str:
     """Count, peak, mean size, changes of sign and CRC-32 of samples, all whole numbers."""
     count = peak = total = turns = crc = 0
@@ -216,8 +267,13 @@ def store_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or shared_path(spark, "media")
     schema = "doc_id long, n_bytes long, codec string, media binary"
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    source.mapInArrow(_store, schema).write.option("compression", "zstd").mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return _written(source.mapInArrow(_store, schema), schema, path)
+
+
+def _written(rows: DataFrame, schema: str, path: str) -> DataFrame:
+    options = {"compression": "zstd", "parquet.compression.codec.zstd.level": str(ZSTD_LEVEL), "parquet.page.size": str(8 << 20)}
+    rows.write.options(**options).mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path)
 
 
 def decode_media(table: DataFrame, rate: int = TARGET_RATE) -> DataFrame:
@@ -242,31 +298,58 @@ def _factor(rate: int) -> int:
     return rate // RATE
 
 
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
+_PCM = _DIGESTS + ", codec string, rate int, pcm binary"
+FEATURES = _DIGESTS + ", feature string"
 
 
-def media_features(table: DataFrame, rate: int = TARGET_RATE) -> DataFrame:
-    """Digests of the stored bytes and of the payload read back from them, and a feature of the upsampled PCM, a row for each row of ``table``."""
+def store_pcm(table: DataFrame, path: str | None = None, rate: int = TARGET_RATE) -> DataFrame:
+    """Decode and upsample the files of ``table`` (doc_id, n_bytes, media) and write the samples as a column of a table beside digests of the file and of
+    the payload read back from it; return that table. ``coded_pcm`` gives the samples of its column ``pcm``.
+    """
     factor = _factor(rate)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.binary())
         for batch in batches:
-            rows = []
-            for codec, data, media, pieces in decoded(batch.column(2)):
+            rows, size, first = [], 0, 0
+
+            def emit(stop: int) -> pa.RecordBatch:
+                columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+                own = [batch.column(c).slice(first, stop - first) for c in (0, 1)]
+                return pa.RecordBatch.from_arrays([*own, *columns], names=[x.split()[0] for x in _PCM.split(", ")])
+
+            for k, (codec, data, media, pieces) in enumerate(decoded(batch.column(2)), 1):
                 payload = payload_of(codec, data)
-                feature = f"{codec};" + pcm_feature(upsample(pieces, factor))
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                pcm = code_pcm(upsample(pieces, factor), factor)
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), codec, rate, pcm))
+                size += len(pcm)
+                if size >= 4 * PIECE:
+                    yield emit(k)
+                    rows, size, first = [], 0, k
+            if rows:
+                yield emit(batch.num_rows)
+
+    rows = table.select("doc_id", "n_bytes", "media").mapInArrow(run, _PCM)
+    return _written(rows, _PCM, path or shared_path(table.sparkSession, "pcm"))
+
+
+def pcm_features(table: DataFrame) -> DataFrame:
+    """The digests of a table of ``store_pcm`` and a feature of the samples that it holds, a row for each row."""
+
+    @F.arrow_udf("string")
+    def feature(codec: pa.Array, pcm: pa.Array) -> pa.Array:
+        return pa.array([f"{c};{pcm_feature(coded_pcm(x.as_py()))}" for c, x in zip(codec.to_pylist(), pcm, strict=True)], pa.string())
 
-    return table.select("doc_id", "n_bytes", "media").mapInArrow(run, FEATURES)
+    return table.select(*[x.split()[0] for x in _DIGESTS.split(", ")], feature("codec", "pcm").alias("feature"))
 
 
 def text_media_features(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Store every text of ``docs`` as telephony audio and read it back, a row for each row.
+    """Store every text of ``docs`` as telephony audio, read that back and store it as resampled PCM, and take a feature of this, a row for each row.
 
     A null or empty text is 192 bytes of padding with n_bytes 0; equal texts have equal values; rows that repeat come back
     each; an empty table gives no rows. The payload is lossless: its bytes are the codes (mu-law, A-law) or nibbles (ADPCM).
+    ``path`` is a folder for both tables.
     """
-    return media_features(store_texts(docs, path))
+    media = store_texts(docs, path and f"{path}/media")
+    return pcm_features(store_pcm(media, path and f"{path}/pcm"))
