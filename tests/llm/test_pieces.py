@@ -1,10 +1,11 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
-import sentencepiece
 
-from thalweg.llm.pieces import NEVER, UNIT, PieceModel, chunks_of, combine, encode_chunked, encode_texts, normalise
+from thalweg.llm import pieces
+from thalweg.llm.pieces import EDGE, PieceModel, chunks_of, combine, decode_texts, encode_chunked, encode_texts, lead, normalise
 from thalweg.llm.queries import tokenizer_path
 
 PATH = tokenizer_path("piece_bpe_32k.model")
@@ -15,89 +16,64 @@ def model():
     return PieceModel.at(PATH)
 
 
-def varint(n):
-    out = b""
-    while n > 127:
-        out, n = out + bytes([n & 127 | 128]), n >> 7
-    return out + bytes([n])
-
-
-def field(number, kind, data):
-    return varint(number << 3 | kind) + (varint(len(data)) + data if kind == 2 else data)
-
-
-def unigram_processor(model):
-    """The library's own segmentation of the same pieces with the same scores."""
-    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
-    body = b""
-    for i, p in enumerate(model.pieces):
-        kind = 2 if i == model.unk else 3 if sp.is_control(i) else 6 if i in model.byte_value else 1
-        body += field(1, 2, field(1, 2, p.encode()) + field(2, 5, np.float32(model.score.get(i, 0) / UNIT).tobytes()) + field(3, 0, varint(kind)))
-    trainer = field(3, 0, varint(1)) + field(35, 0, varint(1)) + field(40, 0, varint(model.unk))
-    normalizer = field(1, 2, b"identity") + field(3, 0, varint(1)) + field(4, 0, varint(0)) + field(5, 0, varint(1))
-    return sentencepiece.SentencePieceProcessor(model_proto=body + field(2, 2, trainer) + field(3, 2, normalizer))
-
-
 def some_texts():
     r = random.Random(8)
-    alphabet = ["a", "b", " ", "  ", "é", "\n", "漢", "😀", "the", "quick", "².", "_", "ing", "!", "1", "\x00"]
-    return ["".join(r.choice(alphabet) for _ in range(r.randint(0, 70))) for _ in range(400)] + ["", " ", "The quick brown fox.\nJumps over 42 dogs!"]
-
-
-def score(model, ids):
-    """Total score of ids; bytes stand for one unknown character each run of UTF-8."""
-    total, k = 0, 0
-    while k < len(ids):
-        if ids[k] in model.byte_value:
-            lead = model.byte_value[ids[k]]
-            k += 1 if lead < 128 else 2 if lead < 224 else 3 if lead < 240 else 4
-            total += model.unknown
-        else:
-            total += model.score[ids[k]]
-            k += 1
-    return total
-
-
-def test_segmentations_are_the_librarys(model):
-    sp = unigram_processor(model)
-    for t in some_texts():
-        own, other = model.encode(t).tolist(), sp.encode(t)
-        assert own == other or score(model, own) == score(model, other), t
-        assert model.decode(np.array(own, np.int64)) == t or not t
+    alphabet = ["a", "b", " ", "  ", "é", "\n", "漢", "😀", "the", "quick", "².", "_", "ing", "!", "1", "\x00", "▁", "tion", "er", "==", "//"]
+    odd = ["", " ", "The quick brown fox.\nJumps over 42 dogs!", "abcde" * 200, "▁ ▁" * 50, "x" * 300, " " * 200, "=" * 300, "averylongwordwithoutanyspaces" * 10, "a▁", "\n\n▁"]
+    return ["".join(r.choice(alphabet) for _ in range(r.randint(0, 70))) for _ in range(500)] + odd
 
 
-def test_scores_are_the_best_of_all(model):
-    r = random.Random(1)
-    known = {model.pieces[i]: s for i, s in model.score.items()}
-    for _ in range(300):
-        text = normalise("".join(r.choice("thein Qé") for _ in range(r.randint(1, 12))))
-        best = [0] + [NEVER] * len(text)
-        for j in range(1, len(text) + 1):
-            for i in range(j):
-                best[j] = max(best[j], best[i] + known.get(text[i:j], model.unknown if j == i + 1 else NEVER))
-        assert score(model, model.encode(text[1:].replace("▁", " ")).tolist()) == best[-1]
+def test_ids_are_the_librarys(model):
+    for t, ids in zip(some_texts(), model.encode(some_texts()), strict=True):
+        assert ids.tolist() == model.sp.encode(t), t
+        assert model.decode(ids)[1:] == t.replace("▁", " ")
 
 
 @pytest.mark.parametrize("size", [16, 17, 50])
-def test_chunks_change_nothing(model, size):
-    for t in [*some_texts(), "abcde" * 200, "▁ ▁" * 50]:
-        assert encode_chunked(model, t, size) == model.encode(t).tolist()
-
-
-def test_matrices_combine_associatively(model):
-    parts = chunks_of(normalise("the quick brown fox jumps over the lazy dog " * 4), 40, model.longest - 1)
-    a, b, c = (model.matrix(x, n) for x, n in parts[:3])
-    left, right = combine(combine(a, b), c), combine(a, combine(b, c))
-    assert (np.where(left > NEVER // 2, left, NEVER) == np.where(right > NEVER // 2, right, NEVER)).all()
-
-
-def test_tables(spark, model):
-    texts = [None, "", "short one", "long " * 300 + "\n" + "x" * 500, "long " * 300 + "\n" + "x" * 500, "é" * 700, "end ▁ mark"]
-    docs = spark.createDataFrame([(i, t, "row", 3) for i, t in enumerate(texts)], "doc_id long, text string, row string, i int")
-    got = {r.doc_id: r for r in encode_texts(docs, PATH, chunk=100).collect()}
-    assert len(got) == len(texts)
-    for i, t in enumerate(texts):
-        want = model.encode(t or "").tolist()
-        assert got[i].ids == want and got[i].n_tokens == len(want) and got[i].round_trip
-        assert got[i].n_chunks == max(1, -(-(len(t or "") + 1) // 100) if len(t or "") > 100 else 1)
+def test_the_scan_over_chunks_gives_them_too(model, size):
+    for t in some_texts():
+        assert encode_chunked(model, t, size) == model.sp.encode(t), t
+
+
+def test_merging_short_strings_is_the_librarys(model):
+    r = random.Random(3)
+    for _ in range(500):
+        t = "".join(r.choice(["a", "e", "th", "in", "on", "x", "é", "1"]) for _ in range(r.randint(1, 12)))
+        assert [i for p in model.merged("▁" + t) for i in model.ids(p)] == model.sp.encode(t)
+
+
+def test_matrices_combine_associatively_to_the_whole_score(model):
+    text = normalise("the quick brown fox jumps over thelazydogwithoutspaces " * 4)
+    chunks = [model.chunk(*c).matrix() for c in chunks_of(text, 40, model.longest)]
+    left, right = chunks[0], chunks[-1]
+    for m in chunks[1:]:
+        left = combine(left, m)
+    for m in reversed(chunks[:-1]):
+        right = combine(m, right)
+    assert left == right and set(left) == {(EDGE, EDGE)}
+    assert left[EDGE, EDGE] == sum(model.score[model.pieces[i]] for i in model.sp.encode(text[1:].replace("▁", " ")))
+    assert lead({EDGE: 0}, left) == {EDGE: left[EDGE, EDGE]}
+
+
+def test_tables(spark, model, monkeypatch):
+    monkeypatch.setattr(pieces, "FAN", 4)  # several steps of the tree
+    texts = [None, "", "short one", "long " * 300 + "\n" + "x" * 500, "long " * 300 + "\n" + "x" * 500, "é" * 700, "end ▁ mark", "one_" * 400 + "a b " * 100, "y" * 101]
+    docs = spark.createDataFrame([(i, t, "row", 3) for i, t in enumerate(texts)] + [(None, "no id " * 30, "row", 3)], "doc_id long, text string, row string, i int")
+    encoded = encode_texts(docs, PATH, chunk=100)
+    got = sorted(encoded.collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.chunk))
+    back = {(r.doc_id, r.chunk): r.text for r in decode_texts(encoded, PATH).collect()}
+    for i, t in [*enumerate(texts), (None, "no id " * 30)]:
+        rows = [r for r in got if r.doc_id == i]
+        assert [k for r in rows for k in r.ids] == model.sp.encode(t or "") and all(r.round_trip for r in rows)
+        assert [r.chunk for r in rows] == list(range(rows[0].n_chunks)) and rows[0].n_chunks == max(1, -(-(len(t or "") + 1) // 100) if len(t or "") > 100 else 1)
+        assert all(r.n_tokens == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in rows)
+        assert "".join(back[i, r.chunk] for r in rows) == (t or "").replace("▁", " ")
     assert encode_texts(docs.limit(0), PATH).count() == 0
+    with pytest.raises(ValueError):
+        encode_texts(docs, PATH, chunk=3)
+
+
+def test_repeated_rows_come_back_each(spark, model):
+    docs = spark.createDataFrame([(1, "z" * 90 + " word" * 20)] * 3 + [(1, "short")] * 2, "doc_id long, text string")
+    got = encode_texts(docs, PATH, chunk=64).collect()
+    assert sorted((r.n_chunks, r.chunk) for r in got) == sorted([(3, 0), (3, 1), (3, 2)] * 3 + [(1, 0)] * 2)

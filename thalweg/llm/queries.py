@@ -141,7 +141,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from thalweg.llm.pieces import encode_texts
 
-    return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")).drop("ids")
+    return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
