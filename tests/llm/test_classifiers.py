@@ -84,7 +84,13 @@ def test_views_teach_each_other():
     few = np.arange(60)
     model = quality.co_train(tuple(v[few] for v in views), y[few], np.ones(60), tuple(v[60:3000] for v in views))
     a, b = model.text.odds(views[0][3000:]), model.page.odds(views[1][3000:])
-    assert ((a + b > 0) == y[3000:]).mean() > 0.93
+    assert ((model.joint(a, b) > 0) == y[3000:]).mean() > 0.93
+
+
+def test_the_page_view_sees_no_characters():
+    texts = [b"One line.\n\nAnother LINE 7!", b"xxx xxxxx\n\n!!!!!!! ABCD 99"]
+    a, b = quality.page_view(quality.line_sizes(texts), ["s", "s"], ["en", "en"])
+    assert a.tolist() == b.tolist() and quality.page_view(quality.line_sizes([b""]), [None], [None]).shape == (1, len(a))
 
 
 @pytest.mark.parametrize("name", ["quality", "toxic"])

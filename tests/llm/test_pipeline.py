@@ -24,7 +24,7 @@ def test_stages_keep_columns_and_decide_as_plain_code_does(spark):
     assert one.columns == docs.columns
     model = quality.fit_quality(docs, labels)
     score = model.scores([r.text.encode() for r in rows.values()], [r.source for r in rows.values()], [r.lang for r in rows.values()])[:, 2]
-    kept = {d for d, s in zip(rows, score, strict=True) if round(s, 6) >= 0.5}
+    kept = {d for d, s in zip(rows, score, strict=True) if round(s, 6) >= quality.KEEP_FROM}
     assert {r.doc_id for r in one.collect()} == kept
 
     two = drop_toxic(spark, one, SF)

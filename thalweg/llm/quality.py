@@ -1,9 +1,9 @@
 """Quality by co-training: a text view and a page view teach each other, and their calibrated answers are joined.
 
-The text view sees the words: frequencies of short patterns of character classes and how words repeat. The page view sees what
-surrounds them: source, language, length and layout. Both start from labelled documents; in each round either gives the other the
-unlabelled documents it is surest of, with its answer as label. Each view's log-odds are then calibrated on labelled documents
-kept apart, and their mean decides.
+The text view sees the words: frequencies of short patterns of character classes and how words repeat. The page view sees no characters, only
+what a crawl's records tell of a page: source, language, size and the lengths of its lines. Both start from labelled documents; in each round
+either gives the other the unlabelled documents it is surest of, with its answer as label. Each view's log-odds are then calibrated on
+labelled documents kept apart, and there too the joint log-odds are fitted as a weighted sum of both views'.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ STEPS, RATE, RIDGE = 250, 0.05, 1e-4
 PATTERNS = 512
 SOURCES, LANGS = 64, 16
 #: A document stays from this score on: of two errors, rejecting good text is the worse.
-KEEP_FROM = 0.5
+KEEP_FROM = 0.35
 _BATCH = 1 << 20
 
 # Character classes: upper, lower, digit, space, line end, sentence marks, other marks, bytes beyond ASCII.
@@ -69,24 +69,28 @@ def text_view(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def page_view(texts: list[bytes], sources: list[str | None], langs: list[str | None]) -> np.ndarray:
-    """Rows of the page view: hashed source and language, length, and shares that describe the layout."""
-    n = len(texts)
-    out = np.zeros((n, SOURCES + LANGS + 9), np.float32)
-    for k, (text, source, lang) in enumerate(zip(texts, sources, langs, strict=True)):
+#: Upper ends of the classes of line lengths, in bytes.
+LINE_CLASSES = (1, 40, 80, 160, 320, 640, 1280)
+
+
+def page_view(sizes: list[np.ndarray], sources: list[str | None], langs: list[str | None]) -> np.ndarray:
+    """Rows of the page view: hashed source and language, size, and the layout, from the lengths of each document's lines."""
+    n = len(sizes)
+    out = np.zeros((n, SOURCES + LANGS + 6 + len(LINE_CLASSES)), np.float32)
+    for k, (lines, source, lang) in enumerate(zip(sizes, sources, langs, strict=True)):
         out[k, zlib.crc32((source or "").encode()) % SOURCES] = 1
         out[k, SOURCES + zlib.crc32((lang or "").encode()) % LANGS] = 1
-        size = max(1, len(text))
-        lines = text.split(b"\n")
-        kinds = np.bincount(_CLASS[np.frombuffer(text, np.uint8)], minlength=8) / size
-        # shares of capitals, digits, sentence marks, other marks; capitals beyond ASCII keep their second byte below 0xA0
-        out[k, SOURCES + LANGS :] = (
-            np.log1p(len(text)), np.log1p(len(lines)), np.log1p(size / len(lines)), 1 - len(set(lines)) / len(lines),
-            *np.sqrt(kinds[[0, 2, 5, 6]]), np.sqrt(kinds[3]),
-        )
+        total, count = int(lines.sum()), len(lines)
+        shares = np.bincount(np.searchsorted(LINE_CLASSES, lines, "left"), minlength=len(LINE_CLASSES) + 1)[: len(LINE_CLASSES)] / count
+        out[k, SOURCES + LANGS :] = (np.log1p(total), np.log1p(count), np.log1p(lines.mean()), np.log1p(lines.max()), lines.std() / (1 + lines.mean()), 1 - len(np.unique(lines)) / count, *shares)
     return out
 
 
+def line_sizes(texts: list[bytes]) -> list[np.ndarray]:
+    """The lengths of the lines of each text, at least one."""
+    return [np.fromiter(map(len, t.split(b"\n")), np.int64) for t in texts]
+
+
 @dataclass(frozen=True)
 class Logistic:
     """A logistic regression on standardised features, and the line that calibrates its log-odds."""
@@ -139,15 +143,22 @@ def calibrate(model: Logistic, x: np.ndarray, y: np.ndarray, weight: np.ndarray)
 
 @dataclass(frozen=True)
 class QualityModel:
+    """Both views, and how their log-odds are joined."""
+
     text: Logistic | None
     page: Logistic | None
+    both: Logistic | None = None
 
     def scores(self, texts: list[bytes], sources: list[str | None], langs: list[str | None]) -> np.ndarray:
         """Rows of the text view's, the page view's and the joint chance of good quality."""
         if self.text is None:
             return np.ones((len(texts), 3))
-        a, b = self.text.odds(text_view(texts)), self.page.odds(page_view(texts, sources, langs))
-        return np.stack([_logistic(a), _logistic(b), _logistic((a + b) / 2)], 1)
+        a, b = self.text.odds(text_view(texts)), self.page.odds(page_view(line_sizes(texts), sources, langs))
+        return np.stack([_logistic(a), _logistic(b), _logistic(self.joint(a, b))], 1)
+
+    def joint(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Log-odds of both views together."""
+        return self.both.raw(np.stack([a, b], 1).astype(np.float32))
 
 
 def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, weight: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS) -> QualityModel:
@@ -178,7 +189,8 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, weight: np.nda
                 given[1 - k].setdefault(r, True)
     check = held if held.any() else learn
     text, page = (calibrate(m, v[check], y[check], weight[check]) for m, v in zip(models, views, strict=True))
-    return QualityModel(text, page)
+    odds = np.stack([text.odds(views[0][check]), page.odds(views[1][check])], 1).astype(np.float32)
+    return QualityModel(text, page, fit_logistic(odds, y[check], weight[check], 400))
 
 
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +198,7 @@ def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = texts_of(batch.column(1))
         sources, langs = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), _BATCH):
-            a, b = text_view(texts[i:j]), page_view(texts[i:j], sources[i:j], langs[i:j])
+            a, b = text_view(texts[i:j]), page_view(line_sizes(texts[i:j]), sources[i:j], langs[i:j])
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(4).slice(i, j - i), pa.array([r.tobytes() for r in a]), pa.array([r.tobytes() for r in b])], names=["doc_id", "label", "a", "b"])
 
 
