@@ -60,6 +60,40 @@ def test_toxic_words_are_found_in_new_documents(spark):
     assert not any(x.toxic for x in got if x.doc_id >= 900)
 
 
+def test_given_grades_are_learnt_and_found_in_new_documents(spark):
+    r = random.Random(5)
+    marks = {1: ["mildx", "poutz"], 2: ["meanq", "slurv"], 3: ["vilew", "zorkle"]}
+    rows, labels = [], []
+    for i in range(1600):
+        words, grade = prose(r, r.randint(30, 120)).split(), r.choice([0, 0, 0, 1, 2, 3])
+        for _ in range(3 if grade else 0):
+            words[r.randrange(len(words))] = r.choice(marks[grade])
+        rows.append((i, " ".join(words), grade))
+        if i < 1200:
+            labels.append((i, grade))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, g int")
+    got = {x.doc_id: x for x in toxicity.score_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    new = [(g, got[i].severity, got[i].grade) for i, _, g in rows if i >= 1200]
+    assert np.mean([g == own for g, _, own in new]) > 0.93
+    means = [np.mean([s for g, s, _ in new if g == k]) for k in range(4)]
+    assert all(abs(m - k) < 0.35 for k, m in enumerate(means)), means
+
+
+def test_grades_come_from_models_that_have_not_seen_the_document():
+    # a mark that one document alone has can't raise its own grade, marks that many share can
+    n = 400
+    toxic = np.arange(n) < 200
+    rows, cols = [], []
+    for i in range(n):
+        own = ([1] if toxic[i] else []) + ([2, 3] if i < 60 else []) + [1000 + i] * 1
+        rows += [i] * len(own)
+        cols += own
+    scores = toxicity.unseen_scores(np.array(rows), np.array(cols), toxic, np.ones(n))
+    assert len(set(np.round(scores[60:200], 1))) <= toxicity.FOLDS and scores[:60].min() > scores[60:200].max() and scores[60:200].min() > scores[200:].max()
+    grade = toxicity.severity_grades(toxic, scores)
+    assert (grade[200:] == 0).all() and grade[:60].min() > grade[60:200].max() >= 1
+
+
 def test_without_labels_nothing_is_rejected(spark):
     docs = spark.createDataFrame([(1, "a b", "s", "en"), (None, None, None, None)], "doc_id long, text string, source string, lang string")
     for rows in ([], [(1, None, None)], [(1, 1, 0)]):

@@ -25,9 +25,11 @@ PER_CLASS = 3000
 #: many of its documents and this share of them; a few copies of a document don't make a feature.
 LEAST_Z, LEAST_LIFT, LEAST_DOCS, LEAST_SHARE, MOST_FEATURES = 5.0, 5.0, 4, 0.006, 1 << 14
 GRADES = 4
+#: Parts of the labelled documents, each graded by a model of the others.
+FOLDS = 4
 ROUNDS, RATE, RIDGE = 300, 0.1, 1e-3
-#: Severity from which a document counts as toxic: one clear mark in a document is less than one expected grade.
-TOXIC_FROM = 0.3
+#: A document counts as toxic from this chance on that its grade is above 0.
+TOXIC_FROM = 0.5
 _BATCH = 1 << 20
 
 
@@ -103,14 +105,32 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grade: np.ndarray, weight: n
     return OrdinalModel(features, x[:f], theta)
 
 
-def severity_grades(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, features: np.ndarray, grades: int = GRADES) -> np.ndarray:
-    """Grades 0..grades-1 for documents of which only toxic or not is known: toxic ones by how many marked features they hold, in equal shares."""
-    inside = np.isin(cols, features)
-    hits = np.bincount(rows[inside], minlength=len(toxic))
+def unseen_scores(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, weight: np.ndarray, folds: int = FOLDS) -> np.ndarray:
+    """Each document's score by a model of two grades that was fitted on the other folds alone, features chosen there too."""
+    n = len(toxic)
+    out = np.zeros(n)
+    fold = np.arange(n) % folds
+    for k in range(folds):
+        learn, ask = fold != k, fold == k
+        if not toxic[learn].any() or toxic[learn].all():
+            continue
+        inside = learn[rows]
+        place = np.cumsum(learn) - 1
+        own = place[rows[inside]], cols[inside]
+        features = select_features(*own, toxic[learn])
+        model = fit_ordinal(*own, toxic[learn].astype(np.int64), weight[learn], features)
+        seen = ask[rows] & np.isin(cols, model.features)
+        score = np.bincount(rows[seen], model.weights[np.searchsorted(model.features, cols[seen])], n) if len(model.features) else np.zeros(n)
+        out[ask] = score[ask]
+    return out
+
+
+def severity_grades(toxic: np.ndarray, scores: np.ndarray, grades: int = GRADES) -> np.ndarray:
+    """Grades 0..grades-1 for documents of which only toxic or not is known: toxic ones in equal shares by the score of a model that has not seen them."""
     grade = np.zeros(len(toxic), np.int64)
     if toxic.any():
-        cuts = np.quantile(hits[toxic], np.arange(1, grades - 1) / (grades - 1))
-        grade[toxic] = 1 + np.searchsorted(cuts, hits[toxic], "left")
+        cuts = np.quantile(scores[toxic], np.arange(1, grades - 1) / (grades - 1))
+        grade[toxic] = 1 + np.searchsorted(cuts, scores[toxic], "left")
     return grade
 
 
@@ -146,7 +166,11 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> OrdinalModel:
-    """Fit on at most ``per_class`` documents of each label; labels of more than two values are taken as grades themselves."""
+    """Fit on at most ``per_class`` documents of each label.
+
+    Labels of more than two values are grades themselves. Of two values, toxic or not, the greater is graded by how strongly a model of other
+    documents marks it.
+    """
     text_batches(docs.sparkSession)
     sample, totals = labelled_sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels, label, per_class)
     table = sample.select("doc_id", "text", "_label").mapInArrow(_pairs, "doc_id long, label int, features array<int>").toArrow().combine_chunks().sort_by("doc_id")
@@ -159,13 +183,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     rows, cols, value = (np.cumsum(unlike) - 1)[rows[inside]], cols[inside], value[unlike]
     toxic = value > 0
     features = select_features(rows, cols, toxic)
-    if len(totals) > 2:
-        grade = np.searchsorted(sorted(totals), value)
-    else:
-        marked = features[np.bincount(cols[toxic[rows]], minlength=1 << BITS)[features] / max(1, toxic.sum()) > np.bincount(cols[~toxic[rows]], minlength=1 << BITS)[features] / max(1, (~toxic).sum())]
-        grade = severity_grades(toxic, rows, cols, marked)
     seen = {v: max(1, int((value == v).sum())) for v in totals}
     weight = np.array([totals[int(v)] / seen[int(v)] for v in value], float)
+    grade = np.searchsorted(sorted(totals), value) if len(totals) > 2 else severity_grades(toxic, unseen_scores(rows, cols, toxic, weight))
     return fit_ordinal(rows, cols, grade, weight, features)
 
 
@@ -175,13 +195,14 @@ def severity_column(model: OrdinalModel, text: str = "text"):
     @F.arrow_udf("struct<severity:double,grade:int,toxic:boolean>")
     def score(column: pa.Array) -> pa.Array:
         texts = texts_of(column)
-        out = np.empty((len(texts), 2))
+        out = np.empty((len(texts), 3))
         for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), _BATCH):
             chance = model.chances(model.scores(texts[i:j]))
             out[i:j, 0] = chance @ np.arange(chance.shape[1])
             out[i:j, 1] = chance.argmax(1)
+            out[i:j, 2] = 1 - chance[:, 0]
         severity = np.round(out[:, 0], 6)
-        return pa.StructArray.from_arrays([pa.array(severity), pa.array(out[:, 1].astype(np.int32)), pa.array(severity >= TOXIC_FROM)], ["severity", "grade", "toxic"])
+        return pa.StructArray.from_arrays([pa.array(severity), pa.array(out[:, 1].astype(np.int32)), pa.array(out[:, 2] >= TOXIC_FROM)], ["severity", "grade", "toxic"])
 
     return score(F.col(text).cast("string"))
 
