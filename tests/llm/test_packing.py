@@ -133,3 +133,15 @@ def test_repeated_rows_and_missing_ids(spark):
     rows = [(1, "same text", "a"), (1, "same text", "a"), (None, "none", None)]
     got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"), PATH).collect()
     assert sorted(str((x.doc_id, x.start == 0, x.length <= x.doc_tokens)) for x in got if x.start == 0) == sorted([str((1, True, True))] * 2 + [str((None, True, True))])
+
+
+def test_cuts_among_equal_rows_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_WINDOWS", 1)
+    rows = [(1, "same text of seven words here now", "a")] * 300 + [(2, "w " * 40_000, "a"), (None, None, None)]
+    got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), PATH, window=64, least_piece=8).collect()
+    seen = collections.Counter()
+    for x in got:
+        seen[x.doc_id] += x.length
+    assert seen == {1: 300 * 8, 2: 40_001, None: 1}
+    for pieces in collections.defaultdict(list, {s: [x for x in got if x.sequence_id == s] for s in {x.sequence_id for x in got}}).values():
+        assert sorted((x.offset, x.offset + x.length) for x in pieces)[-1][1] == sum(x.length for x in pieces)

@@ -35,7 +35,7 @@ MOST_PIECE = 1 << 14
 #: Documents of a source are ordered in 2 ** BUCKET_BITS buckets by hash.
 BUCKET_BITS = 12
 #: Windows of a partition, unless there would be more than so many partitions, or more than so many (partition, source) pairs.
-PART_WINDOWS, MOST_PARTS, MOST_CUTS = 1024, 8192, 1 << 22
+PART_WINDOWS, MOST_PARTS, MOST_CUTS = 1024, 8192, 1 << 18
 #: Words a worker remembers, some 150 bytes each.
 REMEMBERED = 500_000
 _BATCH_CHARS = 1 << 22
@@ -285,7 +285,7 @@ class Packer:
             yield from self._fill(self.window if left >= self.window else 1 << (left.bit_length() - 1))
 
 
-_TOKENS = "key string, source string, h long, doc_id long, start long, length long, doc_tokens long, ids binary"
+_TOKENS = "key string, source string, h long, row long, doc_id long, start long, length long, doc_tokens long, ids binary"
 _OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, target double"
 
 
@@ -293,69 +293,113 @@ def _tokenize(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokenizer.at(path)
         for batch in batches:
-            keys, sources, hashes, ids = (batch.column(k).to_pylist() for k in range(4))
-            rows = []
-            for key, source, h, doc_id, own in zip(keys, sources, hashes, ids, words.ids([x or "" for x in batch.column(4).to_pylist()]), strict=True):
-                full = np.append(own, own.dtype.type(END_ID))
-                for at in range(0, len(full), MOST_PIECE):
-                    part = full[at : at + MOST_PIECE]
-                    rows.append((key, source, h, doc_id, at, len(part), len(full), part.astype(f"<u{part.itemsize}").tobytes()))
-            kinds = (pa.string(), pa.string(), *[pa.int64()] * 5, pa.binary())
-            for at in range(0, len(rows), 4096):
-                columns = zip(*rows[at : at + 4096], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _TOKENS.split(", ")])
+            ids = words.ids([x or "" for x in batch.column(5).to_pylist()])
+            tokens = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
+            # pieces of long documents: which row, from where, how long
+            count = -(-tokens // MOST_PIECE)
+            row = np.repeat(np.arange(len(ids)), count)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * MOST_PIECE
+            size = np.minimum(MOST_PIECE, tokens[row] - start)
+            flat = np.empty(int(tokens.sum()), words.dtype)
+            ends = np.cumsum(tokens)
+            own = np.ones(len(flat), bool)
+            own[ends - 1] = False
+            flat[own] = np.concatenate([*ids, flat[:0]])
+            flat[ends - 1] = END_ID
+            at = np.concatenate([[0], np.cumsum(size)]) * flat.itemsize
+            raw = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(flat.astype(flat.dtype.newbyteorder("<")))])
+            take = pa.array(row)
+            columns = [*(batch.column(k).take(take) for k in range(5)), pa.array(start), pa.array(size), pa.array(tokens[row]), raw.cast(pa.binary())]
+            table = pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _TOKENS.split(", ")])
+            for k in range(0, len(row), 4096):
+                yield table.slice(k, 4096)
 
     return run
 
 
-def _place(keys: list[str], cuts: np.ndarray):
-    """Rows of whole (source, bucket) groups in order, each behind a row that gives the source's tokens before it, become pieces of partitions."""
+def _crossing(keys: list[str], cuts: np.ndarray):
+    """Rows (key, bucket, before, n) of buckets that a cut falls into."""
     number = {k: i for i, k in enumerate(keys)}
-    names = ["p", "progress", "k", "doc_id", "start", "length", "doc_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = 0
         for batch in batches:
-            mark = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-            size = batch.column(4).to_numpy(zero_copy_only=False)
-            # places in a source: the last marker's value and the lengths since
-            own = np.where(mark, 0, size)
-            before = np.cumsum(own) - own
-            group = np.cumsum(mark)
-            base = np.concatenate([[held], size[mark] - before[mark]])
-            at = base[group] + before
-            held = int(at[-1] + own[-1]) if len(at) else held
-            rows = np.flatnonzero(~mark)
-            if not len(rows):
-                continue
+            low, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+            own = np.zeros(len(low), bool)
+            for at, (key, a, b) in enumerate(zip(batch.column(0).to_pylist(), low.tolist(), (low + n).tolist(), strict=True)):
+                column = cuts[1:-1, number[key]]
+                own[at] = np.searchsorted(column, a, "left") < np.searchsorted(column, b, "left")
+            yield batch.filter(pa.array(own))
+
+    return run
+
+
+def _find(keys: list[str], cuts: np.ndarray):
+    """Rows of crossed buckets in order, (key, h, row, start, length), each bucket behind a row that gives the source's tokens before it: the row that
+    every cut falls into, as (p, k, h, row, start, within), with the tokens of the row that lie before the cut."""
+    number = {k: i for i, k in enumerate(keys)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, out = 0, []
+        for batch in batches:
+            for key, h, row, start, n in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if row is None:
+                    at = n
+                    continue
+                k = number[key]
+                lo, hi = np.searchsorted(cuts[1:-1, k], [at, at + n], "left") + 1
+                out += [(p, k, h, row, start, int(cuts[p, k]) - at) for p in range(int(lo), int(hi))]
+                at += n
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), *[pa.int64()] * 4), strict=True)], names=["p", "k", "h", "row", "start", "within"])
+
+    return run
+
+
+def _place(keys: list[str], marks: list[tuple[np.ndarray, ...]]):
+    """Rows become pieces of partitions by the rows that the cuts fall into: ``marks`` has, for each source, these as columns (p, h, row, start, within)."""
+    number = {k: i for i, k in enumerate(keys)}
+    names = ["p", "progress", "k", "h", "row", "doc_id", "start", "length", "doc_tokens", "ids"]
+    kinds = (pa.int32(), pa.float64(), pa.int32(), *[pa.int64()] * 6, pa.binary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, row, start = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 4))
             key = batch.column(0).dictionary_encode()
-            k = np.array([number[x] for x in key.dictionary.to_pylist()], np.int64)[key.indices.to_numpy()][rows]
-            lo, hi = at[rows], at[rows] + size[rows]
-            p, q = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+            k = np.array([number[x] for x in key.dictionary.to_pylist()], np.int64)[key.indices.to_numpy()]
+            p, progress, near = np.zeros(len(h), np.int32), np.empty(len(h)), np.zeros(len(h), bool)
             for s in np.unique(k).tolist():
-                own = k == s
-                p[own] = np.searchsorted(cuts[:, s], lo[own], "right") - 1
-                q[own] = np.searchsorted(cuts[:, s], hi[own] - 1, "right") - 1
-            progress = (lo - cuts[p, k]) / (cuts[p + 1, k] - cuts[p, k])
-            whole = p == q
-            out = batch.take(pa.array(rows[whole]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p[whole].astype(np.int32)), pa.array(progress[whole]), pa.array(k[whole].astype(np.int32)), *(out.column(c) for c in (2, 3, 4, 5, 6))], names=names
-            )
-            cut = []
-            for r in np.flatnonzero(~whole).tolist():
-                row, s = rows[r], int(k[r])
-                raw = batch.column(6)[row].as_py()
-                wide = len(raw) // int(size[row])
-                doc_id, start, tokens = (batch.column(c)[row].as_py() for c in (2, 3, 5))
-                for own in range(int(p[r]), int(q[r]) + 1):
-                    a, b = max(int(lo[r]), int(cuts[own, s])), min(int(hi[r]), int(cuts[own + 1, s]))
+                own = np.flatnonzero(k == s)
+                parts, at, *_ = marks[s]
+                place = np.searchsorted(at, h[own], "right")
+                # the partition that the last mark before the row begins
+                p[own] = np.append(0, parts)[place]
+                near[own] = np.searchsorted(at, h[own], "left") < place
+                ends = np.concatenate([[-(2.0**63)], at.astype(float), [2.0**63]])
+                progress[own] = (h[own] - ends[place]) / np.maximum(1.0, ends[place + 1] - ends[place])
+            far = np.flatnonzero(~near)
+            rest = batch.take(pa.array(far))
+            yield pa.RecordBatch.from_arrays([pa.array(p[far]), pa.array(progress[far]), pa.array(k[far].astype(np.int32)), *(rest.column(c) for c in (1, 2, 3, 4, 5, 6, 7))], names=names)
+            out = []
+            for r in np.flatnonzero(near).tolist():  # rows that share their hash with a mark, most of them the marks themselves
+                parts, at, rows, starts, within = marks[int(k[r])]
+                n, raw, own = batch.column(5)[r].as_py(), batch.column(7)[r].as_py(), (int(row[r]), int(start[r]))
+                wide = len(raw) // n
+                lo, hi = int(np.searchsorted(at, h[r], "left")), int(np.searchsorted(at, h[r], "right"))
+                part, done = int(parts[lo - 1]) if lo else 0, 0
+                pieces = []
+                for m in range(lo, hi):
+                    mark = (int(rows[m]), int(starts[m]))
+                    if mark < own:
+                        part = int(parts[m])
+                    elif mark == own:
+                        pieces.append((part, done, int(within[m])))
+                        part, done = int(parts[m]), int(within[m])
+                pieces.append((part, done, n))
+                for part, a, b in pieces:
                     if a < b:
-                        done = (a - int(cuts[own, s])) / int(cuts[own + 1, s] - cuts[own, s])
-                        cut.append((own, done, s, doc_id, start + a - int(lo[r]), b - a, tokens, raw[(a - int(lo[r])) * wide : (b - int(lo[r])) * wide]))
-            if cut:
-                kinds = (pa.int32(), pa.float64(), pa.int32(), *[pa.int64()] * 4, pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cut, strict=True), kinds, strict=True)], names=names)
+                        out.append((part, 0.0 if a or part in parts[lo:hi] else 1.0, int(k[r]), int(h[r]), own[0], batch.column(3)[r].as_py(), own[1] + a, b - a, batch.column(6)[r].as_py(), raw[a * wide : b * wide]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     return run
 
@@ -366,7 +410,7 @@ def _pack(mixture: Mixture, cuts: np.ndarray, firsts: np.ndarray, window: int, l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for p, k, doc_id, start, length, tokens, raw in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4, 5, 6, 7)), strict=True):
+                for p, k, doc_id, start, length, tokens, raw in zip(*(batch.column(c).to_pylist() for c in range(7)), strict=True):
                     yield p, (k, doc_id, np.frombuffer(raw, f"<u{len(raw) // length}"), start, tokens)
 
         def emit(out: list[tuple]) -> pa.RecordBatch:
@@ -401,30 +445,39 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, t
     queue of its own; an empty table gives no rows. The result depends on the rows alone, not on how they are partitioned.
     """
     text_batches(docs.sparkSession)
+    spark = docs.sparkSession
     source, text, doc_id = F.col("source").cast("string"), F.col("text").cast("string"), F.col("doc_id").cast("long")
     key = F.coalesce(F.concat(F.lit("="), source), F.lit(""))
-    base = docs.select(key.alias("key"), source.alias("source"), F.xxhash64(doc_id, text).alias("h"), doc_id.alias("doc_id"), text.alias("text"))
+    # the row's number only tells equal rows apart
+    base = docs.select(key.alias("key"), source.alias("source"), F.xxhash64(doc_id, text).alias("h"), F.monotonically_increasing_id().alias("row"), doc_id.alias("doc_id"), text.alias("text"))
     tokens = stage_table(base.mapInArrow(_tokenize(tokenizer_path), _TOKENS), "tokens")
-    bucket = F.shiftrightunsigned("h", 64 - BUCKET_BITS).alias("bucket")
+    bucket = F.shiftright("h", 64 - BUCKET_BITS).cast("int").alias("bucket")
     sums = stage_table(tokens.groupBy("key", "source", bucket).agg(F.sum("length").alias("n")), "token-sums")
-    found = sorted(sums.groupBy("key", "source").agg(F.sum("n").alias("n")).collect())
+    found = sorted(sums.groupBy("key", "source").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["key"])
     if not found:
-        return docs.sparkSession.createDataFrame([], _OUT)
-    names, totals = tuple(r["source"] for r in found), np.array([r["n"] for r in found], np.int64)
+        return spark.createDataFrame([], _OUT)
+    keys, names, totals = [r["key"] for r in found], tuple(r["source"] for r in found), np.array([r["n"] for r in found], np.int64)
     wanted = totals.astype(float) if targets is None else np.array([max(0.0, targets.get(s, 0.0)) for s in names])
     mixture = Mixture(names, totals, wanted)
     windows = mixture.total // window
     parts = max(1, min(-(-windows // PART_WINDOWS), MOST_PARTS, MOST_CUTS // len(names)))
     firsts = np.arange(parts, dtype=np.int64) * windows // parts
     cuts = mixture.cuts(firsts, window)
-    # the tokens that a source has before each of its buckets come to the bucket as a row of their own, in front of all others
+    # the rows that cuts fall into are found among those of the crossed buckets, without their ids; the tokens that a source has before a
+    # bucket come to it as a row of their own, in front of all others
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    marks = sums.select("key", none("long", "h"), none("long", "doc_id"), none("long", "start"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("length"), none("long", "doc_tokens"), none("binary", "ids"), "bucket")
-    rows = tokens.select("key", "h", "doc_id", "start", "length", "doc_tokens", "ids", bucket).union(marks)
-    rows = rows.repartition("key", "bucket").sortWithinPartitions("key", "bucket", F.col("h").asc_nulls_first(), "doc_id", "start").drop("bucket")
-    placed = rows.mapInArrow(_place([r["key"] for r in found], cuts), "p int, progress double, k int, doc_id long, start long, length long, doc_tokens long, ids binary")
-    dealt = placed.repartitionById(parts, F.col("p")).sortWithinPartitions("p", "progress", "k", "doc_id", "start")
+    ordered = sums.select("key", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), "n")
+    crossed = stage_table(ordered.mapInArrow(_crossing(keys, cuts), "key string, bucket int, before long, n long"), "crossed")
+    none = lambda name: F.lit(None).cast("long").alias(name)
+    rows = tokens.select("key", bucket, "h", "row", "start", "length").join(crossed.select("key", "bucket"), ["key", "bucket"], "left_semi")
+    rows = rows.union(crossed.select("key", "bucket", none("h"), none("row"), none("start"), F.col("before").alias("length")))
+    rows = rows.repartition("key", "bucket").sortWithinPartitions("key", "bucket", F.col("h").asc_nulls_first(), "row", "start").drop("bucket")
+    cut_rows = rows.mapInArrow(_find(keys, cuts), "p int, k int, h long, row long, start long, within long").toPandas().sort_values(["k", "p"])
+    marks = [tuple(cut_rows.loc[cut_rows["k"] == k, c].to_numpy() for c in ("p", "h", "row", "start", "within")) for k in range(len(keys))]
+    placed = tokens.select("key", "h", "row", "doc_id", "start", "length", "doc_tokens", "ids").mapInArrow(
+        _place(keys, marks), "p int, progress double, k int, h long, row long, doc_id long, start long, length long, doc_tokens long, ids binary"
+    )
+    dealt = placed.repartitionById(parts, F.col("p")).sortWithinPartitions("p", "progress", "k", "h", "row", "start").select("p", "k", "doc_id", "start", "length", "doc_tokens", "ids")
     return dealt.mapInArrow(_pack(mixture, cuts, firsts, window, least_piece), _OUT)
 
 
