@@ -323,12 +323,12 @@ def fingerprint_neighbours(docs: DataFrame, ranks: np.ndarray | None = None) ->
     if not order:
         return spark.createDataFrame([], OUT)
     # a copy of each range's first row goes to the range before, the table's first row to the last range
-    before = {p: order[k - 1] for k, p in enumerate(order)}
-    target = F.create_map(*[F.lit(x) for p in order for x in (p, before[p])])
-    tops = F.create_map(*[F.lit(x) for p in order for x in (p, ends[p]["top"] if ends[p]["top"] is not None else None)])
-    is_first = F.col("doc_id").eqNullSafe(tops[F.col("pid")])
+    before = spark.createDataFrame([(p, order[k - 1]) for k, p in enumerate(order)], "pid int, target int")
+    # by number of range: a literal array is asked by place, whatever its length
+    tops = F.array(*[F.lit(ends[p]["top"] if p in ends else None).cast("long") for p in range(order[-1] + 1)])
+    is_first = F.col("doc_id").eqNullSafe(F.get(tops, F.col("pid")))
     firsts = dealt.filter(is_first).groupBy("pid").agg(F.min_by(F.struct("doc_id", "text"), F.coalesce("text", F.lit(""))).alias("r"))
-    halo = firsts.select("r.doc_id", "r.text", target[F.col("pid")].alias("pid"), F.lit(1).alias("halo"))
+    halo = firsts.join(before, "pid").select("r.doc_id", "r.text", F.col("target").alias("pid"), F.lit(1).alias("halo"))
     rows = dealt.withColumn("halo", F.lit(0)).unionByName(halo)
     rows = rows.repartitionById(len(cuts) + 1, F.col("pid").cast("int"))
     rows = rows.sortWithinPartitions("pid", "halo", F.col("doc_id").desc_nulls_last(), F.coalesce("text", F.lit("")))
