@@ -62,6 +62,33 @@ def test_stages_keep_columns_and_decide_as_plain_code_does(spark):
     assert tokens == {d: len(engine.encode(rows[d].text, add_special_tokens=False).ids) + 1 for d in last}
 
 
+def test_of_rows_that_repeat_an_id_the_smallest_text_stays(spark):
+    rows = [(1, "b b b", "en", "s", 5), (1, "a a a", "fr", "s", 5), (1, "a a a", "en", "t", 5), (2, None, "en", "s", 0), (2, "z", "en", "s", 1), (None, "x", "en", "s", 1), (None, "x", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for parts in (1, 4):
+        got = sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs.repartition(parts), SF).collect()), key=str)
+        assert got == sorted([(1, "a a a", "en", "t", 5), (2, None, "en", "s", 0), rows[5], rows[6]], key=str)
+
+
+def test_the_run_is_its_stages_one_after_another(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).toPandas(), docs.schema)
+    want = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    # every id of every document that is left lies in one piece
+    engine = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    spans = collections.defaultdict(list)
+    for p in got:
+        spans[p.doc_id].append((p.start, p.start + p.length))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert spans.keys() == texts.keys()
+    for d, own in spans.items():
+        own.sort()
+        assert own[0][0] == 0 and all(a[1] == b[0] for a, b in zip(own, own[1:], strict=False)) and own[-1][1] == len(engine.encode(texts[d], add_special_tokens=False).ids) + 1
+
+
 def test_odd_rows_pass(spark):
     docs = spark.createDataFrame([(None, None, None, None, None, 1), (1, "", "en", "a", 0, 1), (1, "", "en", "a", 0, 1), (2, None, "en", "a", 0, 1)], "doc_id long, text string, lang string, source string, n_chars long, _score int")
     for _, stage in corpus_pipeline.STAGES[:-1]:
