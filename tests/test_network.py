@@ -46,7 +46,7 @@ def test_orders_of_odd_networks(spark):
     extra = [(100, 200, 201, 7, None, 1, 1), (101, 300, 18, 1, None, 2, 1), (102, 301, 18, 1, None, 1, 2), (103, 400, 401, 1, None, 1, 1), (104, 401, 400, 1, None, 1, 1)]
     got = {r.id: r for r in N.stream_orders(paths(spark, extra)).collect()}
     assert (got[100].strahler, got[100].max_uplength, got[100].mainstem_seq, got[100].component) == (1, 0, 1, 200)
-    assert got[101].strahler is None and got[102].hack is None and got[103].strahler is None and got[17].strahler == 4
+    assert got[101].strahler is None and got[102].hack is None and got[103].strahler == got[104].hack == 1 and got[17].strahler == 4  # two nodes, whatever lies between
     assert N.stream_orders(paths(spark).limit(0)).count() == 0
     legacy = {r.id: r.hack for r in N.stream_orders(paths(spark), "name", isolated_hack=1001).collect()}
     assert legacy[17] == 1001 and legacy[15] == 1002
@@ -121,3 +121,51 @@ def test_ties_go_to_the_lowest_id():
     frame = pd.DataFrame([(5, 1, 3, 4, None), (4, 2, 3, 4, None), (6, 3, 9, 1, None)], columns=["id", "from", "to", "length", "name"])
     got = N.fold_component(frame).set_index("id")
     assert got.loc[6, "mainstem"] == 2 and got.loc[6, "strahler"] == 2
+
+
+ODD = [  # id, from, to, length, name, rank, ef_type: forks at 2 and 5, a cycle 7-8-9 with a way in, a pair of its own, a bank pair
+    (30, 1, 2, 4, None, 1, 1), (31, 2, 3, 5, 1, 1, 1), (32, 2, 4, 9, 2, 1, 1), (33, 3, 5, 1, 1, 1, 1), (34, 4, 5, 2, None, 1, 1), (35, 5, 6, 3, 1, 1, 1), (36, 5, 10, 3, 2, 1, 1), (37, 10, 6, 7, None, 1, 1),
+    (40, 11, 7, 1, None, 1, 1), (41, 7, 8, 1, None, 1, 1), (42, 8, 9, 1, None, 1, 1), (43, 9, 7, 1, None, 1, 1), (50, 20, 21, 8, None, 1, 2), (51, 22, 23, 8, None, 2, 1), (52, 24, 25, 8, None, 1, 1), (53, 26, 27, 1, None, 1, 1), (54, 27, 28, 1, None, 1, 2),
+]
+COLUMNS = ("strahler", "shreve", "max_uplength", "mainstem", "hack", "horton", "mainstem_seq", "component")
+
+
+def odd_orders(df):
+    return {r.id: tuple(r[c] for c in COLUMNS) for r in df.collect()}
+
+
+@pytest.mark.parametrize("name", [None, "name"])
+def test_both_ways_give_the_same_orders_on_forks_cycles_and_pairs(spark, name):
+    odd = spark.createDataFrame(ODD, PATHS)
+    one = odd_orders(N.stream_orders(odd, name, isolated_hack=1001, boundary=[6]))
+    assert one == odd_orders(N.stream_orders(odd, name, isolated_hack=1001, boundary=[6], most=0))
+    assert one[31][:4] == (1, 1, 4, 1) and one[32][:4] == (1, 1, 4, 1)  # both flowpaths out of a fork have its orders
+    assert one[33][:3] == (1, 1, 9) and one[34][:4] == (1, 1, 0, 4)  # but only that of lowest id brings them down
+    assert all(one[i][:7] == (None,) * 7 for i in (40, 41, 42, 43, 54))
+    # the orders of pairs take no notice of rank and type
+    assert all(one[i][:3] + one[i][4:7] == (1, 1, 0, 1, 1, 1) for i in (50, 51, 52)) and one[53][4] == 1001 and one[35][4] == 1
+
+
+def test_both_ways_reach_the_same_nodes_for_ids_of_any_type(spark):
+    links = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y"), ("d", None), (None, "e")]
+    for kind, cast in (("string", str), ("long", ord)):
+        df = spark.createDataFrame([tuple(cast(x) if x else None for x in r) for r in links], f"src {kind}, dst {kind}")
+        starts = spark.createDataFrame([(cast("a"),), (None,), (cast("z"),)], f"id {kind}")
+        for within in (None, 0, 2):
+            got = sorted(map(tuple, N.reachable(df, starts, within).collect()))
+            assert got == sorted(map(tuple, N.reachable(df, starts, within, at_once=0).collect()))
+            assert got == sorted((cast(n), h) for n, h in (("a", 0), ("b", 1), ("c", 2), ("d", 3), ("z", 0)) if within is None or h <= within)
+
+
+def test_string_ids_have_orders_too(spark):
+    rows = [(i, f"N{a}", f"N{b}", n, m, 1, 1) for i, (a, b, n, m) in EDGES.items()]
+    got = {r.id: r for r in N.stream_orders(spark.createDataFrame(rows, PATHS.replace("nexus_id long", "nexus_id string"))).collect()}
+    assert [got[i].strahler for i in EDGES] == SAME["strahler"] and got[17].mainstem == "N2"
+
+
+def test_a_way_of_50000_flowpaths(spark):
+    n = 50_000
+    deep = spark.range(1, n + 1).selectExpr("id", "id AS from_nexus_id", "id + 1 AS to_nexus_id", "CAST(2 AS LONG) AS length", "CAST(NULL AS LONG) AS name", "1 AS rank", "1 AS ef_type")
+    got = {r.id: r for r in N.stream_orders(deep).filter(f"id IN (1, 777, {n})").collect()}
+    assert [(got[k].strahler, got[k].max_uplength, got[k].mainstem, got[k].mainstem_seq) for k in (1, 777, n)] == [(1, 0, 1, n), (1, 2 * 776, 1, n - 776), (1, 2 * (n - 1), 1, 1)]
+    assert N.trace(deep, spark.createDataFrame([(1,)], "id long")).count() == n

@@ -1,12 +1,13 @@
 """The drainage graph: traversal, stream orders, classification, checks and shortest paths.
 
-Edges are rows (id, from_nexus_id, to_nexus_id, ef_type, rank, length, ...). Loops run over a frontier, cut lineage into the
-shared folder each round, and end on an explicit test; a cap on rounds raises.
+Edges are rows (id, from_nexus_id, to_nexus_id, ef_type, rank, length, ...); nodes may have ids of any type. Loops run over a frontier,
+cut lineage into the shared folder each round, and end when a round finds nothing new; no number of rounds is too many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from thalweg.operators.components import AT_ONCE, connected_components
 from thalweg.session import stage_table
 
-MAX_ROUNDS = 10_000
 #: Edges of one component that a single task folds; larger ones are folded level by level over the cluster.
 COMPONENT_EDGES = 5_000_000
 PRIMARY = "rank = 1 AND ef_type <> 2"
@@ -28,43 +28,50 @@ def primary(paths: DataFrame) -> DataFrame:
 
 
 def _walk(frames: Iterator[pd.DataFrame], within: int | None) -> Iterator[pd.DataFrame]:
-    """Breadth-first search over rows (a, b, first): links, and starts as b of first rows, all in one task."""
+    """Breadth-first search over rows (a, b, first): links, and starts as b of first rows, all in one task. Ids may be of any type."""
     held = list(frames)
     if not held:
         return
     whole = pd.concat(held)
     is_start = whole["first"].to_numpy(bool)
-    src, dst = whole["a"].to_numpy()[~is_start], whole["b"].to_numpy()[~is_start]
+    codes, ids = pd.factorize(pd.concat([whole["a"][~is_start], whole["b"]]))
+    src, end = codes[: len(whole) - is_start.sum()], codes[len(whole) - is_start.sum() :]
+    dst = end[~is_start]
     order = np.argsort(src, kind="stable")
     src, dst = src[order], dst[order]
-    frontier = seen = np.unique(whole["b"].to_numpy()[is_start])
+    frontier = np.unique(end[is_start])
+    seen = np.zeros(len(ids), bool)
+    seen[frontier] = True
     hop = 0
     while len(frontier):
-        yield pd.DataFrame({"id": frontier, "hop": np.full(len(frontier), hop, np.int32)})
+        yield pd.DataFrame({"id": ids[frontier], "hop": np.full(len(frontier), hop, np.int32)})
         if hop == within:
             return
         lo, hi = np.searchsorted(src, frontier, "left"), np.searchsorted(src, frontier, "right")
         size = hi - lo
         at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        frontier = np.setdiff1d(dst[at], seen)
-        seen = np.union1d(seen, frontier)
+        frontier = np.unique(dst[at])
+        frontier = frontier[~seen[frontier]]
+        seen[frontier] = True
         hop += 1
 
 
 def reachable(links: DataFrame, starts: DataFrame, within: int | None = None, at_once: int = AT_ONCE) -> DataFrame:
-    """(id, hop) of every node that ``links`` (src, dst) lead to from ``starts`` (id), starts at hop 0; cycles are safe.
+    """(id, hop) of every node that ``links`` (src, dst) lead to from ``starts`` (id), starts at hop 0; cycles are safe, nulls are ignored.
 
-    Up to ``at_once`` links and starts are walked by one task, more in rounds over the cluster.
+    Up to ``at_once`` links and starts are walked by one task, more in rounds over the cluster; the answer is the same, for ids of any type.
     """
-    links = stage_table(links.select("src", "dst").distinct(), "links")
-    if at_once and links.limit(at_once + 1).count() <= at_once:
-        links, starts = links.dropna(), starts.select("id").dropna().distinct()
-        if starts.limit(at_once + 1).count() <= at_once:
-            rows = links.select(F.col("src").cast("long").alias("a"), F.col("dst").cast("long").alias("b"), F.lit(False).alias("first"))
-            rows = rows.union(starts.select(F.lit(0).cast("long"), F.col("id").cast("long"), F.lit(True)))
-            return rows.repartition(1).mapInPandas(lambda frames: _walk(frames, within), "id long, hop int")
-    seen = frontier = stage_table(starts.select("id").distinct().withColumn("hop", F.lit(0)), "reach")
-    for hop in range(1, (within if within is not None else MAX_ROUNDS) + 1):
+    kind = dict(starts.dtypes)["id"]
+    links = stage_table(links.select("src", "dst").dropna().distinct(), "links")
+    starts = starts.select("id").dropna().distinct()
+    if at_once and links.limit(at_once + 1).count() <= at_once and starts.limit(at_once + 1).count() <= at_once:
+        rows = links.select(F.col("src").cast(kind).alias("a"), F.col("dst").cast(kind).alias("b"), F.lit(False).alias("first"))
+        rows = rows.union(starts.select(F.lit(None).cast(kind), "id", F.lit(True)))
+        return rows.repartition(1).mapInPandas(lambda frames: _walk(frames, within), f"id {kind}, hop int")
+    seen = frontier = stage_table(starts.withColumn("hop", F.lit(0)), "reach")
+    for hop in count(1):
+        if within is not None and hop > within:
+            return seen
         found = frontier.join(links, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct().join(seen, "id", "left_anti")
         frontier = stage_table(found.withColumn("hop", F.lit(hop)), "reach")
         if frontier.isEmpty():
@@ -72,9 +79,7 @@ def reachable(links: DataFrame, starts: DataFrame, within: int | None = None, at
         seen = seen.union(frontier)
         if hop % 16 == 0:
             seen = stage_table(seen, "reach")
-    if within is None:
-        raise RuntimeError(f"a traversal did not end in {MAX_ROUNDS} rounds")
-    return seen
+    raise AssertionError
 
 
 def flow_links(paths: DataFrame, upstream: bool = False) -> DataFrame:
@@ -95,19 +100,19 @@ def trace(paths: DataFrame, starts: DataFrame, upstream: bool = False, most: int
 
 
 def fold_component(edges: pd.DataFrame, named: bool = False, isolated_hack: int | None = None, boundary: set | None = None) -> pd.DataFrame:
-    """Orders of one component's primary edges by one pass down and one pass up the tree.
+    """Orders of one component's edges by one pass down and one pass up the tree.
 
-    ``edges``: id, from, to, length, name. Of several out-edges of a node the lowest id counts; nodes on a cycle get nulls.
+    ``edges``: id, from, to, length, name, at most one out of each node. What leads to a cycle gets nulls.
     With ``isolated_hack`` outlets that aren't in ``boundary`` begin with that Hack order.
     """
     edges = edges.sort_values("id", kind="stable").reset_index(drop=True)
-    nodes, flat = np.unique(np.concatenate([edges["from"].to_numpy(), edges["to"].to_numpy()]), return_inverse=True)
+    flat, nodes = pd.factorize(pd.concat([edges["from"], edges["to"]]), sort=True)
     n, m = len(nodes), len(edges)
     tail, head = flat[:m].tolist(), flat[m:].tolist()
     length, ids = edges["length"].tolist(), edges["id"].tolist()
     name = [None if pd.isna(x) else x for x in edges["name"]]
     out = [-1] * n
-    for e in range(m - 1, -1, -1):
+    for e in range(m):
         out[tail[e]] = e
     missing = [0] * n
     for e in range(m):
@@ -117,18 +122,16 @@ def fold_component(edges: pd.DataFrame, named: bool = False, isolated_hack: int
     stem: list = [None] * n
     ready, order = [k for k in range(n) if not missing[k]], []
     source = set(ready)
-    leaving: list[list[int]] = [[] for _ in range(n)]
-    for e in range(m):
-        leaving[tail[e]].append(e)
     while ready:
         u = ready.pop()
         order.append(u)
         if u in source:
-            shreve[u], stem[u] = 1, nodes[u]
+            shreve[u], stem[u] = 1, u
         else:
             strahler[u] += times[u] >= 2
             stem[u] = best[u][1]
-        for e in leaving[u]:
+        e = out[u]
+        if e >= 0:
             v = head[e]
             if times[v] == 0 or strahler[u] > strahler[v]:
                 strahler[v], times[v] = strahler[u], 1
@@ -144,10 +147,13 @@ def fold_component(edges: pd.DataFrame, named: bool = False, isolated_hack: int
             missing[v] -= 1
             if not missing[v]:
                 ready.append(v)
-    hack, horton, seq = [0] * n, [0] * n, [0] * n
+    hack, horton, seq, ends = [0] * n, [0] * n, [0] * n, [False] * n
     for u in reversed(order):
         e = out[u]
-        if e < 0 or stem[head[e]] is None:
+        ends[u] = e < 0 or ends[head[e]]
+        if not ends[u]:
+            continue
+        if e < 0:
             start = 1 if isolated_hack is None or (boundary and nodes[u] in boundary) else isolated_hack
             hack[u], horton[u] = start, strahler[u]
             continue
@@ -156,9 +162,9 @@ def fold_component(edges: pd.DataFrame, named: bool = False, isolated_hack: int
             hack[u], horton[u], seq[u] = hack[v], horton[v], seq[v] + 1
         else:
             hack[u], horton[u], seq[u] = hack[v] + 1, strahler[u], 1
-    done = [stem[t] is not None for t in tail]
+    done = [ends[t] for t in tail]
     pick = lambda values: pd.array([int(values[t]) if ok else None for t, ok in zip(tail, done, strict=True)], "Int64")
-    return pd.DataFrame({"id": ids, "strahler": pick(strahler), "shreve": pick(shreve), "max_uplength": pick(far), "mainstem": pick([s if s is not None else 0 for s in stem]), "hack": pick(hack), "horton": pick(horton), "mainstem_seq": pick(seq)})
+    return pd.DataFrame({"id": ids, "strahler": pick(strahler), "shreve": pick(shreve), "max_uplength": pick(far), "mainstem": pd.Series([nodes[stem[t]] if ok else None for t, ok in zip(tail, done, strict=True)], dtype=object), "hack": pick(hack), "horton": pick(horton), "mainstem_seq": pick(seq)})
 
 
 ORDER_SCHEMA = "id long, strahler long, shreve long, max_uplength long, mainstem long, hack long, horton long, mainstem_seq long"
@@ -167,10 +173,8 @@ ORDER_SCHEMA = "id long, strahler long, shreve long, max_uplength long, mainstem
 def fold_levels(edges: DataFrame, named: bool = False, isolated_hack: int | None = None, boundary: set | None = None) -> DataFrame:
     """``fold_component`` for networks of any size: a job for each step of distance from the outlets, first down, then up.
 
-    ``edges``: id, from, to, length, name. A node of several out-edges is an error here; nodes on a cycle have no row.
+    ``edges``: id, from, to, length, name, at most one out of each node; what leads to a cycle has no row.
     """
-    if not edges.groupBy("from").count().filter("count > 1").isEmpty():
-        raise ValueError("a node has several primary out-edges")
     flat = edges.select("id", F.col("from").alias("from_nexus_id"), F.col("to").alias("to_nexus_id"), F.lit(1).alias("rank"), F.lit(1).alias("ef_type"))
     hops = hops_to_outlet(flat)
     level = stage_table(edges.join(hops.select(F.col("id").alias("from"), "hop"), "from"), "levels")
@@ -218,31 +222,45 @@ def fold_levels(edges: DataFrame, named: bool = False, isolated_hack: int | None
 
 
 def stream_orders(paths: DataFrame, name: str | None = None, isolated_hack: int | None = None, boundary: list | None = None, most: int = COMPONENT_EDGES) -> DataFrame:
-    """Orders of every flowpath, those of its upper end; null for secondary and bank flowpaths and on cycles.
+    """Orders of every flowpath, those of its upper end; null for secondary and bank flowpaths and where the way down leads to a cycle.
 
     ``name`` is a column whose values keep a mainstem together; without it the longest way up does. A mainstem's id is its
-    headwater node. ``component`` is the smallest node that any flowpaths connect. A component of at most ``most`` primary
-    edges goes to one task; larger ones are folded step by step over the whole cluster.
+    headwater node. ``component`` is the smallest node that any flowpaths connect. The flowpaths of a component of two nodes all have the orders of a
+    lone headwater, whatever their rank and type. Water leaves a node by its primary flowpath of lowest id; others out of
+    the node have its orders too but bring nothing to their lower end. A component of at most ``most`` such flowpaths goes to one task; larger ones
+    are folded step by step over the whole cluster, with the same result.
     """
     comp = connected_components(paths, "from_nexus_id", "to_nexus_id")
+    pairs = comp.groupBy("component").agg(F.count("*").alias("nodes"))
+    # the flowpath that water leaves the node by
+    first = primary(paths).groupBy("from_nexus_id").agg(F.min("id").alias("tree"))
     known = stage_table(
-        paths.join(comp.withColumnRenamed("id", "from_nexus_id"), "from_nexus_id").select(
-            "id", F.col("from_nexus_id").alias("from"), F.col("to_nexus_id").alias("to"), "length", (F.col(name) if name else F.lit(None)).cast("long").alias("name"), "rank", "ef_type", "component"
+        paths.join(comp.withColumnRenamed("id", "from_nexus_id"), "from_nexus_id").join(pairs, "component").join(first, "from_nexus_id", "left").select(
+            "id", F.when(F.expr(PRIMARY), F.col("tree")).alias("tree"), F.col("from_nexus_id").alias("from"), F.col("to_nexus_id").alias("to"), "length", (F.col(name) if name else F.lit(None)).cast("long").alias("name"), "component", "nodes"
         ),
         "order-edges",
     )
-    sizes = known.filter(PRIMARY).groupBy("component").agg(F.count("*").alias("n"))
+    trees = known.filter("id = tree AND nodes <> 2")
+    sizes = trees.groupBy("component").agg(F.count("*").alias("n"))
     large = stage_table(sizes.filter(F.col("n") > most).select("component"), "large")
     marks = set(boundary or ())
+    node = dict(paths.dtypes)["from_nexus_id"]
+    schema = ORDER_SCHEMA.replace("mainstem long", f"mainstem {node}")
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
         return fold_component(frame, name is not None, isolated_hack, marks)
 
-    folded = known.filter(PRIMARY).join(large, "component", "left_anti").groupBy("component").applyInPandas(fold, ORDER_SCHEMA)
+    folded = trees.join(large, "component", "left_anti").select("id", "from", "to", "length", "name", "component").groupBy("component").applyInPandas(fold, schema)
     if not large.isEmpty():
-        rows = stage_table(known.filter(PRIMARY).join(large, "component", "left_semi").select("id", "from", "to", "length", "name"), "large-edges")
+        rows = stage_table(trees.join(large, "component", "left_semi").select("id", "from", "to", "length", "name"), "large-edges")
         folded = folded.union(fold_levels(rows, name is not None, isolated_hack, marks))
-    return known.select("id", "component").join(folded, "id", "left")
+    orders = [c for c in folded.columns if c != "id"]
+    out = known.filter("nodes <> 2").select("id", "component", "tree").join(folded.withColumnRenamed("id", "tree"), "tree", "left").select("id", "component", *orders)
+    one = lambda v, n: F.lit(v).cast("long").alias(n)
+    small = known.filter("nodes = 2").select(
+        "id", "component", one(1, "strahler"), one(1, "shreve"), one(0, "max_uplength"), F.col("component").alias("mainstem"), one(1, "hack"), one(1, "horton"), one(1, "mainstem_seq")
+    )
+    return out.unionByName(small)
 
 
 def hops_to_outlet(paths: DataFrame) -> DataFrame:
@@ -290,7 +308,7 @@ def peel(paths: DataFrame) -> DataFrame:
     """What remains when nodes without inflow are taken away again and again: edges on cycles or behind them."""
     left = stage_table(paths.select("id", "from_nexus_id", "to_nexus_id"), "peel")
     size = left.count()
-    for _ in range(MAX_ROUNDS):
+    while True:
         if not size:
             return left
         fed = left.select(F.col("to_nexus_id").alias("from_nexus_id")).distinct()
@@ -299,7 +317,6 @@ def peel(paths: DataFrame) -> DataFrame:
         if now == size:
             return left
         size = now
-    raise RuntimeError(f"peeling did not end in {MAX_ROUNDS} rounds")
 
 
 def has_cycle(paths: DataFrame) -> bool:
@@ -319,7 +336,7 @@ def trim(paths: DataFrame, keep: DataFrame) -> DataFrame:
     """Edges left when dead ends are taken away again and again, other than at ``keep`` (id)."""
     left = stage_table(paths.select("id", "from_nexus_id", "to_nexus_id"), "trim")
     size = left.count()
-    for _ in range(MAX_ROUNDS):
+    while True:
         ends = left.select(F.explode(F.array("from_nexus_id", "to_nexus_id")).alias("node"))
         dead = ends.groupBy("node").count().filter("count = 1").join(keep.select(F.col("id").alias("node")), "node", "left_anti").select("node")
         step = left.join(dead.select(F.col("node").alias("from_nexus_id")), "from_nexus_id", "left_anti").join(dead.select(F.col("node").alias("to_nexus_id")), "to_nexus_id", "left_anti")
@@ -328,21 +345,19 @@ def trim(paths: DataFrame, keep: DataFrame) -> DataFrame:
         if now == size:
             return left
         size = now
-    raise RuntimeError(f"trimming did not end in {MAX_ROUNDS} rounds")
 
 
 def shortest_distances(links: DataFrame, sinks: DataFrame) -> DataFrame:
     """(id, distance) to the nearest of ``sinks`` (id) along ``links`` (src, dst, length): rounds of relaxation until nothing improves."""
     links = stage_table(links.select("src", "dst", "length"), "links")
     known = changed = stage_table(sinks.select("id").distinct().withColumn("distance", F.lit(0).cast("long")), "distance")
-    for _ in range(MAX_ROUNDS):
+    while True:
         offers = changed.join(links, F.col("id") == F.col("dst")).groupBy(F.col("src").alias("id")).agg(F.min(F.col("distance") + F.col("length")).alias("offer"))
         better = offers.join(known, "id", "left").filter(F.col("distance").isNull() | (F.col("offer") < F.col("distance")))
         changed = stage_table(better.select("id", F.col("offer").alias("distance")), "distance")
         if changed.isEmpty():
             return known
         known = stage_table(known.union(changed).groupBy("id").agg(F.min("distance").alias("distance")), "distance")
-    raise RuntimeError(f"distances did not settle in {MAX_ROUNDS} rounds")
 
 
 def merge_chains(paths: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thalweg.operators.network import MAX_ROUNDS, catchment_links, flow_links, primary, reachable
+from thalweg.operators.network import catchment_links, flow_links, primary, reachable
 from thalweg.session import stage_table
 
 
@@ -21,20 +21,20 @@ def crowded(points: DataFrame) -> DataFrame:
 def reach(paths: DataFrame, points: DataFrame) -> DataFrame:
     """(point, node, least, most): every node downstream of a point with the shortest and longest way from the lower end of its flowpath.
 
-    Rounds go on until no range widens; on a cycle ranges never settle and the cap raises.
+    Rounds go on until no range widens. On a cycle ranges never settle: more rounds than there are flowpaths are an error.
     """
     links = stage_table(paths.select(F.col("from_nexus_id").alias("src"), F.col("to_nexus_id").alias("dst"), "length"), "links")
     known = changed = stage_table(
         points.join(paths, F.col("edge") == F.col("id")).select("point", F.col("to_nexus_id").alias("node"), F.lit(0).cast("long").alias("least"), F.lit(0).cast("long").alias("most")), "pp-reach"
     )
-    for _ in range(MAX_ROUNDS):
+    for _ in range(links.count() + 2):
         offers = changed.join(links, F.col("node") == F.col("src")).groupBy("point", F.col("dst").alias("node")).agg(F.min(F.col("least") + F.col("length")).alias("a"), F.max(F.col("most") + F.col("length")).alias("b"))
         merged = offers.join(known, ["point", "node"], "left").filter("least IS NULL OR a < least OR b > most")
         changed = stage_table(merged.select("point", "node", F.least("a", F.coalesce("least", "a")).alias("least"), F.greatest("b", F.coalesce("most", "b")).alias("most")), "pp-reach")
         if changed.isEmpty():
             return known
         known = stage_table(known.union(changed).groupBy("point", "node").agg(F.min("least").alias("least"), F.max("most").alias("most")), "pp-reach")
-    raise RuntimeError(f"ranges did not settle in {MAX_ROUNDS} rounds")
+    raise ValueError("ranges don't settle: flowpaths make a cycle")
 
 
 def distances(paths: DataFrame, points: DataFrame, only_primary: bool = False) -> DataFrame:
@@ -54,13 +54,12 @@ def drained(paths: DataFrame, points: DataFrame) -> DataFrame:
     """(point, catchment, hop) of all catchments upstream of each point, its own at hop 0."""
     links = stage_table(catchment_links(paths).select(F.col("dst").alias("src"), F.col("src").alias("dst")), "links")
     known = frontier = stage_table(points.join(paths, F.col("edge") == F.col("id")).select("point", F.col("ecatchment_id").alias("catchment")).distinct(), "pp-drained")
-    for _ in range(MAX_ROUNDS):
+    while True:
         found = frontier.join(links, F.col("catchment") == F.col("src")).select("point", F.col("dst").alias("catchment")).distinct()
         frontier = stage_table(found.join(known, ["point", "catchment"], "left_anti"), "pp-drained")
         if frontier.isEmpty():
             return known
         known = stage_table(known.union(frontier), "pp-drained")
-    raise RuntimeError(f"drained catchments did not settle in {MAX_ROUNDS} rounds")
 
 
 def unique_catchments(paths: DataFrame, points: DataFrame) -> DataFrame:
@@ -69,13 +68,12 @@ def unique_catchments(paths: DataFrame, points: DataFrame) -> DataFrame:
     links = catchment_links(paths).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     open_links = stage_table(links.join(own.select(F.col("catchment").alias("dst")), "dst", "left_anti").select("src", "dst"), "links")
     known = frontier = stage_table(own, "pp-unique")
-    for _ in range(MAX_ROUNDS):
+    while True:
         found = frontier.join(open_links, F.col("catchment") == F.col("src")).select("point", F.col("dst").alias("catchment")).distinct()
         frontier = stage_table(found.join(known, ["point", "catchment"], "left_anti"), "pp-unique")
         if frontier.isEmpty():
             return known
         known = stage_table(known.union(frontier), "pp-unique")
-    raise RuntimeError(f"unique catchments did not settle in {MAX_ROUNDS} rounds")
 
 
 def shared_catchments(paths: DataFrame, points: DataFrame) -> DataFrame:

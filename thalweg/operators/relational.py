@@ -119,7 +119,9 @@ def order_view(paths: DataFrame, orders: DataFrame) -> DataFrame:
 def search_all(paths: DataFrame, catchments: DataFrame, names: DataFrame, text: str, match: str = "contains", most: int = MAX_RESULTS) -> DataFrame:
     """Flowpaths, then catchments, with a matching name, at most ``most`` in all."""
     hits = names.filter(name_matches(text, match)).select("name_id")
-    a = paths.join(hits, (F.col("rivernameid1") == F.col("name_id")) | (F.col("rivernameid2") == F.col("name_id")), "left_semi").select(F.lit(0).alias("place"), F.lit("flowpath").alias("kind"), "id")
+    # a row for each of a flowpath's names, so that the join is on the key
+    either = paths.select("id", F.explode(F.array("rivernameid1", "rivernameid2")).alias("name_id")).join(hits, "name_id", "left_semi")
+    a = either.select(F.lit(0).alias("place"), F.lit("flowpath").alias("kind"), "id").distinct()
     b = catchments.join(hits, F.col("lakenameid1") == F.col("name_id"), "left_semi").select(F.lit(1).alias("place"), F.when(F.col("ec_type") == 4, "waterbody").otherwise("catchment").alias("kind"), "id")
     return a.unionByName(b).orderBy("place", "id").limit(most).select("kind", "id")
 

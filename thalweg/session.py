@@ -5,11 +5,12 @@ from __future__ import annotations
 import atexit
 import os
 import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder, as in tests.
+#: Used only in local mode where the session names no shared folder, as in tests.
 LOCAL_FALLBACK = "/tmp/checkpoints/thalweg"
 
 
@@ -17,6 +18,8 @@ def shared_root(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"file://{LOCAL_FALLBACK}"
         spark.sparkContext.setCheckpointDir(root)
     if "://" not in root:  # a bare path belongs to the default file system
@@ -69,13 +72,20 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_shipped: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package when only the driver's path has it (local mode, shared home)."""
+    """Let Python workers import this package: from the driver's path where they share it, and on a cluster from a zip that Spark sends along."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "").split(":")
+    context = spark.sparkContext
+    have = context.environment.get("PYTHONPATH", "").split(":")
     if root not in have:
-        env["PYTHONPATH"] = ":".join([root, *[x for x in have if x]])
+        context.environment["PYTHONPATH"] = ":".join([root, *[x for x in have if x]])
+    if not context.master.startswith("local") and context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        with tempfile.TemporaryDirectory() as folder:
+            context.addPyFile(shutil.make_archive(os.path.join(folder, "thalweg"), "zip", root, "thalweg"))
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", app: str = "thalweg") -> SparkSession:
