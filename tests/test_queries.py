@@ -7,11 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from thalweg.plans import hydro_queries as H
+from thalweg.plans import registry as H
 
 SF = "/root/testdata/sf0.001"
-SLOW = ("g_", "pp_", "agg_catchment_orders", "agg_component_size", "prj_order_view", "lim_traversal_cap", "search_", "ra_", "join_lookup", "snk_write", "agg_union", "agg_extent")
-NAMES = [n for n in H.ORACLE_SQL if os.environ.get("THALWEG_ALL_QUERIES") or not n.startswith(SLOW) or n in ("g_rank", "g_classify_nexus", "ra_zonal_stats", "ra_slope_aspect", "pp_unique_check")]
+SLOW = ("pp_", "agg_component_size", "lim_traversal_cap", "ra_d", "g_orders_legacy", "g_shreve", "g_strahler")
+NAMES = [n for n in H.ORACLE_SQL if os.environ.get("THALWEG_ALL_QUERIES") or not n.startswith(SLOW) or n in ("pp_unique_check", "pp_reach", "ra_distance_grid")]
 
 
 @pytest.fixture(scope="module")

@@ -44,7 +44,8 @@ def test_all_primary_flowpaths_are_compared_for_crossings(spark):
 
     parts = side(x1.T, y1.T) * side(x2.T, y2.T) < 0
     a, b = np.nonzero(parts & parts.T)
-    got = entry.queries()["sp_segment_crosses"](spark, SF).toPandas()
+    p = A.with_points(A.flowpaths(spark, SF)).filter("rank = 1")
+    got = C.crossings(p, p, 40.0).toPandas()
     assert len(ids) == 1484 and len(got) == len(a)
     assert set(zip(got["id"], got["other"], strict=True)) == set(zip(ids[a].tolist(), ids[b].tolist(), strict=True))
 

@@ -48,6 +48,13 @@ def surface_area(grid: DataFrame, cell: float) -> DataFrame:
     return q.agg(F.sum(F.lit(cell * cell)).alias("flat"), F.round(F.sum(surface), 3).alias("surface"))
 
 
+def box_sides(boxes: DataFrame) -> DataFrame:
+    """(id, x1, y1, x2, y2): the four sides of each rectangle."""
+    side = lambda a, b, c, d: F.struct(F.col(a).alias("x1"), F.col(b).alias("y1"), F.col(c).alias("x2"), F.col(d).alias("y2"))
+    corners = (("minx", "miny", "maxx", "miny"), ("minx", "maxy", "maxx", "maxy"), ("minx", "miny", "minx", "maxy"), ("maxx", "miny", "maxx", "maxy"))
+    return boxes.select("id", F.explode(F.array(*[side(*c) for c in corners])).alias("s")).select("id", "s.*")
+
+
 def crossings(lines: DataFrame, others: DataFrame, size: float) -> DataFrame:
     """(id, other) of segments (one a row and id) that properly cross, by buckets and orientation.
 

@@ -12,6 +12,8 @@ EF_TYPES = {1: "Reach", 2: "Bank", 3: "Skeleton", 4: "Infrastructure"}
 EC_TYPES = {1: "Reach", 2: "Bank", 3: "Empty", 4: "Water", 5: "BuiltUpArea"}
 RANKS = {1: "Primary", 2: "Secondary"}
 WATER_DEFINITIONS = {4: "Lake", 9: "Pond", 6: "River", 1: "Canal"}
+#: Features that an export holds at most (a fixed value).
+MOST_EXPORTED = 500_000
 #: Rank and type names in the order in which greater and less compare them.
 ORDINALS = {"type": ("observed", "constructed", "inferred", "bank", "unknown"), "rank": ("primary", "secondary", "unknown")}
 MAX_RESULTS = 5000
@@ -209,3 +211,31 @@ def letters(n: Column) -> Column:
         return F.struct(F.when(more, F.call_function("div", s["n"], F.lit(26)) - 1).otherwise(s["n"]).alias("n"), F.when(more, name).otherwise(s["name"]).alias("name"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(14)), F.struct(n.cast("long").alias("n"), F.lit("").alias("name")), step, lambda s: s["name"])
+
+
+def most_order(catchments: DataFrame, orders: DataFrame) -> DataFrame:
+    """(id, strahler): the greatest Strahler order of the flowpaths (ecatchment_id, strahler) in each catchment (id); null where none has one."""
+    most = orders.groupBy(F.col("ecatchment_id").alias("id")).agg(F.max("strahler").alias("strahler"))
+    return catchments.select("id").join(most, "id", "left")
+
+
+def best_rank(catchments: DataFrame, paths: DataFrame) -> DataFrame:
+    """(id, rank): the best rank code of the flowpaths (ecatchment_id, rank by name) in each catchment; unknown ranks don't count, null where none does."""
+    code = reduce(lambda c, kv: c.when(F.lower("rank") == kv[1].lower(), kv[0]), RANKS.items(), F.when(F.lit(False), 0))
+    best = paths.groupBy(F.col("ecatchment_id").alias("id")).agg(F.min(code).alias("rank"))
+    return catchments.select("id").join(best, "id", "left")
+
+
+def first_places(rows: DataFrame, order: list[Column], most: int) -> DataFrame:
+    """The first ``most`` rows in an order that leaves no ties, with their places from 1."""
+    return rows.orderBy(*order).limit(most).withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def equal_sets(a: DataFrame, b: DataFrame, key: str, member: str) -> DataFrame:
+    """(key, equal): whether both tables have the same members of a key; false where only one has any.
+
+    Members are compared as sets without being gathered: each (key, member) says which tables have it.
+    """
+    side = lambda t, n: t.select(key, member, F.lit(n).alias("_side")).distinct()
+    own = side(a, 1).union(side(b, 2)).groupBy(key, member).agg(F.sum("_side").alias("_in"))
+    return own.groupBy(key).agg((F.min("_in") == 3).alias("equal"))

@@ -195,3 +195,11 @@ def dissolve(boxes: DataFrame, key: str) -> DataFrame:
     s = boxes.select(key, F.explode(F.array(side("minx", "miny", "maxx", "miny"), side("minx", "maxy", "maxx", "maxy"), side("minx", "miny", "minx", "maxy"), side("maxx", "miny", "maxx", "maxy"))).alias("s"))
     odd = s.groupBy(key, "s").agg(F.count("*").alias("n")).filter("n % 2 = 1")
     return odd.groupBy(key).agg(F.count("*").alias("segments"), F.sum(F.col("s.x2") - F.col("s.x1") + F.col("s.y2") - F.col("s.y1")).alias("outline"))
+
+
+def repeated_segments(segments: DataFrame) -> DataFrame:
+    """(x1, y1, x2, y2, n) of segments that occur more than once, whichever way they run."""
+    a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    both = segments.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    found = both.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1")
+    return found.select(F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "n")

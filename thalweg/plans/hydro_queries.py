@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,21 +14,7 @@ from thalweg.operators import raster as R
 from thalweg.operators import relational as Q
 from thalweg.operators import sinks as S
 from thalweg.operators import spatial as G
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return add
-
+from thalweg.plans.registry import query
 
 # ---- scans and predicates
 
@@ -127,7 +111,7 @@ def _(s, d):
 
 @query("flt_limit_guard", oracle("SELECT count(*) AS n FROM flowpaths WHERE ef_type = 1"))
 def _(s, d):
-    return Q.guarded(A.flowpaths(s, d).filter("ef_type = 1"), 10**8).agg(F.count("*").alias("n"))
+    return Q.guarded(A.flowpaths(s, d).filter("ef_type = 1"), Q.MOST_EXPORTED).agg(F.count("*").alias("n"))
 
 
 # ---- projections
@@ -317,12 +301,6 @@ def _(s, d):
     return N.without_parallel(A.flowpaths(s, d))
 
 
-@query("set_dup_segments", oracle("""SELECT least(id, other) AS a, greatest(id, other) AS b, count(*) AS n FROM (SELECT a.id, b.id AS other FROM catchments a JOIN catchments b ON a.id < b.id AND
-((a.maxx = b.minx OR a.minx = b.maxx) AND a.miny = b.miny OR (a.maxy = b.miny OR a.miny = b.maxy) AND a.minx = b.minx)) GROUP BY 1, 2"""))
-def _(s, d):
-    return G.shared_borders(A.catchments(s, d)).filter("id < other").groupBy(F.col("id").alias("a"), F.col("other").alias("b")).agg(F.count("*").alias("n"))
-
-
 _TILES = "SELECT event_id AS key, ts AS last_accessed, CAST(round(value * 100) AS BIGINT) AS size FROM events"
 
 
@@ -338,7 +316,13 @@ def _(s, d):
     return A.table(s, d, "events").agg(F.round(F.sum(F.round(F.col("value") * 100).cast("long")) / 1e6, 6).alias("mb"))
 
 
-@query("win_partition_letters", oracle(", r AS (SELECT ec_type, id, area, row_number() OVER (PARTITION BY ec_type ORDER BY area DESC, id) - 1 AS n FROM catchments) SELECT id, CASE WHEN n < 26 THEN chr(CAST(65 + n AS INT)) ELSE chr(CAST(65 + (n - 26) // 26 AS INT)) || chr(CAST(65 + (n - 26) % 26 AS INT)) END AS name FROM r WHERE n < 702"))
+#: A number from 0 as letters, of up to five: the k-letter names begin behind all shorter ones.
+_LETTERS = " ".join(
+    f"WHEN n < {sum(26**j for j in range(1, k + 1))} THEN " + " || ".join(f"chr(CAST(65 + ((n - {sum(26**j for j in range(1, k))}) // {26**i}) % 26 AS INT))" for i in reversed(range(k))) for k in range(1, 6)
+)
+
+
+@query("win_partition_letters", oracle(f", r AS (SELECT ec_type, id, area, row_number() OVER (PARTITION BY ec_type ORDER BY area DESC, id) - 1 AS n FROM catchments) SELECT id, CASE {_LETTERS} END AS name FROM r"))
 def _(s, d):
     c = A.catchments(s, d).select("id", "ec_type", "area")
     n = Q.places_in_group(c, "ec_type", "area", "id", 1024)
@@ -358,17 +342,6 @@ def _(s, d):
     return Q.duplicates(A.flowpaths(s, d), "to_nexus_id")
 
 
-@query("agg_max_order_per_waterbody", oracle("SELECT c.id, max(f.length) AS most FROM catchments c LEFT JOIN flowpaths f ON f.to_nexus_id = c.id WHERE c.ec_type = 4 GROUP BY 1"))
-def _(s, d):
-    f = A.flowpaths(s, d).groupBy(F.col("to_nexus_id").alias("id")).agg(F.max("length").alias("most"))
-    return A.catchments(s, d).filter("ec_type = 4").select("id").join(f, "id", "left")
-
-
-@query("agg_best_rank", oracle("SELECT from_nexus_id AS id, min(rank) AS rank FROM flowpaths GROUP BY 1"))
-def _(s, d):
-    return A.flowpaths(s, d).groupBy(F.col("from_nexus_id").alias("id")).agg(F.min("rank").alias("rank"))
-
-
 def _stats_sql(weight: str) -> str:
     means = ", ".join(f"round(sum({c} * area)::DOUBLE / {weight.format(c=c)}, 6) AS {c}" for c in ("elv_mean", "slope_mean", "north_pct", "south_pct", "east_pct", "west_pct", "flat_pct", "d2w2d_mean"))
     return f"sum(area)::BIGINT AS area, min(elv_min) AS elv_min, min(slope_min) AS slope_min, max(elv_max) AS elv_max, max(slope_max) AS slope_max, max(d2w2d_max) AS d2w2d_max, {means}"
@@ -493,12 +466,6 @@ def _(s, d):
     return N.stream_orders(A.flowpaths(s, d)).filter("shreve IS NOT NULL").select("id", "shreve")
 
 
-@query("prj_order_view", oracle(_orders_sql(False) + " SELECT p.id, p.f AS from_nexus_id, p.t AS to_nexus_id, p.length, w.s::BIGINT AS strahler, w.hack::BIGINT AS hack, w.ho::BIGINT AS horton FROM p JOIN w ON w.node = p.f"))
-def _(s, d):
-    p = A.flowpaths(s, d)
-    return Q.order_view(p, N.stream_orders(p).filter("strahler IS NOT NULL")).select("id", "from_nexus_id", "to_nexus_id", "length", "strahler", "hack", "horton")
-
-
 @query("agg_catchment_orders", oracle(_orders_sql(False) + " SELECT p.t AS ecatchment_id, max(w.s)::BIGINT AS strahler, max(w.ho)::BIGINT AS horton, min(w.hack)::BIGINT AS hack, first(p.nm ORDER BY w.ho DESC, p.id) FILTER (p.nm IS NOT NULL) AS name FROM p JOIN w ON w.node = p.f GROUP BY 1"))
 def _(s, d):
     p = A.flowpaths(s, d)
@@ -876,13 +843,6 @@ def _(s, d):
     return S.with_internal_ids(p, "internal_id", "from_nexus_id", "to_nexus_id")
 
 
-@query("snk_geojson", None)
-def _(s, d):
-    p = A.with_points(A.flowpaths(s, d))
-    line = S.line_geometry(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])
-    return p.select("id", S.geojson_feature(F.lit("flowpath"), F.col("id"), {"rank": F.col("rank"), "length": F.col("length"), "rivernameid1": F.col("rivernameid1")}, line).alias("feature"))
-
-
 @query("snk_names_table", oracle("SELECT DISTINCT name_id, name FROM (SELECT name_id, name_en AS name FROM names UNION ALL SELECT name_id, name_fr FROM names) WHERE name IS NOT NULL AND name <> ''"))
 def _(s, d):
     return Q.name_table([(A.names(s, d), [("name_id", "name_en"), ("name_id", "name_fr")])])
@@ -906,13 +866,21 @@ def _(s, d):
     return C.surface_area(A.grid(s, d), 100.0)
 
 
-@query("sp_segment_crosses", oracle(", a AS (SELECT * FROM lined WHERE id BETWEEN 16 AND 400 AND rank = 1), t AS (SELECT a.id, b.id AS other, sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) * sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) AS u, sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) * sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) AS v FROM a JOIN a b ON true) SELECT id, other FROM t WHERE u < 0 AND v < 0"))
+_SIDES = "unnest([{'x1': minx, 'y1': miny, 'x2': maxx, 'y2': miny}, {'x1': minx, 'y1': maxy, 'x2': maxx, 'y2': maxy}, {'x1': minx, 'y1': miny, 'x2': minx, 'y2': maxy}, {'x1': maxx, 'y1': miny, 'x2': maxx, 'y2': maxy}]) AS s"
+
+
+@query("sp_segment_crosses", oracle(f""", a AS (SELECT id, x + 600 AS x1, y + 60 AS y1, x + 600.5 + id % 23 AS x2, y + 60.25 + id % 17 AS y2 FROM points),
+e AS (SELECT id AS other, s.x1 AS u1, s.y1 AS v1, s.x2 AS u2, s.y2 AS v2 FROM (SELECT id, {_SIDES} FROM catchments)),
+t AS (SELECT a.id, e.other, sign((x2 - x1) * (v1 - y1) - (y2 - y1) * (u1 - x1)) * sign((x2 - x1) * (v2 - y1) - (y2 - y1) * (u2 - x1)) AS p, sign((u2 - u1) * (y1 - v1) - (v2 - v1) * (x1 - u1)) * sign((u2 - u1) * (y2 - v1) - (v2 - v1) * (x2 - u1)) AS q
+FROM a JOIN e ON least(x1, x2) <= u2 AND greatest(x1, x2) >= u1 AND least(y1, y2) <= v2 AND greatest(y1, y2) >= v1) SELECT id, other, count(*) AS n FROM t WHERE p < 0 AND q < 0 GROUP BY 1, 2"""))
 def _(s, d):
-    p = A.with_points(A.flowpaths(s, d)).filter("rank = 1")
-    return C.crossings(p, p, 40.0)
+    x, y, k = F.col("x") + 600, F.col("y") + 60, F.col("id")
+    lines = A.points(s, d).select("id", x.alias("x1"), y.alias("y1"), (x + 0.5 + k % 23).alias("x2"), (y + 0.25 + k % 17).alias("y2"))
+    return C.crossings(lines, C.box_sides(A.catchments(s, d)), 20.0).groupBy("id", "other").agg(F.count("*").alias("n"))
 
 
-_NEAR = ", l AS (SELECT id AS line, x1, y1, x2, y2 FROM lined WHERE rank = 1 AND id < 200 AND (x1 <> x2 OR y1 <> y2)), pt AS (SELECT id, x / 3 AS x, y / 3 AS y FROM points), dd AS (SELECT pt.id, l.line, sqrt(pow(x - (x1 + " + _SEG + " * (x2 - x1)), 2) + pow(y - (y1 + " + _SEG + " * (y2 - y1)), 2)) AS d FROM pt, l)"
+_WAY = "sqrt(pow(x - (x1 + coalesce(" + _SEG + ", 0) * (x2 - x1)), 2) + pow(y - (y1 + coalesce(" + _SEG + ", 0) * (y2 - y1)), 2))"
+_NEAR = ", l AS (SELECT id AS line, x1, y1, x2, y2 FROM lined WHERE rank = 1), pt AS (SELECT id, x / 3 AS x, y / 3 AS y FROM points), dd AS (SELECT pt.id, l.line, " + _WAY + " AS d FROM pt, l)"
 
 
 def _near_inputs(s, d) -> tuple[DataFrame, DataFrame]:
@@ -925,7 +893,11 @@ def _(s, d):
     return C.far_points(*_near_inputs(s, d), 2.0, 10.0)
 
 
-@query("g_flow_from_point", oracle(_NEAR + " SELECT id, arg_min(line, (round(d, 6), line)) AS line, min(round(d, 6)) AS distance FROM dd WHERE round(d, 6) <= 10 GROUP BY 1"))
+@query("g_flow_from_point", oracle(""", pt AS (SELECT id, x / 3 AS x, y / 3 AS y FROM points),
+ins AS (SELECT pt.id, any_value(x) AS x, any_value(y) AS y, min(c.id) AS box FROM pt LEFT JOIN catchments c ON x > minx AND x < maxx AND y > miny AND y < maxy GROUP BY 1),
+own AS (SELECT from_nexus_id AS box, id AS line, x1, y1, x2, y2 FROM lined),
+dd AS (SELECT ins.id, line, """ + _WAY + """ AS d, true AS inside FROM ins JOIN own USING (box) UNION ALL SELECT ins.id, l.id, """ + _WAY + """, false FROM ins, lined l WHERE box IS NULL)
+SELECT id, arg_min(line, (round(d, 6), line)) AS line, min(round(d, 6)) AS distance FROM dd WHERE inside OR round(d, 6) <= 1 GROUP BY 1"""))
 def _(s, d):
     p, _ = _near_inputs(s, d)
     paths, c = A.with_points(_owned(s, d)), A.catchments(s, d)
