@@ -61,6 +61,8 @@ def test_coded_pcm_gives_every_sample_back(factor):
         up = np.concatenate(list(upsample(iter([x]), factor)))
         for samples in (up, x):  # what is no multiple of the factor is kept as it is
             assert np.concatenate(list(coded_pcm(code_pcm(iter([samples[:7], samples[7:7], samples[7:]]), factor)))).tolist() == samples.tolist()
+            palette = np.unique(samples)[:256]
+            assert np.concatenate(list(coded_pcm(code_pcm(iter([samples]), factor, palette)))).tolist() == samples.tolist()
     assert code_pcm(iter([]), factor) == b""
 
 

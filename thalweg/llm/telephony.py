@@ -25,7 +25,7 @@ PAD = 32
 #: Payload bytes decoded at a time.
 PIECE = UNIT << 12
 #: Of the media and PCM columns: both are read far more often than written.
-ZSTD_LEVEL = 12
+ZSTD_LEVEL = 11
 CODECS = ("mulaw", "alaw", "adpcm")
 
 # Fixed values of the formats.
@@ -52,6 +52,8 @@ def _alaw_table() -> np.ndarray:
 
 
 MULAW, ALAW = _mulaw_table(), _alaw_table()
+#: The values that companded samples have.
+PALETTES = {"mulaw": np.unique(MULAW), "alaw": np.unique(ALAW)}
 
 
 def _adpcm_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -183,11 +185,12 @@ def upsample(pieces: Iterator[np.ndarray], factor: int) -> Iterator[np.ndarray]:
         yield np.repeat(held, factor)
 
 
-def code_pcm(pieces: Iterator[np.ndarray], factor: int) -> bytes:
+def code_pcm(pieces: Iterator[np.ndarray], factor: int, palette: np.ndarray | None = None) -> bytes:
     """Samples as blocks that compress well and give every sample back.
 
-    A block is its ``factor`` and order (a byte each), its count of samples, every ``factor``-th sample (order 1: what it differs by from the one
-    before) and, for each place between, what the sample there differs by from a straight line, all modulo 65536.
+    A block is its ``factor`` and kind (a byte each), its count of samples, every ``factor``-th sample and, for each place between, what the sample
+    there differs by from a straight line, modulo 65536. The samples stand as they are (kind 0), as what each differs by from the one before
+    (1), or as places, a byte each, in a sorted palette of at most 256 values in front of them (2).
     """
     out: list[bytes] = []
 
@@ -195,10 +198,15 @@ def code_pcm(pieces: Iterator[np.ndarray], factor: int) -> bytes:
         own = factor if len(x) % factor == 0 else 1
         grid = x.reshape(-1, own).astype(np.int32)
         base = grid[:, 0]
-        steps = np.diff(base, prepend=0)
-        order = int(len(np.unique(steps)) < len(np.unique(base)))
-        rows = [steps if order else base, *(grid[:, r] - _between(base, r, own) for r in range(1, own))]
-        out.append(struct.pack("<BBI", own, order, len(x)) + np.stack(rows).astype("<i2").tobytes())
+        between = [(grid[:, r] - _between(base, r, own)).astype("<i2").tobytes() for r in range(1, own)]
+        place = np.searchsorted(palette, base) if palette is not None else None
+        if place is not None and (palette[np.minimum(place, len(palette) - 1)] == base).all():
+            kind, body = 2, struct.pack("<H", len(palette)) + palette.astype("<i2").tobytes() + place.astype(np.uint8).tobytes()
+        else:
+            steps = np.diff(base, prepend=0)
+            kind = int(len(np.unique(steps)) < len(np.unique(base)))
+            body = (steps if kind else base).astype("<i2").tobytes()
+        out.append(struct.pack("<BBI", own, kind, len(x)) + body + b"".join(between))
 
     held: list[np.ndarray] = []
     for x in pieces:
@@ -220,15 +228,24 @@ def coded_pcm(data: bytes) -> Iterator[np.ndarray]:
     """The samples of ``code_pcm``, block by block."""
     at = 0
     while at < len(data):
-        factor, order, n = struct.unpack_from("<BBI", data, at)
-        rows = np.frombuffer(data, "<i2", n, at + 6).reshape(factor, -1)
-        at += 6 + 2 * n
-        # sums modulo 65536, as the differences were
-        base = np.cumsum(rows[0], dtype=np.int16) if order else rows[0].astype(np.int16)
+        factor, kind, n = struct.unpack_from("<BBI", data, at)
+        at, m = at + 6, n // factor
+        if kind == 2:
+            size = struct.unpack_from("<H", data, at)[0]
+            palette = np.frombuffer(data, "<i2", size, at + 2)
+            base = palette[np.frombuffer(data, np.uint8, m, at + 2 + 2 * size)].astype(np.int16)
+            at += 2 + 2 * size + m
+        else:
+            base = np.frombuffer(data, "<i2", m, at)
+            # sums modulo 65536, as the differences were
+            base = np.cumsum(base, dtype=np.int16) if kind else base.astype(np.int16)
+            at += 2 * m
+        rows = np.frombuffer(data, "<i2", (factor - 1) * m, at).reshape(factor - 1, m)
+        at += 2 * (factor - 1) * m
         grid = np.empty((len(base), factor), np.int16)
         grid[:, 0] = base
         for r in range(1, factor):
-            grid[:, r] = (_between(base.astype(np.int32), r, factor) + rows[r]).astype(np.int16)
+            grid[:, r] = (_between(base.astype(np.int32), r, factor) + rows[r - 1]).astype(np.int16)
         yield grid.ravel()
 
 
@@ -298,9 +315,7 @@ def _factor(rate: int) -> int:
     return rate // RATE
 
 
-_DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
-_PCM = _DIGESTS + ", codec string, rate int, pcm binary"
-FEATURES = _DIGESTS + ", feature string"
+_PCM = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 binary, tail_crc32 long, media_bytes long, media_sha256 binary, codec string, rate int, pcm binary"
 
 
 def store_pcm(table: DataFrame, path: str | None = None, rate: int = TARGET_RATE) -> DataFrame:
@@ -310,7 +325,7 @@ def store_pcm(table: DataFrame, path: str | None = None, rate: int = TARGET_RATE
     factor = _factor(rate)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.binary())
         for batch in batches:
             rows, size, first = [], 0, 0
 
@@ -321,8 +336,8 @@ def store_pcm(table: DataFrame, path: str | None = None, rate: int = TARGET_RATE
 
             for k, (codec, data, media, pieces) in enumerate(decoded(batch.column(2)), 1):
                 payload = payload_of(codec, data)
-                pcm = code_pcm(upsample(pieces, factor), factor)
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), codec, rate, pcm))
+                pcm = code_pcm(upsample(pieces, factor), factor, PALETTES.get(codec))
+                rows.append((len(payload), hashlib.sha256(payload).digest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).digest(), codec, rate, pcm))
                 size += len(pcm)
                 if size >= 4 * PIECE:
                     yield emit(k)
@@ -341,7 +356,8 @@ def pcm_features(table: DataFrame) -> DataFrame:
     def feature(codec: pa.Array, pcm: pa.Array) -> pa.Array:
         return pa.array([f"{c};{pcm_feature(coded_pcm(x.as_py()))}" for c, x in zip(codec.to_pylist(), pcm, strict=True)], pa.string())
 
-    return table.select(*[x.split()[0] for x in _DIGESTS.split(", ")], feature("codec", "pcm").alias("feature"))
+    hexed = lambda c: F.lower(F.hex(c)).alias(c)
+    return table.select("doc_id", "n_bytes", "payload_bytes", hexed("payload_sha256"), "tail_crc32", "media_bytes", hexed("media_sha256"), feature("codec", "pcm").alias("feature"))
 
 
 def text_media_features(docs: DataFrame, path: str | None = None) -> DataFrame:
