@@ -239,3 +239,11 @@ def equal_sets(a: DataFrame, b: DataFrame, key: str, member: str) -> DataFrame:
     side = lambda t, n: t.select(key, member, F.lit(n).alias("_side")).distinct()
     own = side(a, 1).union(side(b, 2)).groupBy(key, member).agg(F.sum("_side").alias("_in"))
     return own.groupBy(key).agg((F.min("_in") == 3).alias("equal"))
+
+
+def with_bounds(rows: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows with the columns of a table of one row; more than one are an error."""
+    found = bounds.limit(2).collect()
+    if len(found) != 1:
+        raise ValueError("bounds have one row")
+    return rows.withColumns({c: F.lit(found[0][c]).cast(t) for c, t in bounds.dtypes})

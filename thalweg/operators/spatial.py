@@ -69,6 +69,51 @@ def from_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     return x * (180 / MERCATOR_EDGE), F.degrees(F.atan(F.exp(y * (math.pi / MERCATOR_EDGE))) * 2 - math.pi / 2)
 
 
+# The ellipsoid's axis and squared eccentricity, and the standard parallels, origin and offsets of the national conic projection.
+_AXIS, _ECC2 = 6378137.0, 0.006694380022900787
+_PARALLELS, _ORIGIN, _OFFSET = (49.0, 77.0), (-91.866666666666667, 63.390675), (6200000.0, 3000000.0)
+
+
+def _conic() -> tuple[float, float, float]:
+    """The cone's constant, its scale, and the radius of the origin's parallel."""
+    m = lambda p: math.cos(p) / math.sqrt(1 - _ECC2 * math.sin(p) ** 2)
+    e = math.sqrt(_ECC2)
+    t = lambda p: math.tan(math.pi / 4 - p / 2) / ((1 - e * math.sin(p)) / (1 + e * math.sin(p))) ** (e / 2)
+    one, two = map(math.radians, _PARALLELS)
+    n = math.log(m(one) / m(two)) / math.log(t(one) / t(two))
+    f = m(one) / (n * t(one) ** n)
+    return n, _AXIS * f, _AXIS * f * t(math.radians(_ORIGIN[1])) ** n
+
+
+def to_conic(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Geographic degrees to the metres of the conformal conic projection of two parallels (EPSG:3347)."""
+    n, scale, rho0 = _conic()
+    e = math.sqrt(_ECC2)
+    sine = F.sin(F.radians(lat))
+    t = F.tan(math.pi / 4 - F.radians(lat) / 2) / F.pow((1 - e * sine) / (1 + e * sine), F.lit(e / 2))
+    rho, theta = scale * F.pow(t, F.lit(n)), n * F.radians(lon - _ORIGIN[0])
+    return _OFFSET[0] + rho * F.sin(theta), _OFFSET[1] + rho0 - rho * F.cos(theta)
+
+
+def from_conic(x: Column, y: Column) -> tuple[Column, Column]:
+    """The way back, by six steps of iteration."""
+    n, scale, rho0 = _conic()
+    e = math.sqrt(_ECC2)
+    dx, dy = x - _OFFSET[0], rho0 - (y - _OFFSET[1])
+    t = F.pow(F.sqrt(dx * dx + dy * dy) / scale, F.lit(1 / n))
+    lat = F.aggregate(
+        F.sequence(F.lit(1), F.lit(6)),
+        math.pi / 2 - 2 * F.atan(t),
+        lambda p, _: math.pi / 2 - 2 * F.atan(t * F.pow((1 - e * F.sin(p)) / (1 + e * F.sin(p)), F.lit(e / 2))),
+    )
+    return F.degrees(F.atan2(dx, dy)) / n + _ORIGIN[0], F.degrees(lat)
+
+
+def flipped_axes(line: Column) -> Column:
+    """A line whose points have their two axes changed over, for systems that state north first."""
+    return F.transform(line, lambda p: F.concat(F.array(p[1], p[0]), F.slice(p, 3, F.greatest(F.size(p) - 2, F.lit(0)))))
+
+
 def snapped(value: Column, scale: float = 1e8) -> Column:
     """A coordinate on the precision grid."""
     return F.round(value * scale) / scale
@@ -91,23 +136,6 @@ def simplify_tolerance(z: Column) -> Column:
     return F.when(z <= 3, 0.05).when(z <= 7, 0.01).when(z <= 9, 0.001)
 
 
-def smooth_midpoints(line: Column) -> Column:
-    """Ends stay; every segment gives its midpoint."""
-    n = F.size(line) - 1
-    mids = F.zip_with(F.slice(line, 1, n), F.slice(line, 2, n), lambda a, b: F.struct(((a["x"] + b["x"]) / 2).alias("x"), ((a["y"] + b["y"]) / 2).alias("y")))
-    return F.when(F.size(line) < 3, line).otherwise(F.concat(F.slice(line, 1, 1), mids, F.slice(line, -1, 1)))
-
-
-def smooth_average(line: Column) -> Column:
-    """Ends stay; every other point becomes the mean of itself and its two neighbours."""
-    n = F.size(line) - 2
-    inner = F.transform(
-        F.sequence(F.lit(2), F.size(line) - 1),
-        lambda i: F.struct(*[((F.element_at(line, i - 1)[k] + F.element_at(line, i)[k] + F.element_at(line, i + 1)[k]) / 3).alias(k) for k in ("x", "y")]),
-    )
-    return F.when(n < 1, line).otherwise(F.concat(F.slice(line, 1, 1), inner, F.slice(line, -1, 1)))
-
-
 def simplify(line: np.ndarray, tolerance: float) -> np.ndarray:
     """Douglas-Peucker on rows of x, y, without recursion; ends stay."""
     n = len(line)
@@ -203,3 +231,24 @@ def repeated_segments(segments: DataFrame) -> DataFrame:
     both = segments.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     found = both.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1")
     return found.select(F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "n")
+
+
+def near(rows: DataFrame, x: float, y: float, radius: float, most: int) -> DataFrame:
+    """(id, distance) of the ``most`` rows (id, x, y) nearest to a place, within ``radius``; ties by id. The envelope of the circle is tested first."""
+    box = rows.filter((F.col("x") >= x - radius) & (F.col("x") <= x + radius) & (F.col("y") >= y - radius) & (F.col("y") <= y + radius))
+    d = F.sqrt((F.col("x") - x) * (F.col("x") - x) + (F.col("y") - y) * (F.col("y") - y))
+    return box.select("id", d.alias("distance")).filter(F.col("distance") <= radius).orderBy("distance", "id").limit(most)
+
+
+def within(rows: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
+    """Rows (x, y) in a box, edges included."""
+    return rows.filter(F.col("x").between(minx, maxx) & F.col("y").between(miny, maxy))
+
+
+def touched(nodes: DataFrame, edges: DataFrame, size: float) -> DataFrame:
+    """(catchment, nexus): nodes (id, x, y) that lie on an edge (id, x1, y1, x2, y2) of a catchment's boundary."""
+    boxes = edges.select("id", "x1", "y1", "x2", "y2", F.least("x1", "x2").alias("minx"), F.least("y1", "y2").alias("miny"), F.greatest("x1", "x2").alias("maxx"), F.greatest("y1", "y2").alias("maxy"))
+    cells = boxes_to_cells(boxes, size).select("bx", "by", F.col("id").alias("catchment"), "x1", "y1", "x2", "y2")
+    placed = nodes.select(F.col("id").alias("nexus"), "x", "y", F.floor(F.col("x") / size).alias("bx"), F.floor(F.col("y") / size).alias("by"))
+    on = segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]) == 0
+    return placed.join(cells, ["bx", "by"]).filter(on).select("catchment", "nexus").distinct()

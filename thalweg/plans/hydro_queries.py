@@ -168,11 +168,6 @@ def _(s, d):
     return A.table(s, d, "events").select(G.tile_key(F.col("event_type"), F.lit(5), F.col("user_id") % 40, F.col("event_id") % 32).alias("key")).distinct()
 
 
-@query("prj_simplify_by_zoom", "SELECT CAST(z AS INT) AS z, CASE WHEN z <= 3 THEN 0.05 WHEN z <= 7 THEN 0.01 WHEN z <= 9 THEN 0.001 END::DOUBLE AS tolerance FROM range(0, 20) t(z)")
-def _(s, d):
-    return s.range(20).select(F.col("id").cast("int").alias("z")).withColumn("tolerance", G.simplify_tolerance(F.col("z")))
-
-
 # ---- joins
 
 
@@ -194,12 +189,6 @@ def _(s, d):
     return p.join(hits, "name_id", "left_semi").select("id").distinct()
 
 
-@query("join_spatial_intersects", oracle("SELECT id FROM lined WHERE least(x1, x2) <= 20 AND greatest(x1, x2) >= -20 AND least(y1, y2) <= 10 AND greatest(y1, y2) >= -10"))
-def _(s, d):
-    p = A.with_points(A.flowpaths(s, d)).select("id", F.least("x1", "x2").alias("minx"), F.least("y1", "y2").alias("miny"), F.greatest("x1", "x2").alias("maxx"), F.greatest("y1", "y2").alias("maxy"))
-    return p.filter(Q.bbox_intersects(-20, -10, 20, 10)).select("id")
-
-
 @query("join_point_in_polygon", oracle(", p AS (SELECT id, x + 600 AS x, y + 400 AS y FROM points) SELECT p.id, c.id AS box FROM p JOIN catchments c ON p.x > c.minx AND p.x < c.maxx AND p.y > c.miny AND p.y < c.maxy"))
 def _(s, d):
     p = A.points(s, d).select("id", (F.col("x") + 600).alias("x"), (F.col("y") + 400).alias("y"))
@@ -216,12 +205,6 @@ def _(s, d):
     return near.withColumn("place", F.row_number().over(w)).filter("place <= 3").select("id", "target", F.round("distance", 6).alias("distance"), "place")
 
 
-@query("join_longest_shared_edge", oracle("""SELECT a.id, b.id AS other, CAST(10 AS DOUBLE) AS shared FROM catchments a JOIN catchments b ON a.id <> b.id AND
-((a.maxx = b.minx OR a.minx = b.maxx) AND a.miny = b.miny OR (a.maxy = b.miny OR a.miny = b.maxy) AND a.minx = b.minx)"""))
-def _(s, d):
-    return G.shared_borders(A.catchments(s, d))
-
-
 @query("join_update_from", "SELECT o_orderkey AS id, CASE WHEN c_custkey IS NOT NULL AND o_orderstatus = 'O' THEN 'FP_PROCESSING' ELSE 'READY' END AS status FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def _(s, d):
     control = A.table(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.lit("READY").alias("status"), "o_custkey", "o_orderstatus")
@@ -252,11 +235,6 @@ def _(s, d):
     return Q.search_all(A.flowpaths(s, d), A.catchments(s, d).withColumn("lakenameid1", F.col("id") % 60), A.names(s, d), "e")
 
 
-@query("agg_union_by_name", oracle(_FEATURES + " SELECT n.name_id, n.name_en, n.name_fr, f.kind, count(*) AS n, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM features f JOIN names n USING (name_id) WHERE name_en ILIKE '%e%' OR name_fr ILIKE '%e%' GROUP BY ALL"))
-def _(s, d):
-    return Q.search_grouped(_named_features(s, d), A.names(s, d), "e", by_type=True)
-
-
 @query("agg_extent", oracle(_FEATURES + " SELECT n.name_id, n.name_en, n.name_fr, count(*) AS n, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM features f JOIN names n USING (name_id) WHERE name_en ILIKE '%o%' OR name_fr ILIKE '%o%' GROUP BY ALL"))
 def _(s, d):
     return Q.search_grouped(_named_features(s, d), A.names(s, d), "o")
@@ -740,13 +718,6 @@ def _(s, d):
 _SEG = "greatest(0.0, least(1.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1), 0)))"
 
 
-@query("ra_distance_to_water", oracle(_ZONES + f""", pts AS (SELECT id, CAST(i AS DOUBLE) * 125 AS x, CAST(j AS DOUBLE) * 125 AS y, minx AS x1, miny AS y1, maxx AS x2, maxy AS y2 FROM zones, range(-10, 200) a(i), range(-10, 200) b(j) WHERE i * 125 > minx AND i * 125 < maxx AND j * 125 > miny AND j * 125 < maxy),
-d AS (SELECT id, CASE WHEN id % 4 = 0 THEN NULL ELSE sqrt(pow(x - (x1 + {_SEG} * (x2 - x1)), 2) + pow(y - (y1 + {_SEG} * (y2 - y1)), 2)) END AS d FROM pts) SELECT id, round(avg(d), 6) AS d2w2d_mean, round(max(d), 6) AS d2w2d_max FROM d GROUP BY 1"""))
-def _(s, d):
-    water = _zones(s).filter("id % 4 <> 0").select("id", F.col("minx").alias("x1"), F.col("miny").alias("y1"), F.col("maxx").alias("x2"), F.col("maxy").alias("y2"))
-    return R.distance_to_water(R.interior_points(_zones(s), 125.0), water)
-
-
 # ---- spatial
 
 
@@ -799,18 +770,6 @@ def _(s, d):
     return G.dissolve(A.catchments(s, d), "ec_subtype")
 
 
-@query("sp_smooth_midpoint", oracle("SELECT id, CAST(6 AS INT) AS n, minx + 5 AS x2, miny AS y2 FROM catchments"))
-def _(s, d):
-    line = G.smooth_midpoints(_ring())
-    return A.catchments(s, d).select("id", F.size(line).alias("n"), line[1]["x"].alias("x2"), line[1]["y"].alias("y2"))
-
-
-@query("sp_smooth_average", oracle("SELECT id, round((minx + maxx + maxx) / 3, 6) AS x2, round((miny + miny + maxy) / 3, 6) AS y2 FROM catchments"))
-def _(s, d):
-    line = G.smooth_average(_ring())
-    return A.catchments(s, d).select("id", F.round(line[1]["x"], 6).alias("x2"), F.round(line[1]["y"], 6).alias("y2"))
-
-
 @query("sp_knn_kdtree", oracle(", d AS (SELECT a.id, b.id AS target, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM points a JOIN points b ON a.id % 20 = 0) SELECT id, target, round(distance, 6) AS distance, row_number() OVER (PARTITION BY id ORDER BY distance, target) AS place FROM d WHERE distance < 30 QUALIFY place <= 5"))
 def _(s, d):
     p = A.points(s, d)
