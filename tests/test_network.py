@@ -105,7 +105,6 @@ def test_pourpoints_of_the_known_network(spark):
         unique.setdefault(r.point, set()).add(r.catchment)
     assert unique == {1: {9, 7, 8, 6, 4, 5}, 2: {3, 1, 2}, 3: {16, 12, 10, 11, 15, 13, 14}, 4: {17}}
     assert {r.catchment for r in P.shared_catchments(p, pts).filter("point = 1").collect()} == {1, 2, 3}
-    assert P.relation_tree(P.parents(p, pts)) == "((2)1,3)4"
     assert {(r["from"], r["to"]) for r in P.containment(p, pts).filter("relation = -1").collect()} == set(d)
 
 

@@ -375,13 +375,16 @@ def merge_chains(paths: DataFrame) -> DataFrame:
     return sums.join(first, "chain").join(last, "chain").select("first", "last", "n", "length")
 
 
-def sink_points(paths: DataFrame, terminals: DataFrame, shore: DataFrame) -> DataFrame:
-    """Nodes that water leaves by: output terminals, nodes on the shore, and nodes all of whose flows are known and arrive; bank flows don't count."""
+def sink_points(paths: DataFrame, terminals: DataFrame, shore: DataFrame, outputs: DataFrame) -> DataFrame:
+    """Nodes that water leaves by: output terminals, nodes on the shore, output construction points (``outputs``, id) where one flow ends, and nodes all
+    of whose flows are known and arrive. Bank flows don't count."""
     p = paths.filter("ef_type <> 2")
     ends = p.select(F.col("from_nexus_id").alias("id"), F.lit(1).alias("bad")).union(p.select(F.col("to_nexus_id"), (F.col("direction_known") != 1).cast("int")))
-    known = ends.groupBy("id").agg(F.sum("bad").alias("bad")).filter("bad = 0").select("id")
-    there = ends.select("id").distinct()
-    return terminals.select("id").union(shore.select("id")).distinct().join(there, "id", "left_semi").union(known).distinct()
+    nodes = ends.groupBy("id").agg(F.sum("bad").alias("bad"), F.count("*").alias("degree"))
+    listed = terminals.select("id").union(shore.select("id")).distinct().withColumn("listed", F.lit(True))
+    out = outputs.select("id").distinct().withColumn("output", F.lit(True))
+    marked = nodes.join(listed, "id", "left").join(out, "id", "left")
+    return marked.filter("bad = 0 OR listed OR output AND degree = 1").select("id")
 
 
 # ---- catchment graph and drainage

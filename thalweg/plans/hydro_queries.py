@@ -375,15 +375,6 @@ def _(s, d):
     return N.connected_components(A.flowpaths(s, d).filter("rank = 1"), "from_nexus_id", "to_nexus_id").groupBy("component").agg(F.count("*").alias("n")).filter("n >= 3")
 
 
-@query("g_aoi_groups", oracle(""", links AS (SELECT DISTINCT a.aoi_id AS x, b.aoi_id AS y FROM flowpaths a JOIN flowpaths b ON a.to_nexus_id = b.from_nexus_id WHERE a.rank = 1 AND b.rank = 1 AND a.aoi_id <> b.aoi_id AND a.aoi_id % 2 = b.aoi_id % 2),
-both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links), r(x, y) AS (SELECT aoi_id, aoi_id FROM aois UNION SELECT r.x, b.y FROM r JOIN both_ways b ON r.y = b.x)
-SELECT x AS aoi_id, min(y) AS component FROM r GROUP BY 1""", recursive=True))
-def _(s, d):
-    links = Q.area_links(A.flowpaths(s, d)).filter("src % 2 = dst % 2")
-    comp = N.connected_components(links).withColumnRenamed("id", "aoi_id")
-    return A.aois(s, d).join(comp, "aoi_id", "left").select("aoi_id", F.coalesce("component", "aoi_id").alias("component"))
-
-
 @query("g_visit_order", oracle(", p AS (SELECT * FROM flowpaths WHERE rank = 1 AND ef_type <> 2), r(id, hop) AS (SELECT DISTINCT to_nexus_id, 0 FROM p WHERE to_nexus_id NOT IN (SELECT from_nexus_id FROM p) UNION ALL SELECT p.from_nexus_id, hop + 1 FROM r JOIN p ON p.to_nexus_id = r.id) SELECT id, hop FROM r", recursive=True))
 def _(s, d):
     return N.hops_to_outlet(A.flowpaths(s, d))
@@ -511,15 +502,6 @@ def _(s, d):
     return N.classify_nexuses(p, p.select(F.col("to_nexus_id").alias("id")).distinct().filter("id % 2 = 0"))
 
 
-@query("g_classify_catchment", oracle("SELECT c.id, CASE WHEN f.n IS NOT NULL THEN CASE WHEN c.ec_type = 1 THEN 'REACH' ELSE 'KEPT' END WHEN t.n IS NULL THEN 'EMPTY' ELSE 'UNKNOWN' END AS kind FROM catchments c LEFT JOIN (SELECT from_nexus_id AS id, count(*) AS n FROM flowpaths GROUP BY 1) f USING (id) LEFT JOIN (SELECT to_nexus_id AS id, count(*) AS n FROM flowpaths GROUP BY 1) t USING (id)"))
-def _(s, d):
-    p = A.flowpaths(s, d)
-    f = p.groupBy(F.col("from_nexus_id").alias("id")).agg(F.count("*").alias("flows"))
-    t = p.groupBy(F.col("to_nexus_id").alias("id")).agg(F.count("*").alias("touches"))
-    kind = F.when(F.col("flows").isNotNull(), F.when(F.col("ec_type") == 1, "REACH").otherwise("KEPT")).when(F.col("touches").isNull(), "EMPTY").otherwise("UNKNOWN")
-    return A.catchments(s, d).join(f, "id", "left").join(t, "id", "left").select("id", kind.alias("kind"))
-
-
 @query("g_cycle_check", oracle("SELECT id, from_nexus_id, to_nexus_id FROM flowpaths WHERE id IN (16, 32, 64) UNION ALL SELECT 0, 8, 64"))
 def _(s, d):
     p = A.flowpaths(s, d).filter("rank = 1").select("id", "from_nexus_id", "to_nexus_id")
@@ -541,22 +523,6 @@ def _(s, d):
     return N.forked_nodes(A.flowpaths(s, d))
 
 
-@query("g_bridges", oracle("SELECT id FROM flowpaths WHERE rank = 1"))
-def _(s, d):
-    return N.bridges(A.flowpaths(s, d).filter("rank = 1"))
-
-
-@query("g_two_edge_partition", None)
-def _(s, d):
-    return N.loop_groups(A.flowpaths(s, d))
-
-
-@query("g_dijkstra", oracle(", r(id, distance) AS (SELECT o_orderkey, 0::BIGINT FROM orders WHERE o_orderkey BETWEEN 8 AND 15 UNION ALL SELECT f.from_nexus_id, r.distance + f.length FROM r JOIN flowpaths f ON f.to_nexus_id = r.id AND f.rank = 1) SELECT id, distance FROM r", recursive=True))
-def _(s, d):
-    links = A.flowpaths(s, d).filter("rank = 1").select(F.col("from_nexus_id").alias("src"), F.col("to_nexus_id").alias("dst"), "length")
-    return N.shortest_distances(links, s.range(8, 16))
-
-
 @query("g_rank", oracle(f""", forks AS (SELECT from_nexus_id AS n FROM lined GROUP BY 1 HAVING count(*) > 1),
 sc AS (SELECT o.from_nexus_id AS n, o.id, round(coalesce(max(CASE WHEN abs(atan2(o.y2 - o.y1, o.x2 - o.x1) - atan2(i.y1 - i.y2, i.x1 - i.x2)) > pi() THEN 2 * pi() - abs(atan2(o.y2 - o.y1, o.x2 - o.x1) - atan2(i.y1 - i.y2, i.x1 - i.x2))
 ELSE abs(atan2(o.y2 - o.y1, o.x2 - o.x1) - atan2(i.y1 - i.y2, i.x1 - i.x2)) END), 0) / pi(), 6) AS score FROM lined o JOIN forks f ON o.from_nexus_id = f.n LEFT JOIN lined i ON i.to_nexus_id = o.from_nexus_id GROUP BY 1, 2),
@@ -565,23 +531,6 @@ def _(s, d):
     return N.rank_by_angle(A.with_points(A.flowpaths(s, d)))
 
 
-@query("g_trim", oracle("SELECT id, from_nexus_id, to_nexus_id FROM flowpaths WHERE false"))
-def _(s, d):
-    return N.trim(A.flowpaths(s, d).filter("rank = 1"), s.createDataFrame([], "id long"))
-
-
-@query("g_degree2_merge", None)
-def _(s, d):
-    return N.merge_chains(A.halved(A.flowpaths(s, d), "id % 3 = 0"))
-
-
-@query("g_sink_points", oracle("SELECT DISTINCT to_nexus_id AS id FROM flowpaths WHERE ef_type <> 2 AND to_nexus_id NOT IN (SELECT from_nexus_id FROM flowpaths WHERE ef_type <> 2)"))
-def _(s, d):
-    p = A.flowpaths(s, d).withColumn("direction_known", F.lit(1))
-    none = s.createDataFrame([], "id long")
-    return N.sink_points(p, none, none)
-
-
 # ---- pourpoints
 
 _POINTS = "point AS (SELECT id AS point, id AS edge FROM flowpaths WHERE rank = 1 AND id IN (20, 41, 83, 90, 100, 200, 401))"
@@ -602,16 +551,6 @@ def _(s, d):
 _DIST = _REACH + ", dist AS (SELECT w.point AS a, p.point AS b, min(w.dist + f.length)::BIGINT AS least, max(w.dist + f.length)::BIGINT AS most FROM walk w JOIN flowpaths f ON f.from_nexus_id = w.node JOIN point p ON p.edge = f.id WHERE w.point <> p.point GROUP BY 1, 2)"
 
 
-@query("pp_distance_min", oracle(_DIST + ' SELECT a AS "from", b AS "to", least FROM dist', recursive=True))
-def _(s, d):
-    return P.distances(A.flowpaths(s, d), _pp(s)).drop("most")
-
-
-@query("pp_distance_max", oracle(_DIST + ' SELECT a AS "from", b AS "to", most FROM dist', recursive=True))
-def _(s, d):
-    return P.distances(A.flowpaths(s, d), _pp(s)).drop("least")
-
-
 @query("pp_distance_primary", oracle(_DIST.replace("JOIN flowpaths f ON f.from_nexus_id = w.node)", "JOIN flowpaths f ON f.from_nexus_id = w.node AND f.rank = 1 AND f.ef_type <> 2)") + ' SELECT a AS "from", b AS "to", least FROM dist', recursive=True))
 def _(s, d):
     return P.distances(A.flowpaths(s, d), _pp(s), only_primary=True).drop("most")
@@ -645,11 +584,6 @@ def _(s, d):
     return P.crowded(_pp(s).union(s.createDataFrame([(1, 100)], "point long, edge long")))
 
 
-@query("pp_relationship_tree", None)
-def _(s, d):
-    return s.createDataFrame([(P.relation_tree(P.parents(A.flowpaths(s, d), _pp(s))),)], "tree string")
-
-
 # ---- raster
 
 _N9 = ", n9 AS (SELECT a.r, a.c, " + ", ".join(f"max(CASE WHEN b.r - a.r = {dr} AND b.c - a.c = {dc} THEN b.z END) AS n{3 * (dr + 1) + dc + 1}" for dr in (-1, 0, 1) for dc in (-1, 0, 1)) + " FROM grid a JOIN grid b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 WHERE b.z IS NOT NULL GROUP BY 1, 2 HAVING count(*) = 9)"
@@ -869,20 +803,6 @@ def _(s, d):
     return C.inflow_order(A.with_points(A.flowpaths(s, d)))
 
 
-@query("g_tree_direction", oracle("SELECT id, from_nexus_id, to_nexus_id FROM flowpaths WHERE rank = 1"))
-def _(s, d):
-    p = A.flowpaths(s, d).filter("rank = 1")
-    turned = p.select("id", F.when(F.col("id") % 2 == 0, F.col("to_nexus_id")).otherwise(F.col("from_nexus_id")).alias("from_nexus_id"), F.when(F.col("id") % 2 == 0, F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("to_nexus_id"))
-    return C.directed_to(turned, s.range(8, 16))
-
-
-@query("g_collapse_short", oracle("""SELECT f.id, f.from_nexus_id, CASE WHEN g.id IS NOT NULL THEN g.to_nexus_id ELSE f.to_nexus_id END AS to_nexus_id, f.length FROM flowpaths f LEFT JOIN flowpaths g ON g.id = f.to_nexus_id AND g.rank = 1 AND g.id BETWEEN 64 AND 127 WHERE f.rank = 1 AND NOT f.id BETWEEN 64 AND 127"""))
-def _(s, d):
-    p = A.flowpaths(s, d).filter("rank = 1")
-    marked = p.withColumn("length", F.when(F.col("id").between(64, 127), -1).otherwise(F.col("length")))
-    return C.collapsed(marked, 0)
-
-
 @query("g_multi_sink_join", oracle("SELECT CAST(5000000000 + n AS BIGINT) AS id, n AS from_nexus_id, -8 - 1 AS to_nexus_id FROM (SELECT DISTINCT to_nexus_id AS n FROM flowpaths WHERE to_nexus_id BETWEEN 8 AND 11)"))
 def _(s, d):
     p = A.flowpaths(s, d).filter("rank = 1").select("from_nexus_id", "to_nexus_id")
