@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.operators.components import connected_components
-from thalweg.operators.network import reachable
+from thalweg.operators.geometry import clip_shares
 from thalweg.operators.spatial import boxes_to_cells, points_in_boxes, segment_distance, simplify
 
 
@@ -23,19 +23,14 @@ def line_boxes(lines: DataFrame) -> DataFrame:
 
 
 def blocks(lines: DataFrame, size: float, buffer: float = 0.5) -> DataFrame:
-    """(bx, by, n, minx, miny, maxx, maxy) of square blocks that an envelope of a line touches, widened on each side by a share of their size."""
-    cells = boxes_to_cells(line_boxes(lines), size).groupBy("bx", "by").agg(F.count("*").alias("n"))
+    """(bx, by, n, minx, miny, maxx, maxy) of square blocks that a line touches, widened on each side by a share of their size."""
+    at = lambda c, k=0: (F.col(c) + k) * size
+    low, high = clip_shares(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], at("bx"), at("by"), at("bx", 1), at("by", 1))
+    cells = boxes_to_cells(line_boxes(lines), size).filter(low <= high).groupBy("bx", "by").agg(F.count("*").alias("n"))
     edge = lambda c, k: (F.col(c) + k) * size
     return cells.select("bx", "by", "n", edge("bx", -buffer).alias("minx"), edge("by", -buffer).alias("miny"), edge("bx", 1 + buffer).alias("maxx"), edge("by", 1 + buffer).alias("maxy"))
 
 
-def shore_segments(boxes: DataFrame) -> DataFrame:
-    """(x1, y1, x2, y2, side) of the sides of water rectangles: BOTH where two share a side, else ONE."""
-    side = lambda a, b, c, d: F.struct(F.col(a).alias("x1"), F.col(b).alias("y1"), F.col(c).alias("x2"), F.col(d).alias("y2"))
-    s = boxes.select(F.explode(F.array(side("minx", "miny", "maxx", "miny"), side("minx", "maxy", "maxx", "maxy"), side("minx", "miny", "minx", "maxy"), side("maxx", "miny", "maxx", "maxy"))).alias("s"))
-    return s.groupBy("s").agg(F.count("*").alias("n")).select("s.*", F.when(F.col("n") > 1, "BOTH").otherwise("ONE").alias("side"))
-
-
 def surface_area(grid: DataFrame, cell: float) -> DataFrame:
     """(flat, surface) area of the two triangles of each square of four neighbouring cells with data."""
     at = lambda dr, dc, n: grid.filter("z IS NOT NULL").select((F.col("r") - dr).alias("r"), (F.col("c") - dc).alias("c"), F.col("z").alias(n))
@@ -137,26 +132,6 @@ def inflow_order(paths: DataFrame) -> DataFrame:
     return into.join(out, "node").withColumn("angle", clockwise).withColumn("place", F.row_number().over(w)).select("node", "id", "place")
 
 
-def directed_to(edges: DataFrame, sinks: DataFrame) -> DataFrame:
-    """(id, from_nexus_id, to_nexus_id) of a forest's edges, turned so that each leads towards the nearest of ``sinks`` (id); edges that no sink reaches are left out."""
-    ends = edges.select("id", F.col("from_nexus_id").alias("a"), F.col("to_nexus_id").alias("b"))
-    both = ends.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(ends.select("b", "a"))
-    hops = reachable(both, sinks)
-    h = lambda c: hops.select(F.col("id").alias(c), F.col("hop").alias(f"hop_{c}"))
-    far = F.col("hop_a") > F.col("hop_b")
-    return ends.join(h("a"), "a").join(h("b"), "b").select("id", F.when(far, F.col("a")).otherwise(F.col("b")).alias("from_nexus_id"), F.when(far, F.col("b")).otherwise(F.col("a")).alias("to_nexus_id"))
-
-
-def collapsed(paths: DataFrame, least: int) -> DataFrame:
-    """Edges of at least ``least`` length between what is left of nodes when shorter ones are contracted; a contracted group takes its smallest node's id, edges inside one go."""
-    short = paths.filter(F.col("length") < least)
-    comp = connected_components(short, "from_nexus_id", "to_nexus_id")
-    moved = lambda c: comp.select(F.col("id").alias(c), F.col("component").alias(f"new_{c}"))
-    out = paths.filter(F.col("length") >= least).join(moved("from_nexus_id"), "from_nexus_id", "left").join(moved("to_nexus_id"), "to_nexus_id", "left")
-    new = lambda c: F.coalesce(f"new_{c}", c).alias(c)
-    return out.select("id", new("from_nexus_id"), new("to_nexus_id"), "length").filter("from_nexus_id <> to_nexus_id")
-
-
 def joined_sinks(paths: DataFrame, sinks: DataFrame, first_id: int) -> DataFrame:
     """Rows (id, from_nexus_id, to_nexus_id) that tie the sinks of every network of several sinks to one virtual node, ``-component - 1``; ids run from ``first_id`` by sink."""
     comp = connected_components(paths, "from_nexus_id", "to_nexus_id")
@@ -230,3 +205,36 @@ def triangulated(points: DataFrame, key: str) -> DataFrame:
         return pd.DataFrame({key: np.full(len(t), frame[key].iloc[0]), "a": t[:, 0], "b": t[:, 1], "c": t[:, 2]})
 
     return points.select(key, "id", "x", "y").groupBy(key).applyInPandas(run, f"{key} long, a long, b long, c long")
+
+
+def voronoi(points: DataFrame, key: str) -> DataFrame:
+    """(key, a, b, x1, y1, x2, y2): the sides between the cells of neighbouring points of each group (key, id, x, y), a < b; sides that run to infinity are left out."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("id", kind="stable")
+        ids, p = frame["id"].to_numpy(), frame[["x", "y"]].to_numpy(float)
+        tri = delaunay(p)
+        q = p[tri] - p[tri][:, :1]
+        b, c = q[:, 1], q[:, 2]
+        d = 2 * (b[:, 0] * c[:, 1] - b[:, 1] * c[:, 0])
+        bb, cc = (b * b).sum(1), (c * c).sum(1)
+        middle = p[tri][:, 0] + np.stack([c[:, 1] * bb - b[:, 1] * cc, b[:, 0] * cc - c[:, 0] * bb], 1) / d[:, None] if len(tri) else np.empty((0, 2))
+        sides: dict[tuple[int, int], list[int]] = {}
+        for t, corners in enumerate(tri.tolist()):
+            for k in range(3):
+                sides.setdefault(tuple(sorted((corners[k], corners[k - 1]))), []).append(t)
+        both = [(key, own) for key, own in sides.items() if len(own) == 2]
+        ends = [sorted((int(ids[u]), int(ids[v]))) for (u, v), _ in both]
+        return pd.DataFrame({key: frame[key].iloc[0], "a": [e[0] for e in ends], "b": [e[1] for e in ends], **{n: [middle[own[i]][j] for _, own in both] for n, i, j in (("x1", 0, 0), ("y1", 0, 1), ("x2", 1, 0), ("y2", 1, 1))}})
+
+    return points.select(key, "id", "x", "y").groupBy(key).applyInPandas(run, f"{key} long, a long, b long, x1 double, y1 double, x2 double, y2 double")
+
+
+def reprojected(lines: DataFrame, project, scale: float) -> DataFrame:
+    """(id, line) of lines (id, line) through ``project``, a function of two coordinate columns, on the grid of a precision."""
+
+    def point(p: Column) -> Column:
+        x, y = project(p[0], p[1])
+        return F.array(F.round(x * scale) / scale, F.round(y * scale) / scale)
+
+    return lines.select("id", F.transform("line", point).alias("line"))

@@ -744,16 +744,6 @@ def _(s, d):
 # ---- construction
 
 
-@query("cd_blocks", oracle(", cells AS (SELECT x AS bx, y AS \"by\" FROM lined, range(-5, 5) a(x), range(-3, 3) b(y) WHERE x BETWEEN floor(least(x1, x2) / 60) AND floor(greatest(x1, x2) / 60) AND y BETWEEN floor(least(y1, y2) / 60) AND floor(greatest(y1, y2) / 60)) SELECT bx, \"by\", count(*) AS n, (bx - 0.5) * 60::DOUBLE AS minx, (\"by\" - 0.5) * 60::DOUBLE AS miny, (bx + 1.5) * 60::DOUBLE AS maxx, (\"by\" + 1.5) * 60::DOUBLE AS maxy FROM cells GROUP BY 1, 2"))
-def _(s, d):
-    return C.blocks(A.with_points(A.flowpaths(s, d)), 60.0)
-
-
-@query("cd_hydro_edges", oracle(", s AS (SELECT unnest([{'x1': minx, 'y1': miny, 'x2': maxx, 'y2': miny}, {'x1': minx, 'y1': maxy, 'x2': maxx, 'y2': maxy}, {'x1': minx, 'y1': miny, 'x2': minx, 'y2': maxy}, {'x1': maxx, 'y1': miny, 'x2': maxx, 'y2': maxy}]) AS s FROM catchments WHERE ec_type = 4) SELECT s.x1, s.y1, s.x2, s.y2, CASE WHEN count(*) > 1 THEN 'BOTH' ELSE 'ONE' END AS side FROM s GROUP BY ALL"))
-def _(s, d):
-    return C.shore_segments(A.catchments(s, d).filter("ec_type = 4"))
-
-
 @query("agg_tin_area", oracle(", q AS (SELECT a.z AS a, b.z AS b, d.z AS d, e.z AS e FROM grid a JOIN grid b ON b.r = a.r AND b.c = a.c + 1 JOIN grid d ON d.r = a.r + 1 AND d.c = a.c JOIN grid e ON e.r = a.r + 1 AND e.c = a.c + 1 WHERE a.z + b.z + d.z + e.z IS NOT NULL) SELECT sum(10000::DOUBLE) AS flat, round(sum(50 * sqrt(pow(b - a, 2) + pow(d - a, 2) + 10000) + 50 * sqrt(pow(d - e, 2) + pow(b - e, 2) + 10000)), 3) AS surface FROM q"))
 def _(s, d):
     return C.surface_area(A.grid(s, d), 100.0)
@@ -810,11 +800,6 @@ def _(s, d):
     return C.joined_sinks(tied, s.range(8, 16), 5_000_000_000)
 
 
-@query("sp_delaunay", None)
-def _(s, d):
-    return C.triangulated(A.points(s, d).withColumn("block", F.floor(F.col("x") / 100)), "block")
-
-
 @query("sp_simplify", oracle("SELECT id, [minx, maxx, maxx, minx, minx] AS xs, [miny, miny, maxy, maxy, miny] AS ys FROM catchments"))
 def _(s, d):
     mid = lambda a, b: (F.col(a) + F.col(b)) / 2
