@@ -156,6 +156,13 @@ def test_both_ways_reach_the_same_nodes_for_ids_of_any_type(spark):
             assert got == sorted((cast(n), h) for n, h in (("a", 0), ("b", 1), ("c", 2), ("d", 3), ("z", 0)) if within is None or h <= within)
 
 
+def test_ids_beyond_the_whole_numbers_of_floats_stay_apart(spark):
+    big = 2**60
+    df = spark.createDataFrame([(big + k, big + k + 1) for k in range(5)], "src long, dst long")
+    got = sorted(map(tuple, N.reachable(df, spark.createDataFrame([(big + 1,)], "id long")).collect()))
+    assert got == [(big + 1 + k, k) for k in range(5)] == sorted(map(tuple, N.reachable(df, spark.createDataFrame([(big + 1,)], "id long"), at_once=0).collect()))
+
+
 def test_string_ids_have_orders_too(spark):
     rows = [(i, f"N{a}", f"N{b}", n, m, 1, 1) for i, (a, b, n, m) in EDGES.items()]
     got = {r.id: r for r in N.stream_orders(spark.createDataFrame(rows, PATHS.replace("nexus_id long", "nexus_id string"))).collect()}

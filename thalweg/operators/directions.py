@@ -405,7 +405,7 @@ def name_waterbody(edges: pd.DataFrame, ends: pd.DataFrame, own: list) -> list[t
         return way[::-1] or None
 
     size = lambda way: sum(r.length for r in way)
-    longest = lambda ways: max(ways, key=lambda w: (size(w), [-r.id for r in w]), default=None)
+    longest = lambda ways: max(sorted(ways, key=lambda w: [str(r.id) for r in w]), key=size, default=None)
     sources = sorted(set(edges["a"]) - heads)
     found = []
     for name in sorted(set(ends["name"].dropna()) | set(own)):
@@ -438,16 +438,19 @@ def name_waterbody(edges: pd.DataFrame, ends: pd.DataFrame, own: list) -> list[t
 def named_skeletons(edges: DataFrame, ends: DataFrame, waterbodies: DataFrame) -> DataFrame:
     """(id, name): names of skeletons (water, id, from_nexus_id, to_nexus_id, length, rank) by the named flows (water, node, name, way) into and out of their waterbody
     and its own name (water, name); a waterbody is one task's work. An edge that several names claim has a row for each."""
-    rows = edges.select("water", F.struct("id", F.col("from_nexus_id").alias("a"), F.col("to_nexus_id").alias("b"), "length", "rank").alias("e"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("long").alias("name"), F.lit("edge").alias("way"))
+    # ids, nodes and names are texts here: pandas would make floats of whole numbers with nulls
+    text = lambda c, n: F.col(c).cast("string").alias(n)
+    rows = edges.select("water", F.struct(text("id", "id"), text("from_nexus_id", "a"), text("to_nexus_id", "b"), "length", "rank").alias("e"), F.lit(None).cast("string").alias("node"), F.lit(None).cast("string").alias("name"), F.lit("edge").alias("way"))
     blank = F.lit(None).cast(rows.schema["e"].dataType)
-    rows = rows.union(ends.select("water", blank, "node", "name", "way")).union(waterbodies.select("water", blank, F.lit(None).cast("long"), "name", F.lit("own")))
+    rows = rows.union(ends.select("water", blank, text("node", "node"), text("name", "name"), "way")).union(waterbodies.select("water", blank, F.lit(None).cast("string"), text("name", "name"), F.lit("own")))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        own = [int(v) for v in frame.loc[frame["way"] == "own", "name"].dropna()]
+        own = frame.loc[frame["way"] == "own", "name"].dropna().tolist()
         e = pd.DataFrame([dict(v) if isinstance(v, dict) else v.asDict() for v in frame.loc[frame["way"] == "edge", "e"]])
         if e.empty:
-            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "name": pd.Series([], dtype="int64")})
+            return pd.DataFrame({"id": pd.Series([], dtype=object), "name": pd.Series([], dtype=object)})
         found = name_waterbody(e, frame.loc[frame["way"].isin(["in", "out"]), ["node", "name", "way"]], own)
-        return pd.DataFrame(found, columns=["id", "name"]).astype("int64")
+        return pd.DataFrame(found, columns=["id", "name"]).astype(object)
 
-    return rows.groupBy("water").applyInPandas(run, "id long, name long")
+    kind = dict(edges.dtypes)["id"]
+    return rows.groupBy("water").applyInPandas(run, "id string, name string").select(F.col("id").cast(kind).alias("id"), F.col("name").cast("long").alias("name"))

@@ -66,7 +66,7 @@ def reachable(links: DataFrame, starts: DataFrame, within: int | None = None, at
     starts = starts.select("id").dropna().distinct()
     if at_once and links.limit(at_once + 1).count() <= at_once and starts.limit(at_once + 1).count() <= at_once:
         rows = links.select(F.col("src").cast(kind).alias("a"), F.col("dst").cast(kind).alias("b"), F.lit(False).alias("first"))
-        rows = rows.union(starts.select(F.lit(None).cast(kind), "id", F.lit(True)))
+        rows = rows.union(starts.select("id", "id", F.lit(True)))  # without nulls, which pandas would make floats of
         return rows.repartition(1).mapInPandas(lambda frames: _walk(frames, within), f"id {kind}, hop int")
     seen = frontier = stage_table(starts.withColumn("hop", F.lit(0)), "reach")
     for hop in count(1):
@@ -236,7 +236,7 @@ def stream_orders(paths: DataFrame, name: str | None = None, isolated_hack: int
     first = primary(paths).groupBy("from_nexus_id").agg(F.min("id").alias("tree"))
     known = stage_table(
         paths.join(comp.withColumnRenamed("id", "from_nexus_id"), "from_nexus_id").join(pairs, "component").join(first, "from_nexus_id", "left").select(
-            "id", F.when(F.expr(PRIMARY), F.col("tree")).alias("tree"), F.col("from_nexus_id").alias("from"), F.col("to_nexus_id").alias("to"), "length", (F.col(name) if name else F.lit(None)).cast("long").alias("name"), "component", "nodes"
+            "id", F.when(F.expr(PRIMARY), F.col("tree")).alias("tree"), F.col("from_nexus_id").alias("from"), F.col("to_nexus_id").alias("to"), "length", (F.col(name) if name else F.lit(None)).cast("string").alias("name"), "component", "nodes"
         ),
         "order-edges",
     )
