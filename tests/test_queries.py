@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from thalweg.plans import registry as H
 
 SF = "/root/testdata/sf0.001"
-SLOW = ("pp_", "agg_component_size", "lim_traversal_cap", "ra_d", "g_orders_legacy", "g_shreve", "g_strahler")
+SLOW = ("flt_relate", "sp_intersection", "sp_difference", "sp_union", "fc_bank", "fc_skeleton", "fc_pipeline", "g_dijkstra_path", "g_straightest", "g_no_cycle", "srt_by_path", "snk_order", "pp_", "agg_component_size", "lim_traversal_cap", "ra_d", "g_orders_legacy", "g_shreve", "g_strahler")
 NAMES = [n for n in H.ORACLE_SQL if os.environ.get("THALWEG_ALL_QUERIES") or not n.startswith(SLOW) or n in ("pp_unique_check", "pp_reach", "ra_distance_grid")]
 
 

@@ -53,15 +53,39 @@ def edges_of(rings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scale(*parts: np.ndarray) -> float:
-    full = np.concatenate([p for p in parts if len(p)] or [np.zeros((1, 2))])
-    return float(np.abs(full).max()) or 1.0
+    return max((float(np.abs(p).max()) for p in parts if len(p)), default=1.0) or 1.0
+
+
+#: Up to so many pairs of edges plain loops are faster than arrays.
+FEW = 400
+
+
+def _locate_few(points: np.ndarray, a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
+    edges = list(zip(a.tolist(), b.tolist(), strict=True))
+    out = []
+    for x, y in points.tolist():
+        odd, on = False, False
+        for (x1, y1), (x2, y2) in edges:
+            dx, dy, wx, wy = x2 - x1, y2 - y1, x - x1, y - y1
+            t = (wx * dx + wy * dy) / (dx * dx + dy * dy)
+            t = 0.0 if t < 0 else 1.0 if t > 1 else t
+            ex, ey = wx - t * dx, wy - t * dy
+            if ex * ex + ey * ey <= eps * eps:
+                on = True
+                break
+            if (y1 > y) != (y2 > y) and x < dx * wy / dy + x1:
+                odd = not odd
+        out.append(BOUNDARY if on else INSIDE if odd else OUTSIDE)
+    return np.array(out, np.int8)
 
 
 def locate(points: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
     """Where points lie in a polygon: inside, on the boundary or outside."""
     a, b = edges_of(rings)
-    out = np.empty(len(points), np.int8)
     eps = NEAR * _scale(a, points)
+    if len(points) * len(a) <= FEW:
+        return _locate_few(points, a, b, eps)
+    out = np.empty(len(points), np.int8)
     for at in range(0, len(points), 512):
         p = points[at : at + 512, None, :]
         d, w = b - a, p - a
@@ -76,9 +100,43 @@ def locate(points: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _cut_few(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    others = list(zip(c.tolist(), d.tolist(), strict=True))
+    starts, ends, owner = [], [], []
+    for k, ((px, py), (qx, qy)) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        ux, uy = qx - px, qy - py
+        size = ux * ux + uy * uy
+        length = math.sqrt(size)
+        margin = eps / length
+        places = []
+        for (cx, cy), (dx, dy) in others:
+            vx, vy, wx, wy = dx - cx, dy - cy, cx - px, cy - py
+            cross = ux * vy - uy * vx
+            vlen = math.sqrt(vx * vx + vy * vy)
+            if abs(cross) > NEAR * length * vlen:
+                slack = eps / vlen
+                if -slack <= (wx * uy - wy * ux) / cross <= 1 + slack:
+                    places.append((wx * vy - wy * vx) / cross)
+            for rx, ry in ((wx, wy), (dx - px, dy - py)):  # ends of others on this edge
+                if abs(ux * ry - uy * rx) <= eps * length:
+                    places.append((rx * ux + ry * uy) / size)
+        last, points = -1.0, [(px, py)]
+        for t in sorted(places):
+            if margin < t < 1 - margin and t - last > margin:
+                points.append((px + t * ux, py + t * uy))
+                last = t
+        points.append((qx, qy))
+        starts += points[:-1]
+        ends += points[1:]
+        owner += [k] * (len(points) - 1)
+    return np.array(starts, float).reshape(-1, 2), np.array(ends, float).reshape(-1, 2), np.array(owner, np.int64)
+
+
 def cut(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The edges a-b cut where edges c-d cross or touch them: start and end points of the pieces, in order, and the edge that each is of."""
     eps = NEAR * _scale(a, c)
+    if 0 < len(a) * len(c) <= FEW:
+        return _cut_few(a, b, c, d, eps)
     starts, ends, owner = [], [], []
     for k in range(len(a)):
         u, p = b[k] - a[k], a[k]
@@ -198,10 +256,9 @@ def polygons_of(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
     return [[own[0], *sorted(own[1:], key=lambda r: r.tolist())] for own in sorted(out, key=lambda o: o[0].tolist())]
 
 
-def overlay_edges(one: list[np.ndarray], two: list[np.ndarray], how: str) -> tuple[np.ndarray, np.ndarray]:
-    """The boundary of the intersection, union or difference of two polygons, interior on the left."""
-    p, q, where = pieces(*edges_of(one), two)
-    r, s, there = pieces(*edges_of(two), one)
+def overlay_edges(one: list[np.ndarray], two: list[np.ndarray], how: str, cuts: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The boundary of the intersection, union or difference of two polygons, interior on the left; ``cuts`` are their pieces if these are known already."""
+    p, q, where, r, s, there = cuts or (*pieces(*edges_of(one), two), *pieces(*edges_of(two), one))
     shared = where == BOUNDARY
     same = np.zeros(len(p), bool)
     same[shared] = _along(p[shared], q[shared], two)
@@ -249,7 +306,7 @@ def relate_polygons(one, two) -> str:
     r, s, there = pieces(*edges_of(two), one)
     eps = NEAR * _scale(p, r) ** 2 * 10
     areas = [sum(map(signed_area, x)) for x in (one, two)]
-    both = edge_area(*overlay_edges(one, two, "intersection"))
+    both = edge_area(*overlay_edges(one, two, "intersection", (p, q, where, r, s, there)))
     has = lambda w, k: "1" if (w == k).any() else "F"
     touch = "1" if (where == BOUNDARY).any() else "0" if (locate(p, two) == BOUNDARY).any() or (locate(r, one) == BOUNDARY).any() else "F"
     area = lambda x: "2" if x > eps else "F"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.operators.spatial import simplify, simplify_tolerance, tile_key, to_mercator, MERCATOR_EDGE
+from thalweg.operators.spatial import simplify, simplify_tolerance, tile_key
 
 #: Units of a tile's side (a fixed value of the format).
 EXTENT = 4096
@@ -38,9 +39,9 @@ def simplified_by_zoom(lines: DataFrame, zooms: list[int]) -> DataFrame:
 
 def placed_in_tiles(points: DataFrame, lon: str, lat: str, z: int) -> DataFrame:
     """Add the tile (tx, ty) of a zoom that each place lies in, and its whole-number place there (px, py); what lies beyond the map goes to its edge."""
-    x, y = to_mercator(F.col(lon), F.col(lat))
     side = 2**z
-    u, v = (x / MERCATOR_EDGE + 1) / 2 * side, (1 - y / MERCATOR_EDGE) / 2 * side
+    north = F.log(F.tan(F.radians(F.col(lat)) / 2 + math.pi / 4)) / math.pi * 180
+    u, v = (F.col(lon) + 180) / 360 * side, (180 - north) / 360 * side
     tile = lambda c: F.least(F.greatest(F.floor(c), F.lit(0)), F.lit(side - 1)).cast("int")
     at = points.withColumns({"_u": u, "_v": v}).withColumns({"tx": tile(F.col("_u")), "ty": tile(F.col("_v"))})
     unit = lambda c, t: F.round((F.col(c) - F.col(t)) * EXTENT).cast("int")

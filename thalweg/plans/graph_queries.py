@@ -225,7 +225,7 @@ _PIECE_SETS = _DRAINED + ", marks AS (SELECT catchment, list_sort(list(point)) A
 lk AS (SELECT up, down, mu.m <> md.m AS change FROM fl JOIN marks mu ON mu.catchment = up JOIN marks md ON md.catchment = down), st AS (SELECT DISTINCT down FROM lk WHERE change),
 sm AS (SELECT up AS x, down AS y FROM lk JOIN ow a ON a.catchment = up JOIN ow b ON b.catchment = down WHERE a.point = b.point AND down NOT IN (SELECT down FROM st)
   UNION SELECT a.up, b.up FROM lk a JOIN lk b ON a.down = b.down JOIN ow p ON p.catchment = a.up JOIN ow q ON q.catchment = b.up WHERE p.point = q.point AND a.up <> b.up AND a.down IN (SELECT down FROM st)),
-bw AS (SELECT x, y FROM sm UNION SELECT y, x FROM sm), top(x, y) AS (SELECT catchment, catchment FROM ow UNION SELECT t.x, bw.y FROM top t JOIN bw ON t.y = bw.x WHERE bw.y < t.y)
+bw AS (SELECT x, y FROM sm UNION SELECT y, x FROM sm), top(x, y) AS (SELECT catchment, catchment FROM ow UNION SELECT t.x, bw.y FROM top t JOIN bw ON t.y = bw.x)
 SELECT ow.point, c.piece, ow.catchment FROM ow JOIN (SELECT x AS catchment, min(y) AS piece FROM top GROUP BY 1) c USING (catchment)""", recursive=True))
 def _(s, d):
     return P.partition(_owned(s, d), _pp(s), _pp(s).select("point", F.col("point").alias("place")))
@@ -240,7 +240,7 @@ def _(s, d):
 
 @query("pp_project", oracle(""", n AS (SELECT DISTINCT from_nexus_id AS id, x1 AS x, y1 AS y FROM lined UNION SELECT to_nexus_id, x2, y2 FROM lined), pt AS (SELECT id AS point, x, y, CAST(id % 13 - 2 AS INT) AS c FROM points),
 ty AS (SELECT id, CASE WHEN i = 0 AND o = 1 AND bo = 1 THEN 'BANK' ELSE 'OTHER' END AS t FROM (SELECT id, sum(i) AS i, sum(o) AS o, sum(b * o) AS bo FROM (SELECT from_nexus_id AS id, 0 AS i, 1 AS o, CAST(ef_type = 2 AS INT) AS b FROM flowpaths UNION ALL SELECT to_nexus_id, 1, 0, CAST(ef_type = 2 AS INT) FROM flowpaths) GROUP BY 1)),
-nd AS (SELECT point, first(n.id ORDER BY round(sqrt((n.x - pt.x) * (n.x - pt.x) + (n.y - pt.y) * (n.y - pt.y)), 9), n.id) AS node FROM pt JOIN n ON true JOIN ty ON ty.id = n.id AND t <> 'BANK' WHERE c BETWEEN 0 AND 9 AND sqrt((n.x - pt.x) * (n.x - pt.x) + (n.y - pt.y) * (n.y - pt.y)) <= 60 GROUP BY 1),
+nd AS (SELECT point, first(n.id ORDER BY sqrt((n.x - pt.x) * (n.x - pt.x) + (n.y - pt.y) * (n.y - pt.y)), n.id) AS node FROM pt JOIN n ON true JOIN ty ON ty.id = n.id AND t <> 'BANK' WHERE c BETWEEN 0 AND 9 AND sqrt((n.x - pt.x) * (n.x - pt.x) + (n.y - pt.y) * (n.y - pt.y)) <= 60 GROUP BY 1),
 fl AS (SELECT to_nexus_id AS node, id AS edge, ef_type FROM flowpaths WHERE ef_type <> 2), cn AS (SELECT node, count(*) AS flows FROM fl GROUP BY 1)
 SELECT pt.point, count(*) AS rows, count(*) FILTER (CASE WHEN c < 0 OR c > 9 THEN true WHEN nd.node IS NULL THEN true WHEN c = 0 THEN fl.edge IS NULL ELSE coalesce(cn.flows, 0) < c END) AS problems FROM pt LEFT JOIN nd USING (point) LEFT JOIN cn USING (node) LEFT JOIN fl ON fl.node = nd.node AND pt.c = 0 WHERE c <> -2 AND NOT coalesce(c > 0 AND c <= 9 AND nd.node < 16, false) GROUP BY 1"""))
 def _(s, d):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from thalweg import adapter as A
 from thalweg.adapter import oracle
+from thalweg.functions import text as texts
 from thalweg.operators import network as N
 from thalweg.operators import outputs as O
 from thalweg.operators import pourpoints as P
@@ -187,7 +188,7 @@ def _(s, d):
 @query("fn_points", "SELECT p_partkey AS id, 'P' || p_partkey AS point, CAST(p_size AS DOUBLE) / 2 AS x, CAST(-p_size AS DOUBLE) AS y, CAST(p_size % 10 AS INT) AS c FROM part UNION ALL SELECT p_partkey, 'Q', 1.5, 2.0, -1 FROM part")
 def _(s, d):
     half = F.concat(F.lit("P"), F.col("p_partkey").cast("string"), F.lit(", "), (F.col("p_size") / 2).cast("string"), F.lit(","), (-F.col("p_size")).cast("string"), F.lit(","), (F.col("p_size") % 10).cast("string"), F.lit(",Q,1.5,2,-1"))
-    return A.table(s, d, "part").select(F.col("p_partkey").alias("id"), F.explode(O.parsed_points(half)).alias("p")).select("id", F.col("p.id").alias("point"), "p.x", "p.y", "p.c")
+    return A.table(s, d, "part").select(F.col("p_partkey").alias("id"), F.explode(texts.parsed_points(half)).alias("p")).select("id", F.col("p.id").alias("point"), "p.x", "p.y", "p.c")
 
 
 _MD5 = "md5(CAST(o_orderkey AS VARCHAR))"
@@ -197,9 +198,9 @@ _DASHED = " || '-' || ".join(f"substr({_MD5}, {a}, {n})" for a, n in ((1, 8), (9
 @query("fn_uuid", f"SELECT o_orderkey AS id, {_DASHED} AS parsed, o_orderkey % 2 = 0 AS proper FROM orders")
 def _(s, d):
     bare = F.md5(F.col("o_orderkey").cast("string").cast("binary"))
-    dashed = O.parsed_uuid(bare)
+    dashed = texts.parsed_uuid(bare)
     text = F.when(F.col("o_orderkey") % 2 == 0, F.upper(dashed)).otherwise(bare)
-    return A.table(s, d, "orders").select(F.col("o_orderkey").alias("id"), O.parsed_uuid(text).alias("parsed"), O.is_uuid(text).alias("proper"))
+    return A.table(s, d, "orders").select(F.col("o_orderkey").alias("id"), texts.parsed_uuid(text).alias("parsed"), texts.is_uuid(text).alias("proper"))
 
 
 @query("fn_date", "SELECT event_id AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, date_trunc('day', ts)::TIMESTAMP AS day FROM events")
@@ -229,13 +230,13 @@ def _(s, d):
 @query("src_schema_probe", oracle(" SELECT id, length AS \"Length\", NULL::VARCHAR AS nid FROM flowpaths"))
 def _(s, d):
     p = A.flowpaths(s, d).withColumnRenamed("id", "ID")
-    return O.resolved(p, ["id", "Length", "nid"], ["nid"])
+    return texts.resolved(p, ["id", "Length", "nid"], ["nid"])
 
 
 @query("flt_bbox_param", oracle(" SELECT id FROM lined WHERE least(x1, x2) <= 20.5 AND greatest(x1, x2) >= -20 AND least(y1, y2) <= 10 AND greatest(y1, y2) >= -10.25"))
 def _(s, d):
     p = A.with_points(A.flowpaths(s, d)).select("id", F.least("x1", "x2").alias("minx"), F.least("y1", "y2").alias("miny"), F.greatest("x1", "x2").alias("maxx"), F.greatest("y1", "y2").alias("maxy"))
-    return p.filter(Q.bbox_intersects(*O.parsed_bounds("20.5, 10, -20,-10.25"))).select("id")
+    return p.filter(Q.bbox_intersects(*texts.parsed_bounds("20.5, 10, -20,-10.25"))).select("id")
 
 
 _VIEW = "f.id, f.ef_type, f.ef_subtype, f.rank, f.length, f.rivernameid1, f.rivernameid2, f.aoi_id, f.from_nexus_id, f.to_nexus_id"
