@@ -103,3 +103,13 @@ def test_dissolving_keeps_holes(spark):
     assert sorted((round(X.polygon_area(p)), len(p)) for p in got.parts) == [(100, 1), (800, 2)]
     holes = spark.createDataFrame([(1, got.parts)], f"key long, parts array<{X.POLYGON}>").select(X.holes_of("parts").alias("h")).first().h
     assert [X.polygon_area(h) for h in holes] == [100]
+
+
+def test_catchments_in_holes_are_found(spark):
+    boxes = [(k, 10.0 * (k % 5), 10.0 * (k // 5)) for k in range(25)]
+    rows = [(k, [[[x, y], [x + 10, y], [x + 10, y + 10], [x, y + 10], [x, y]]], x, y, x + 10, y + 10) for k, x, y in boxes]
+    catchments = spark.createDataFrame(rows, f"id long, g {X.POLYGON}, minx double, miny double, maxx double, maxy double")
+    ring = [k for k in range(25) if k // 5 in (0, 4) or k % 5 in (0, 4)]
+    holes = lambda ids: sorted(r.id for r in X.interior_holes(spark.createDataFrame([(k,) for k in ids], "id long"), catchments, 20.0).collect())
+    assert holes(ring) == [6, 7, 8, 11, 12, 13, 16, 17, 18]
+    assert holes([*ring, 12]) == [6, 7, 8, 11, 13, 16, 17, 18] and holes(ring[1:]) != holes(ring) and holes([1, 2]) == []

@@ -740,6 +740,14 @@ def without_holes(areas: DataFrame, catchments: DataFrame, size: float, columns:
     return areas.select("key", outer.alias("parts")).join(added.groupBy("key").agg(F.array_sort(F.collect_list("other")).alias("filled"), *[F.sum(c).alias(c) for c in columns]), "key", "left")
 
 
+def interior_holes(claimed: DataFrame, catchments: DataFrame, size: float) -> DataFrame:
+    """(id): the catchments (id, g, envelope) that lie in holes of the union of the ``claimed`` ones (id) without being claimed themselves."""
+    own = catchments.join(claimed, "id", "left_semi").select(F.lit(1).alias("key"), "g")
+    areas = dissolved(own, "key")
+    filled = without_holes(areas, catchments, size, []).select(F.explode("filled").alias("id"))
+    return filled.distinct().join(claimed, "id", "left_anti")
+
+
 # ---- lines
 
 

@@ -9,11 +9,12 @@ from thalweg import adapter as A
 from thalweg.adapter import oracle
 from thalweg.operators import geometry as X
 from thalweg.operators import network as N
+from thalweg.operators import pourpoints as P
 from thalweg.operators import raster as R
 from thalweg.operators import relational as Q
 from thalweg.operators import spatial as G
 from thalweg.operators import tiles as T
-from thalweg.plans.hydro_queries import _CL, _FEATURES, _named_features, _owned
+from thalweg.plans.hydro_queries import _CL, _DRAINED, _FEATURES, _named_features, _owned, _pp
 from thalweg.plans.registry import query
 
 _SHORT = ", a AS (SELECT id, x + 600.05 AS x1, y + 60.05 AS y1, x + 600.75 + id % 23 AS x2, y + 60.35 + id % 17 AS y2 FROM points)"
@@ -189,6 +190,15 @@ def _(s, d):
     return whole.select(F.col("key").alias("k"), F.coalesce(F.size("filled"), F.lit(0)).cast("long").alias("filled"), "area")
 
 
+@query("pp_interior_holes", oracle(_DRAINED + """, own AS (SELECT DISTINCT catchment % 128 AS x, catchment // 128 AS y FROM dr),
+free AS (SELECT x, y FROM (SELECT unnest(range(-1, 129)) AS x), (SELECT unnest(range(-1, (SELECT max(o_orderkey) // 128 + 2 FROM orders))) AS y) WHERE (x, y) NOT IN (SELECT x, y FROM own)),
+sea(x, y) AS (SELECT -1, -1 UNION SELECT f.x, f.y FROM sea s JOIN free f ON abs(f.x - s.x) <= 1 AND abs(f.y - s.y) <= 1)
+SELECT c.id FROM catchments c WHERE (c.id % 128, c.id // 128) IN (SELECT x, y FROM free EXCEPT SELECT x, y FROM sea)""", recursive=True))
+def _(s, d):
+    # catchments in the holes of what all points drain together; none of them is claimed
+    return X.interior_holes(P.drained(_owned(s, d), _pp(s)).select(F.col("catchment").alias("id")).distinct(), _boxes(s, d), 40.0)
+
+
 # ---- lines
 
 
