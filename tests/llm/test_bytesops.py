@@ -1,8 +1,9 @@
 import random
+from pathlib import Path
 
 import numpy as np
 
-from thalweg.llm.bytesops import shingle_sets, slices, word_hashes
+from thalweg.llm.bytesops import give_back, giving_back, shingle_sets, slices, word_hashes
 
 
 def brute(text: bytes, width: int) -> set:
@@ -54,3 +55,23 @@ def test_hashes_of_words_are_equal_exactly_if_the_words_are():
     words = [bytes(random.choice(b"ab\x00\xc3") for _ in range(random.randint(1, 20))) for _ in range(20_000)]
     hashes, counts = word_hashes(words)
     assert counts.tolist() == [1] * len(words) and len(set(hashes.tolist())) == len(set(words)) == len(set(zip(words, hashes.tolist(), strict=True)))
+
+
+def _held_mb() -> float:
+    own = Path("/proc/self/smaps_rollup").read_text()
+    return sum(int(line.split()[1]) for line in own.splitlines() if line.startswith("Pss_Anon:")) / 1024
+
+
+def test_a_kernel_gives_back_what_it_freed():
+    def run(batches):
+        for batch in batches:
+            kept = [bytes(60_000) for _ in range(5000)]  # too small for pages of their own, so the allocator keeps them
+            pin = bytes(60_000)
+            del kept
+            yield batch, pin
+
+    give_back()
+    before = _held_mb()
+    pins = list(giving_back(run)(iter([1, 2, 3])))
+    assert [b for b, _ in pins] == [1, 2, 3]
+    assert _held_mb() - before < 60

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import mix64, shingle_sets, slices, text_batches
+from thalweg.llm.bytesops import giving_back, mix64, shingle_sets, slices, text_batches
 from thalweg.operators.components import connected_components
 from thalweg.session import stage_table
 
@@ -142,7 +142,7 @@ def signatures(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """(doc_id, n_shingles, k1, k2, bands, sketch) for each row of ``docs`` (doc_id, text)."""
     schema = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sketch binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _signatures(shingle, band_rows(threshold)), schema
+        giving_back(_signatures(shingle, band_rows(threshold))), schema
     )
 
 
@@ -185,7 +185,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     source = docs.select(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(bits)).cast("int").alias("p")
     ).filter("id is not null")
-    return source.mapInArrow(_sets_of(shingle, bits, table.tobytes()), "id long, words array<long>, fine binary")
+    return source.mapInArrow(giving_back(_sets_of(shingle, bits, table.tobytes())), "id long, words array<long>, fine binary")
 
 
 def _compare(threshold: float):
@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
     fine = sets.select("id", F.size("words").cast("long").alias("n"), "fine").join(heads.select("id", "bands"), "id")
     rows = rows.join(fine, "id").repartition("bh", "bi", "bj").sortWithinPartitions("bh", "bi", "bj")
-    more = rows.select("bh", "bi", "bj", "id", "comp", "n", "side", "fine", "bands").mapInArrow(_compare(threshold), "a long, b long").distinct()
+    more = rows.select("bh", "bi", "bj", "id", "comp", "n", "side", "fine", "bands").mapInArrow(giving_back(_compare(threshold)), "a long, b long").distinct()
     more = stage_table(more, "candidates")
     links = links.union(stage_table(confirm(more, sets, percent), "more-links"))
     comp = connected_components(links, "a", "b", at_once=0)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import block_hashes, byte_blocks, slices, text_batches
+from thalweg.llm.bytesops import block_hashes, byte_blocks, giving_back, slices, text_batches
 from thalweg.session import stage_table
 
 WINDOW = 2048
@@ -450,7 +450,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, t
     key = F.coalesce(F.concat(F.lit("="), source), F.lit(""))
     # the row's number only tells equal rows apart
     base = docs.select(key.alias("key"), source.alias("source"), F.xxhash64(doc_id, text).alias("h"), F.monotonically_increasing_id().alias("row"), doc_id.alias("doc_id"), text.alias("text"))
-    tokens = stage_table(base.mapInArrow(_tokenize(tokenizer_path), _TOKENS), "tokens")
+    tokens = stage_table(base.mapInArrow(giving_back(_tokenize(tokenizer_path)), _TOKENS), "tokens")
     bucket = F.shiftright("h", 64 - BUCKET_BITS).cast("int").alias("bucket")
     sums = stage_table(tokens.groupBy("key", "source", bucket).agg(F.sum("length").alias("n")), "token-sums")
     found = sorted(sums.groupBy("key", "source").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["key"])
@@ -475,10 +475,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, t
     cut_rows = rows.mapInArrow(_find(keys, cuts), "p int, k int, h long, row long, start long, within long").toPandas().sort_values(["k", "p"])
     marks = [tuple(cut_rows.loc[cut_rows["k"] == k, c].to_numpy() for c in ("p", "h", "row", "start", "within")) for k in range(len(keys))]
     placed = tokens.select("key", "h", "row", "doc_id", "start", "length", "doc_tokens", "ids").mapInArrow(
-        _place(keys, marks), "p int, progress double, k int, h long, row long, doc_id long, start long, length long, doc_tokens long, ids binary"
+        giving_back(_place(keys, marks)), "p int, progress double, k int, h long, row long, doc_id long, start long, length long, doc_tokens long, ids binary"
     )
     dealt = placed.repartitionById(parts, F.col("p")).sortWithinPartitions("p", "progress", "k", "h", "row", "start").select("p", "k", "doc_id", "start", "length", "doc_tokens", "ids")
-    return dealt.mapInArrow(_pack(mixture, cuts, firsts, window, least_piece), _OUT)
+    return dealt.mapInArrow(giving_back(_pack(mixture, cuts, firsts, window, least_piece)), _OUT)
 
 
 def ids_crc32(ids: list[int]) -> int:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import slices, text_batches, word_hashes
+from thalweg.llm.bytesops import give_back, giving_back, slices, text_batches, word_hashes
 from thalweg.llm.features import labelled_sample, texts_of
 
 #: The most labelled documents of each class, and unlabelled ones, that the views are fitted on.
@@ -207,7 +207,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def _sampled(rows: DataFrame) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    table = rows.mapInArrow(_views, "doc_id long, label int, a binary, b binary").toArrow().combine_chunks().sort_by("doc_id")
+    table = rows.mapInArrow(giving_back(_views), "doc_id long, label int, a binary, b binary").toArrow().combine_chunks().sort_by("doc_id")
     views = []
     for name, like in (("a", text_view([])), ("b", page_view([], [], []))):
         views.append(np.frombuffer(b"".join(table.column(name).to_pylist()), np.float32).reshape(-1, like.shape[1]))
@@ -239,6 +239,7 @@ def quality_column(model: QualityModel):
         for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), _BATCH):
             out[i:j] = model.scores(texts[i:j], sources[i:j], langs[i:j])
         out = np.round(out, 6)
+        give_back()
         return pa.StructArray.from_arrays([*(pa.array(out[:, k].copy()) for k in range(3)), pa.array(out[:, 2] >= KEEP_FROM)], ["p_text", "p_page", "score", "keep"])
 
     return score(*[F.col(c).cast("string") for c in ("text", "source", "lang")])

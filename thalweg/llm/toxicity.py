@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.bytesops import mix64, slices, text_batches
+from thalweg.llm.bytesops import give_back, giving_back, mix64, slices, text_batches
 from thalweg.llm.features import labelled_sample, texts_of, word_features
 
 BITS = 20
@@ -173,7 +173,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     """
     text_batches(docs.sparkSession)
     sample, totals = labelled_sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels, label, per_class)
-    table = sample.select("doc_id", "text", "_label").mapInArrow(_pairs, "doc_id long, label int, features array<int>").toArrow().combine_chunks().sort_by("doc_id")
+    table = sample.select("doc_id", "text", "_label").mapInArrow(giving_back(_pairs), "doc_id long, label int, features array<int>").toArrow().combine_chunks().sort_by("doc_id")
     lists = table.column("features").combine_chunks()
     cols = lists.flatten().to_numpy().astype(np.int64)
     rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) if len(lists) else np.empty(0, np.int64)
@@ -202,6 +202,7 @@ def severity_column(model: OrdinalModel, text: str = "text"):
             out[i:j, 1] = chance.argmax(1)
             out[i:j, 2] = 1 - chance[:, 0]
         severity = np.round(out[:, 0], 6)
+        give_back()
         return pa.StructArray.from_arrays([pa.array(severity), pa.array(out[:, 1].astype(np.int32)), pa.array(out[:, 2] >= TOXIC_FROM)], ["severity", "grade", "toxic"])
 
     return score(F.col(text).cast("string"))
