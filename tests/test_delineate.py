@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from thalweg.operators import construct as C
 from thalweg.operators import delineate as Z
@@ -116,3 +117,15 @@ def test_shores_have_sides_and_chains(spark):
         chains.setdefault(r.chain, 0)
         chains[r.chain] += 1
     assert sorted(chains.values()) == [1, 1, 1, 2, 3]
+
+
+def test_blocks_are_dealt_over_tasks(spark):
+    # a few bytes a block, so that adaptive execution would put all of them in one task
+    p = spark.range(200).selectExpr("(id % 20) * 20 + 3 + id % 13 AS x", "1 + (id * 7) % 18 + 0.5 AS y", "1.0 * id AS z").selectExpr("double(x) x", "double(y) y", "double(z) z")
+    e = spark.range(20).selectExpr("double(id * 20 + 2) x1", "1.0D y1", "double(id * 20 + 2) x2", "19.0D y2", "id AS drainage")
+    made = Z.block_boundaries(p, e, 20.0, 4.0, buffer=0.0).filter("state = 'COMPLETE'").select("block", F.spark_partition_id().alias("task")).collect()
+    assert len({r.block for r in made}) == 20 and len({r.task for r in made}) > 1
+    boxes = spark.range(20).selectExpr("string(id) AS left_id", "string(null) AS right_id", "double(id) AS x").withColumn("hydro", F.lit(False))
+    ring = F.array(*[F.array(F.col("x") + u, F.lit(v)) for u, v in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0))])
+    areas = Z.joined_blocks(boxes.withColumn("line", ring)).select("drainage", "kind", F.spark_partition_id().alias("task")).collect()
+    assert {(r.drainage, r.kind) for r in areas} == {(str(k), 1) for k in range(20)} and len({r.task for r in areas}) > 1
