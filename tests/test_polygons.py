@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from thalweg.operators import geometry as X
@@ -48,6 +49,29 @@ def test_squares_relate_as_known():
         X.matches("212101212", "2*")
 
 
+def test_many_pairs_relate_as_one_by_one(monkeypatch):
+    r = np.random.default_rng(3)
+    box = lambda x, y, w, h: [[[x, y], [x + w, y], [x + w, y + h], [x, y + h], [x, y]]]
+    kinds = [
+        lambda: box(*map(float, r.integers(0, 4, 4) + [0, 0, 1, 1])), lambda: [box(*map(float, r.integers(0, 4, 4) + [0, 0, 1, 1]))[0][::-1]], lambda: star(r, int(r.integers(3, 9)), *r.normal(size=2), 4),
+        lambda: star(r, 5, *r.normal(size=2) * 1e5, 3e5),
+    ]
+    draw = lambda n, among: [kinds[k]() for k in r.integers(0, among, n)]
+    a, b = draw(600, 4), draw(600, 4)
+    a[100:200], b[100:200] = draw(100, 2), draw(100, 2)
+    a[:3], b[5:8] = [None, HOLED, [[[0, 0], [0, 0], [4, 0], [4, 4], [0, 0]]]], [None, HOLED, a[7]]
+    kind = pa.list_(pa.list_(pa.list_(pa.float64())))
+    one, two = pa.array(a, kind), pa.array(b, kind)
+    want = [None if x is None or y is None else X.relate_polygons(x, y) for x, y in zip(a, b, strict=True)]
+    assert len(set(want)) > 12
+    assert X.relate_many(one, two).to_pylist() == want
+    assert X.relate_many(one.slice(2, 500), two.slice(2, 500)).to_pylist() == want[2:502]
+    assert X.relate_many(one[:0], two[:0]).to_pylist() == []
+    # single rings are not looked at one by one
+    monkeypatch.setattr(X, "relate_polygons", None)
+    assert X.relate_many(one.slice(100), two.slice(100)).to_pylist() == want[100:]
+
+
 def test_lines_relate_as_known():
     cases = [
         ([[1, 1], [2, 2]], "1FF0FF212"), ([[-1, 2], [6, 2]], "101FF0212"), ([[0, 0], [4, 0]], "F1FF0F212"), ([[-2, -2], [0, 0]], "FF1F00212"),
