@@ -175,3 +175,13 @@ def test_a_way_of_50000_flowpaths(spark):
     got = {r.id: r for r in N.stream_orders(deep).filter(f"id IN (1, 777, {n})").collect()}
     assert [(got[k].strahler, got[k].max_uplength, got[k].mainstem, got[k].mainstem_seq) for k in (1, 777, n)] == [(1, 0, 1, n), (1, 2 * 776, 1, n - 776), (1, 2 * (n - 1), 1, 1)]
     assert N.trace(deep, spark.createDataFrame([(1,)], "id long")).count() == n
+
+
+def test_graphs_of_a_million_edges_go_to_one_task():
+    from thalweg.operators.components import AT_ONCE, label
+
+    n = 1_000_000
+    assert n < AT_ONCE
+    k = np.arange(16, n)
+    nodes, low = label(k, k // 2)
+    assert (low == nodes >> (np.floor(np.log2(nodes)).astype(np.int64) - 3)).all()
