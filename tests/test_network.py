@@ -186,3 +186,23 @@ def test_graphs_of_a_million_edges_go_to_one_task():
     k = np.arange(16, n)
     nodes, low = label(k, k // 2)
     assert (low == nodes >> (np.floor(np.log2(nodes)).astype(np.int64) - 3)).all()
+
+
+@pytest.mark.parametrize(("kind", "at_once"), [("long", 40), ("string", 1)])
+def test_components_of_graphs_too_large_for_one_task(spark, kind, at_once):
+    from thalweg.operators.components import label
+
+    r = np.random.default_rng(11)
+    edges = [*r.integers(1000, 1400, (260, 2)).tolist(), *r.integers(2000, 2020, (60, 2)).tolist(), *[[3000 + k, 3000 + (k + 1) % 4] for k in range(4)], *[[4000, 4001 + k] for k in range(30)], *[[5000 + k, 5030] for k in range(30)], [6000, 6000], [6001, 6001], [6001, 6002]]
+    e = spark.createDataFrame([(str(a), str(b)) for a, b in edges], "src string, dst string").selectExpr(f"CAST(src AS {kind}) AS src", f"CAST(dst AS {kind}) AS dst")
+    want = [x.tolist() for x in label(*np.array(edges).T)]
+    assert sorted((int(k), int(c)) for k, c in connected_components(e, at_once=at_once).collect()) == list(zip(*want, strict=True))
+
+
+def test_large_trees_need_no_rounds(spark, monkeypatch):
+    from thalweg.operators import components
+
+    monkeypatch.setattr(components, "MAX_ROUNDS", 0)
+    e = spark.range(16, 4096).selectExpr("id AS src", "id DIV 2 AS dst")
+    got = connected_components(e, at_once=300).collect()
+    assert len(got) == 4088 and all(c == k >> (k.bit_length() - 4) for k, c in got)
