@@ -206,3 +206,17 @@ def test_large_trees_need_no_rounds(spark, monkeypatch):
     e = spark.range(16, 4096).selectExpr("id AS src", "id DIV 2 AS dst")
     got = connected_components(e, at_once=300).collect()
     assert len(got) == 4088 and all(c == k >> (k.bit_length() - 4) for k, c in got)
+
+
+def test_bridges_of_a_component_take_little_memory():
+    import tracemalloc
+
+    n = 30_000
+    k = np.arange(1, n)
+    edges = pd.DataFrame({"id": np.arange(n + 1), "a": [*k, 0, n - 1], "b": [*k // 2, 0, n - 5]})
+    tracemalloc.start()
+    got = set(N.component_bridges(edges)["id"])
+    assert tracemalloc.get_traced_memory()[1] < 250 * n
+    tracemalloc.stop()
+    up = lambda x: {x >> i for i in range(x.bit_length())}
+    assert got == set(range(n - 1)) - {x - 1 for x in up(n - 1) ^ up(n - 5)}
