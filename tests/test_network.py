@@ -220,3 +220,17 @@ def test_bridges_of_a_component_take_little_memory():
     tracemalloc.stop()
     up = lambda x: {x >> i for i in range(x.bit_length())}
     assert got == set(range(n - 1)) - {x - 1 for x in up(n - 1) ^ up(n - 5)}
+
+
+def test_orders_of_a_component_take_little_memory():
+    import tracemalloc
+
+    n = 30_000
+    k = np.arange(16, n)
+    edges = pd.DataFrame({"id": k, "from": k, "to": k // 2, "length": k % 1000, "name": pd.Series([None] * len(k), dtype=object), "component": 8})
+    tracemalloc.start()
+    got = N.fold_component(edges).set_index("id")
+    assert tracemalloc.get_traced_memory()[1] < 400 * n
+    tracemalloc.stop()
+    assert got["shreve"].sum() == sum(leaf >> j >= 16 for leaf in range(n // 2, n) for j in range(12))
+    assert (got.loc[n // 2 :, "strahler"] == 1).all() and got["strahler"].max() == 11
