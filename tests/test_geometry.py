@@ -140,3 +140,15 @@ def test_geojson(spark):
     d = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 2.0, None)], "id long, x1 double, y1 double, x2 double, y2 double, name string")
     text = d.select(S.geojson_feature(F.lit("flowpath"), F.col("id"), {"name": F.col("name")}, S.line_geometry(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])).alias("f")).first().f
     assert json.loads(text) == {"type": "Feature", "id": "1", "geometry": {"type": "LineString", "coordinates": [[0, 0], [1, 2]]}, "properties": {"feature_type": "flowpath"}}
+
+
+def test_loops_and_arrays_give_the_same_triangles(monkeypatch):
+    from thalweg.operators import construct as C
+
+    r = np.random.default_rng(11)
+    for n in range(3, 60, 4):
+        for points in (r.random((n, 2)) * 100, r.integers(0, 6, (n, 2)).astype(float), np.stack([np.cos(np.arange(n)), np.sin(np.arange(n))], 1) + 1e5):
+            few = C.delaunay(points)
+            monkeypatch.setattr(C, "FEW_POINTS", 0)
+            assert few.tolist() == C.delaunay(points).tolist()
+            monkeypatch.undo()

@@ -234,3 +234,32 @@ def test_orders_of_a_component_take_little_memory():
     tracemalloc.stop()
     assert got["shreve"].sum() == sum(leaf >> j >= 16 for leaf in range(n // 2, n) for j in range(12))
     assert (got.loc[n // 2 :, "strahler"] == 1).all() and got["strahler"].max() == 11
+
+
+def test_small_groups_go_to_a_kernel_many_at_once_and_each_whole():
+    keys = [k for k in range(300) for _ in range(1 + k % 5)] + ["x"] * 40 + [None] * 3
+    rows = pd.DataFrame({"key": pd.Series(keys, dtype=object), "place": range(len(keys))})
+    for batch, least in ((7, 20), (1, 1), (64, 10_000), (50, 8)):
+        got = list(N.whole_groups((rows.iloc[k : k + batch] for k in range(0, len(rows), batch)), "key", least))
+        assert pd.concat(got)["place"].tolist() == list(range(len(rows)))
+        seen = [set(map(str, frame["key"])) for frame in got]
+        assert sum(map(len, seen)) == len(set().union(*seen)) == 302
+        assert len(got) <= len(rows) / least + 1
+    assert list(N.whole_groups(iter([rows.iloc[:0]]), "key")) == []
+
+
+def test_bridges_of_many_small_components_take_few_kernel_calls(spark):
+    rows = [(4 * k + i, 4 * k + a, 4 * k + b) for k in range(500) for i, (a, b) in enumerate(((0, 1), (1, 2), (2, 0), (2, 3)))]
+    paths = spark.createDataFrame(rows, "id long, from_nexus_id long, to_nexus_id long")
+    calls, kernel = spark.sparkContext.accumulator(0), N.component_bridges
+
+    def counted(edges):
+        calls.add(1)
+        return kernel(edges)
+
+    N.component_bridges = counted
+    try:
+        assert sorted(r.id for r in N.bridges(paths).collect()) == [4 * k + 3 for k in range(500)]
+    finally:
+        N.component_bridges = kernel
+    assert calls.value <= 4

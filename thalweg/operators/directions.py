@@ -7,6 +7,10 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -14,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.operators.components import connected_components
-from thalweg.operators.network import angle_scores, loop_groups, peel, reachable
-from thalweg.session import stage_table
+from thalweg.operators.network import angle_scores, loop_groups, peel, reachable, whole_groups
+from thalweg.session import dealt, stage_table
 
 #: Share of the channel's width in a fork's score inside a waterbody (a fixed value).
 WIDTH_WEIGHT = 0.7
@@ -163,13 +167,14 @@ def direct_group(edges: pd.DataFrame, sinks: set, turn: float) -> pd.DataFrame:
     return pd.DataFrame({"id": rows["id"], "flip": flip})
 
 
-def loops_directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3) -> DataFrame:
-    """(id, from_nexus_id, to_nexus_id) of the edges inside groups of loops; a group is one task's work.
+def loops_directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3, group: DataFrame | None = None) -> DataFrame:
+    """(id, from_nexus_id, to_nexus_id) of the edges inside groups of loops, which ``group`` (id, component) holds if they are known; a group is one task's work.
 
     A group's sinks are those of ``sinks`` (id) in it and the nodes by which water leaves it: from which a bridge leads to a sink or a known
     edge goes out. A group without any drains to its smallest node.
     """
-    group = stage_table(loop_groups(edges), "loop-groups")
+    if group is None:
+        group = stage_table(loop_groups(edges), "loop-groups")
     g = lambda c: group.select(F.col("id").alias(f"{c}_nexus_id"), F.col("component").alias(f"g_{c}"))
     e = edges.join(g("from"), "from_nexus_id").join(g("to"), "to_nexus_id")
     inner = stage_table(e.filter("g_from = g_to").withColumnRenamed("g_from", "g"), "loop-edges")
@@ -207,7 +212,7 @@ def directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3) -> D
     way = between.select("id", "from_nexus_id", "to_nexus_id", "g_from").join(tree.select("id", F.col("from_nexus_id").alias("leaves")), "id")
     same = F.col("leaves") == F.col("g_from")
     bridges = way.select("id", F.when(same, F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("from_nexus_id"), F.when(same, F.col("to_nexus_id")).otherwise(F.col("from_nexus_id")).alias("to_nexus_id"))
-    return bridges.union(loops_directed(edges, own, turn))
+    return bridges.union(loops_directed(edges, own, turn, group))
 
 
 def chosen_sinks(edges: DataFrame, sinks: DataFrame) -> DataFrame:
@@ -364,8 +369,22 @@ def contracted(paths: DataFrame, least: float) -> DataFrame:
 # ---- names of skeletons in waterbodies
 
 
+class _Flow(NamedTuple):
+    id: object
+    a: object
+    b: object
+    length: int
+    rank: int
+
+
 def name_waterbody(edges: pd.DataFrame, ends: pd.DataFrame, own: list) -> list[tuple]:
-    """(edge, name) pairs for one waterbody: edges id, a, b, length, rank; ends node, name, way ('in' or 'out'); the waterbody's own names.
+    """(edge, name) pairs for one waterbody: edges id, a, b, length, rank; ends node, name, way ('in' or 'out'); the waterbody's own names."""
+    columns = lambda df, *names: zip(*[df[c].tolist() for c in names], strict=True)
+    return named_ways([_Flow(*r) for r in columns(edges, *_Flow._fields)], [r for r in columns(ends, "node", "name", "way") if pd.notna(r[1])], own)
+
+
+def named_ways(edges: list[_Flow], ends: list[tuple], own: list) -> list[tuple]:
+    """(edge, name) pairs for one waterbody: its edges, the named flows (node, name, 'in' or 'out') at it, and its own names.
 
     For each name the counts of named flows in and out decide: with none and the water's own name, the longest primary way; one in and the water's
     name, the primary way down from it; one out and the water's name, the longest of the shortest ways to it; one in and one out, the
@@ -373,9 +392,9 @@ def name_waterbody(edges: pd.DataFrame, ends: pd.DataFrame, own: list) -> list[t
     several on one side alone name nothing.
     """
     out_of: dict = {}
-    for r in edges.sort_values("id").itertuples():
+    for r in sorted(edges, key=lambda r: r.id):
         out_of.setdefault(r.a, []).append(r)
-    heads = set(edges["b"])
+    heads = {r.b for r in edges}
 
     def primary_way(start) -> list:
         way, seen, node = [], {start}, start
@@ -406,11 +425,10 @@ def name_waterbody(edges: pd.DataFrame, ends: pd.DataFrame, own: list) -> list[t
 
     size = lambda way: sum(r.length for r in way)
     longest = lambda ways: max(sorted(ways, key=lambda w: [str(r.id) for r in w]), key=size, default=None)
-    sources = sorted(set(edges["a"]) - heads)
+    sources = sorted({r.a for r in edges} - heads)
     found = []
-    for name in sorted(set(ends["name"].dropna()) | set(own)):
-        mine = ends[ends["name"] == name]
-        ins, outs = sorted(set(mine.loc[mine["way"] == "in", "node"])), sorted(set(mine.loc[mine["way"] == "out", "node"]))
+    for name in sorted({n for _, n, _ in ends} | set(own)):
+        ins, outs = (sorted({node for node, n, w in ends if n == name and w == way}) for way in ("in", "out"))
 
         def between() -> list | None:
             ways = []
@@ -440,17 +458,25 @@ def named_skeletons(edges: DataFrame, ends: DataFrame, waterbodies: DataFrame) -
     and its own name (water, name); a waterbody is one task's work. An edge that several names claim has a row for each."""
     # ids, nodes and names are texts here: pandas would make floats of whole numbers with nulls
     text = lambda c, n: F.col(c).cast("string").alias(n)
-    rows = edges.select("water", F.struct(text("id", "id"), text("from_nexus_id", "a"), text("to_nexus_id", "b"), "length", "rank").alias("e"), F.lit(None).cast("string").alias("node"), F.lit(None).cast("string").alias("name"), F.lit("edge").alias("way"))
-    blank = F.lit(None).cast(rows.schema["e"].dataType)
-    rows = rows.union(ends.select("water", blank, text("node", "node"), text("name", "name"), "way")).union(waterbodies.select("water", blank, F.lit(None).cast("string"), text("name", "name"), F.lit("own")))
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        own = frame.loc[frame["way"] == "own", "name"].dropna().tolist()
-        e = pd.DataFrame([dict(v) if isinstance(v, dict) else v.asDict() for v in frame.loc[frame["way"] == "edge", "e"]])
-        if e.empty:
-            return pd.DataFrame({"id": pd.Series([], dtype=object), "name": pd.Series([], dtype=object)})
-        found = name_waterbody(e, frame.loc[frame["way"].isin(["in", "out"]), ["node", "name", "way"]], own)
-        return pd.DataFrame(found, columns=["id", "name"]).astype(object)
-
-    kind = dict(edges.dtypes)["id"]
-    return rows.groupBy("water").applyInPandas(run, "id string, name string").select(F.col("id").cast(kind).alias("id"), F.col("name").cast("long").alias("name"))
+    none = lambda n: F.lit(None).cast("string").alias(n)
+    zero = lambda n, kind: F.lit(0).cast(kind).alias(n)
+    kinds = dict(edges.dtypes)
+    blank = [none("id"), none("a"), none("b"), zero("length", kinds["length"]), zero("rank", kinds["rank"])]
+    rows = edges.select(text("water", "water"), text("id", "id"), text("from_nexus_id", "a"), text("to_nexus_id", "b"), "length", "rank", none("node"), none("name"), F.lit("edge").alias("way"))
+    rows = rows.union(ends.select(text("water", "water"), *blank, text("node", "node"), text("name", "name"), "way")).union(waterbodies.select(text("water", "water"), *blank, none("node"), text("name", "name"), F.lit("own")))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(frames, "water"):
+            found: list[tuple] = []
+            for _, group in groupby(zip(*[frame[c].tolist() for c in frame.columns], strict=True), key=itemgetter(0)):
+                own, flows, edge = [], [], []
+                for _, i, a, b, length, rank, node, name, way in group:
+                    if way == "edge":
+                        edge.append(_Flow(i, a, b, length, rank))
+                    elif name is not None:
+                        own.append(name) if way == "own" else flows.append((node, name, way))
+                found += named_ways(edge, flows, own) if edge else []
+            yield pd.DataFrame(found, columns=["id", "name"]).astype(object)
+
+    named = dealt(rows.filter("water IS NOT NULL"), "water").sortWithinPartitions("water").mapInPandas(run, "id string, name string")
+    return named.select(F.col("id").cast(kinds["id"]).alias("id"), F.col("name").cast("long").alias("name"))
