@@ -70,6 +70,19 @@ def test_known_edges_that_make_a_cycle_are_refused():
         D.direct_group(rows, {1}, 1.0)
 
 
+def test_nodes_of_loops_are_fed_from_where_water_comes_in():
+    # from 1 the way to 9 is short by 2; 4, the farthest from 9, would be a source of its own
+    at = {1: (0, 0), 2: (1, 0), 3: (1, 2), 4: (2, 3), 5: (3, 2), 9: (3, 0)}
+    pairs = [(1, 2, 1), (2, 9, 1), (2, 3, 5), (3, 4, 9), (4, 5, 9), (5, 9, 5), (1, 3, 6)]
+    rows = pd.DataFrame([(k, a, b, n, False, *at[a], *at[b]) for k, (a, b, n) in enumerate(pairs)], columns=["id", "a", "b", "length", "known", "x1", "y1", "x2", "y2"])
+    for fed in (None, {1}, {4}, {5}, {1, 5}):
+        flip = D.direct_group(rows, {9}, math.inf, fed).set_index("id")["flip"]
+        got = [(k, *((b, a) if flip[k] else (a, b))) for k, (a, b, _) in enumerate(pairs)]
+        out, into = {a for _, a, _ in got}, {b for *_, b in got}
+        assert acyclic(got) and into - out == {9} and (fed is None or out - into <= fed), (fed, got)
+        assert fed is not None or out - into == {4}
+
+
 def test_short_edges_turn_with_their_neighbours_but_close_no_cycle(spark):
     at = {1: (0, 0), 2: (1, 0), 3: (1.1, 0), 4: (2, 0), 5: (1, 1), 6: (1.1, -1)}
     rows = [(1, 1, 2, 10, True), (2, 3, 2, 1, False), (3, 3, 4, 10, True), (4, 5, 2, 10, True), (5, 3, 6, 10, True)]

@@ -78,12 +78,13 @@ def trees_directed(edges: DataFrame, sinks: DataFrame) -> DataFrame:
     return ends.join(h("a"), "a").join(h("b"), "b").select("id", F.when(keep, F.col("a")).otherwise(F.col("b")).alias("from_nexus_id"), F.when(keep, F.col("b")).otherwise(F.col("a")).alias("to_nexus_id"))
 
 
-def direct_group(edges: pd.DataFrame, sinks: set, turn: float) -> pd.DataFrame:
+def direct_group(edges: pd.DataFrame, sinks: set, turn: float, fed: set | None = None) -> pd.DataFrame:
     """Directions in one group of loops: columns id, a, b, length, known, x1, y1, x2, y2; rows id, flip.
 
     Nodes are ranged by their shortest way to the group's sinks, against no known edge, and unknown edges lead from the farther node to the nearer
     one; where known edges want another order they have it, so no cycle can come up. Then an unknown edge is turned if that brings its flow straighter by more than
-    ``turn`` radians at both of its ends together, as long as no cycle comes up.
+    ``turn`` radians at both of its ends together, as long as no cycle comes up. With ``fed``, the nodes by which water comes in, any other node
+    without inflow is fed before that, by turning a way of unknown edges from it to one that has some, if one closes no cycle.
     """
     rows = edges.sort_values("id", kind="stable").reset_index(drop=True)
     n = len(rows)
@@ -149,29 +150,53 @@ def direct_group(edges: pd.DataFrame, sinks: set, turn: float) -> pd.DataFrame:
             total += min(abs((way(e, turned) - way(f, False) + math.pi) % (2 * math.pi) - math.pi) for f in near)
         return total
 
-    def reaches(u, v, without: int) -> bool:
-        seen, stack = {u}, [u]
+    def reaches(starts: set, v, without: set) -> bool:
+        seen, stack = set(starts), list(starts)
         while stack:
             w = stack.pop()
             if w == v:
                 return True
             for f in around[w]:
-                if f != without and tail(f) == w and head(f) not in seen:
+                if f not in without and tail(f) == w and head(f) not in seen:
                     seen.add(head(f))
                     stack.append(head(f))
         return False
 
+    def feeding(v) -> set:
+        """A way of unknown edges from a node without inflow to one with other inflow, whose turning closes no cycle; empty if there is none."""
+        back, queue = {v: None}, [v]
+        for x in queue:  # grows on the way
+            for e in around[x]:
+                y = head(e)
+                if known[e] or tail(e) != x or y in back or y in ends:
+                    continue
+                way_back, at = {e}, x
+                while back[at] is not None:
+                    way_back.add(back[at])
+                    at = tail(back[at])
+                if y not in fed and not any(head(f) == y and f != e for f in around[y]):
+                    back[y] = e
+                    queue.append(y)
+                elif not reaches({tail(f) for f in way_back}, y, way_back):
+                    return way_back
+        return set()
+
+    if fed is not None:
+        for v in sorted(nodes, key=place.get):
+            if v not in fed and all(tail(e) == v for e in around[v]):
+                for e in feeding(v):
+                    flip[e] = not flip[e]
     for e in range(n):
-        if not known[e] and head(e) not in ends and bend(e, False) - bend(e, True) > turn and not reaches(tail(e), head(e), e):
+        if not known[e] and head(e) not in ends and bend(e, False) - bend(e, True) > turn and not reaches({tail(e)}, head(e), {e}):
             flip[e] = not flip[e]
     return pd.DataFrame({"id": rows["id"], "flip": flip})
 
 
-def loops_directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3, group: DataFrame | None = None) -> DataFrame:
+def loops_directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3, group: DataFrame | None = None, feed: bool = False) -> DataFrame:
     """(id, from_nexus_id, to_nexus_id) of the edges inside groups of loops, which ``group`` (id, component) holds if they are known; a group is one task's work.
 
     A group's sinks are those of ``sinks`` (id) in it and the nodes by which water leaves it: from which a bridge leads to a sink or a known
-    edge goes out. A group without any drains to its smallest node.
+    edge goes out. A group without any drains to its smallest node. With ``feed`` nodes that no bridge leads to get inflow from within the group.
     """
     if group is None:
         group = stage_table(loop_groups(edges), "loop-groups")
@@ -182,26 +207,27 @@ def loops_directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3
     # over the tree of groups, which way every bridge leads
     ends = group.join(sinks, "id", "left_semi").select(F.col("component").alias("id")).distinct()
     tree = trees_directed(bridges.select("id", F.col("g_from").alias("from_nexus_id"), F.col("g_to").alias("to_nexus_id"), "known"), ends)
-    out = bridges.select("id", "from_nexus_id", "to_nexus_id", "g_from").join(tree.select("id", F.col("from_nexus_id").alias("leaves")), "id")
-    doors = out.select(F.col("leaves").alias("g"), F.when(F.col("leaves") == F.col("g_from"), F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("node"))
-    doors = doors.union(group.join(sinks, "id", "left_semi").select("component", "id")).groupBy("g").agg(F.collect_set("node").alias("doors"))
+    out = bridges.select("id", "from_nexus_id", "to_nexus_id", "g_from", "g_to").join(tree.select("id", F.col("from_nexus_id").alias("leaves")), "id")
+    side = lambda g, same: out.select(g.alias("g"), F.when(same, F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("node"))
+    doors = side(F.col("leaves"), F.col("leaves") == F.col("g_from")).union(group.join(sinks, "id", "left_semi").select("component", "id")).groupBy("g").agg(F.collect_set("node").alias("doors"))
+    fed = side(F.when(F.col("leaves") == F.col("g_from"), F.col("g_to")).otherwise(F.col("g_from")), F.col("leaves") != F.col("g_from")).groupBy("g").agg(F.collect_set("node").alias("fed"))
     kind = dict(edges.dtypes)["id"]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = frame["doors"].iloc[0]
-        return direct_group(frame, set() if found is None else set(found), turn)
+        listed = lambda c: set() if frame[c].iloc[0] is None else set(frame[c].iloc[0])
+        return direct_group(frame, listed("doors"), turn, listed("fed") if feed else None)
 
-    rows = inner.join(doors, "g", "left").select("g", "id", F.col("from_nexus_id").alias("a"), F.col("to_nexus_id").alias("b"), "length", "known", "x1", "y1", "x2", "y2", "doors")
+    rows = inner.join(doors, "g", "left").join(fed, "g", "left").select("g", "id", F.col("from_nexus_id").alias("a"), F.col("to_nexus_id").alias("b"), "length", "known", "x1", "y1", "x2", "y2", "doors", "fed")
     flips = rows.groupBy("g").applyInPandas(run, f"id {kind}, flip boolean")
     turned = inner.select("id", "from_nexus_id", "to_nexus_id").join(flips, "id")
     at = lambda x, y: F.when(F.col("flip"), F.col(y)).otherwise(F.col(x)).alias(x)
     return turned.select("id", at("from_nexus_id", "to_nexus_id"), at("to_nexus_id", "from_nexus_id"))
 
 
-def directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3) -> DataFrame:
+def directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3, feed: bool = False) -> DataFrame:
     """(id, from_nexus_id, to_nexus_id): all edges of a network directed: bridges between groups of loops as a tree, the groups each by itself.
 
-    Components without any of ``sinks`` drain to the node that ``chosen_sinks`` picks.
+    Components without any of ``sinks`` drain to the node that ``chosen_sinks`` picks. ``feed`` is that of ``loops_directed``.
     """
     own = stage_table(sinks.select("id").union(chosen_sinks(edges, sinks).select("id")), "all-sinks")
     group = stage_table(loop_groups(edges), "loop-groups")
@@ -212,7 +238,7 @@ def directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3) -> D
     way = between.select("id", "from_nexus_id", "to_nexus_id", "g_from").join(tree.select("id", F.col("from_nexus_id").alias("leaves")), "id")
     same = F.col("leaves") == F.col("g_from")
     bridges = way.select("id", F.when(same, F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("from_nexus_id"), F.when(same, F.col("to_nexus_id")).otherwise(F.col("from_nexus_id")).alias("to_nexus_id"))
-    return bridges.union(loops_directed(edges, own, turn, group))
+    return bridges.union(loops_directed(edges, own, turn, group, feed))
 
 
 def chosen_sinks(edges: DataFrame, sinks: DataFrame) -> DataFrame:
