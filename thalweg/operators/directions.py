@@ -73,7 +73,8 @@ def trees_directed(edges: DataFrame, sinks: DataFrame) -> DataFrame:
     ends = edges.select("id", F.col("from_nexus_id").alias("a"), F.col("to_nexus_id").alias("b"), "known")
     pairs = ends.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(ends.select("b", "a"))
     hops = stage_table(reachable(pairs, sinks), "tree-hops")
-    h = lambda c: hops.select(F.col("id").alias(c), F.col("hop").alias(f"hop_{c}"))
+    # tables that grow with the network are small as files but not in the driver, which would hold several at once for broadcasts
+    h = lambda c: hops.select(F.col("id").alias(c), F.col("hop").alias(f"hop_{c}")).hint("merge")
     keep = F.col("known") | (F.col("hop_a") > F.col("hop_b"))
     return ends.join(h("a"), "a").join(h("b"), "b").select("id", F.when(keep, F.col("a")).otherwise(F.col("b")).alias("from_nexus_id"), F.when(keep, F.col("b")).otherwise(F.col("a")).alias("to_nexus_id"))
 
@@ -200,14 +201,14 @@ def loops_directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3
     """
     if group is None:
         group = stage_table(loop_groups(edges), "loop-groups")
-    g = lambda c: group.select(F.col("id").alias(f"{c}_nexus_id"), F.col("component").alias(f"g_{c}"))
+    g = lambda c: group.select(F.col("id").alias(f"{c}_nexus_id"), F.col("component").alias(f"g_{c}")).hint("merge")
     e = edges.join(g("from"), "from_nexus_id").join(g("to"), "to_nexus_id")
     inner = stage_table(e.filter("g_from = g_to").withColumnRenamed("g_from", "g"), "loop-edges")
     bridges = stage_table(e.filter("g_from <> g_to"), "loop-bridges")
     # over the tree of groups, which way every bridge leads
     ends = group.join(sinks, "id", "left_semi").select(F.col("component").alias("id")).distinct()
     tree = trees_directed(bridges.select("id", F.col("g_from").alias("from_nexus_id"), F.col("g_to").alias("to_nexus_id"), "known"), ends)
-    out = bridges.select("id", "from_nexus_id", "to_nexus_id", "g_from", "g_to").join(tree.select("id", F.col("from_nexus_id").alias("leaves")), "id")
+    out = bridges.select("id", "from_nexus_id", "to_nexus_id", "g_from", "g_to").join(tree.select("id", F.col("from_nexus_id").alias("leaves")).hint("merge"), "id")
     side = lambda g, same: out.select(g.alias("g"), F.when(same, F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("node"))
     doors = side(F.col("leaves"), F.col("leaves") == F.col("g_from")).union(group.join(sinks, "id", "left_semi").select("component", "id")).groupBy("g").agg(F.collect_set("node").alias("doors"))
     fed = side(F.when(F.col("leaves") == F.col("g_from"), F.col("g_to")).otherwise(F.col("g_from")), F.col("leaves") != F.col("g_from")).groupBy("g").agg(F.collect_set("node").alias("fed"))
@@ -231,11 +232,11 @@ def directed(edges: DataFrame, sinks: DataFrame, turn: float = math.pi / 3, feed
     """
     own = stage_table(sinks.select("id").union(chosen_sinks(edges, sinks).select("id")), "all-sinks")
     group = stage_table(loop_groups(edges), "loop-groups")
-    g = lambda c: group.select(F.col("id").alias(f"{c}_nexus_id"), F.col("component").alias(f"g_{c}"))
+    g = lambda c: group.select(F.col("id").alias(f"{c}_nexus_id"), F.col("component").alias(f"g_{c}")).hint("merge")
     between = edges.join(g("from"), "from_nexus_id").join(g("to"), "to_nexus_id").filter("g_from <> g_to")
     ends = group.join(own, "id", "left_semi").select(F.col("component").alias("id")).distinct()
     tree = trees_directed(between.select("id", F.col("g_from").alias("from_nexus_id"), F.col("g_to").alias("to_nexus_id"), "known"), ends)
-    way = between.select("id", "from_nexus_id", "to_nexus_id", "g_from").join(tree.select("id", F.col("from_nexus_id").alias("leaves")), "id")
+    way = between.select("id", "from_nexus_id", "to_nexus_id", "g_from").join(tree.select("id", F.col("from_nexus_id").alias("leaves")).hint("merge"), "id")
     same = F.col("leaves") == F.col("g_from")
     bridges = way.select("id", F.when(same, F.col("from_nexus_id")).otherwise(F.col("to_nexus_id")).alias("from_nexus_id"), F.when(same, F.col("to_nexus_id")).otherwise(F.col("from_nexus_id")).alias("to_nexus_id"))
     return bridges.union(loops_directed(edges, own, turn, group, feed))
